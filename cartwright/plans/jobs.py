@@ -48,6 +48,7 @@ class JobConfig:
     as_of: AsOf
     seed_carts: str = ""
     seed_users: str = ""
+    seed_as_lines: bool = False
     n_orders: int = 10_000
     seed: int = 0
     namespace: str = "analytics"
@@ -61,7 +62,10 @@ class JobConfig:
 def generate(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, DataFrame]:
     """Synthetic carts and users over the landed seed (empty when none landed)."""
     _, users = load_seed(
-        spark, cfg.seed_carts or f"{cfg.root}/raw/carts", cfg.seed_users or f"{cfg.root}/raw/users"
+        spark,
+        cfg.seed_carts or f"{cfg.root}/raw/carts",
+        cfg.seed_users or f"{cfg.root}/raw/users",
+        lines=cfg.seed_as_lines,
     )
     return synthesize_orders(spark, users, cfg.n_orders, cfg.as_of, cfg.seed)
 
