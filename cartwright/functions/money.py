@@ -1,8 +1,10 @@
 """Exact money arithmetic and the scores built on it.
 
-Doubles never get summed or divided. Prices become decimals on entry; every
-division is a half-up division of whole numbers (cents), which has one right
-answer whatever the row order or the engine.
+Doubles never get summed or divided. Line amounts are whole numbers on entry
+(64-bit, so sums stay in generated code) and every division is a half-up
+division of whole numbers, which has one right answer whatever the row order or
+the engine. Arithmetic that leaves 64 bits fails the job (ANSI mode): that takes
+one order with more than 90 billion dollars of discount.
 """
 
 from __future__ import annotations
@@ -11,22 +13,38 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-# Room for sub-cent prices and for percentages such as 12.96.
-PRICE = "decimal(18,4)"
-PERCENT = "decimal(6,2)"
-AMOUNT = "decimal(20,4)"
-DISCOUNT = "decimal(30,8)"
+# Units of the whole numbers: prices keep 4 decimals, so sub-cent prices are
+# exact; percentages keep 2, so a discount has 4 + 2 decimals and the percent's 2.
+AMOUNT_DECIMALS = 4
+DISCOUNT_DECIMALS = 8
+
+
+def _whole(value: int) -> Column:
+    return F.lit(value).cast("bigint")
+
+
+def _units(c: Column, factor: int) -> Column:
+    return F.rint(c.cast("double") * factor).cast("bigint")
 
 
 def line_amount(price: Column, quantity: Column) -> Column:
-    """price x quantity as an exact decimal; a missing part counts as 0."""
-    exact = price.cast(PRICE) * quantity.cast("decimal(10,0)")
-    return F.coalesce(exact.cast(AMOUNT), F.lit(0).cast(AMOUNT))
+    """price x quantity in units of 10^-4; a missing part counts as 0."""
+    return F.coalesce(
+        _units(price, 10**AMOUNT_DECIMALS) * quantity.cast("bigint"), _whole(0)
+    )
 
 
 def line_discount(amount: Column, percent: Column) -> Column:
-    share = F.coalesce(percent.cast(PERCENT), F.lit(0).cast(PERCENT)) * F.lit(Decimal("0.01"))
-    return (amount * share).cast(DISCOUNT)
+    """Discount of a line amount in units of 10^-8; a missing percentage counts as 0."""
+    return amount * F.coalesce(_units(percent, 100), _whole(0))
+
+
+def amount_cents(units: Column) -> Column:
+    return half_up_div(units, _whole(10 ** (AMOUNT_DECIMALS - 2)))
+
+
+def discount_cents(units: Column) -> Column:
+    return half_up_div(units, _whole(10 ** (DISCOUNT_DECIMALS - 2)))
 
 
 def round_money(c: Column, type_: str = "decimal(14,2)") -> Column:
@@ -53,12 +71,13 @@ def from_units(c: Column, scale: int, type_: str) -> Column:
     return (c.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(type_)
 
 
+def ratio_units(discount_c: Column, gross_c: Column) -> Column:
+    """discount / gross in units of 10^-4, 0 when there is no positive gross."""
+    return F.when(gross_c > 0, half_up_div(discount_c * 10_000, gross_c)).otherwise(_whole(0))
+
+
 def discount_ratio(discount: Column, gross: Column) -> Column:
-    """discount / gross to 4 places, 0 when there is no positive gross."""
-    ratio = half_up_div(cents(discount) * 10_000, cents(gross))
-    return F.when(gross > 0, from_units(ratio, 4, "decimal(6,4)")).otherwise(
-        F.lit(0).cast("decimal(6,4)")
-    )
+    return from_units(ratio_units(cents(discount), cents(gross)), 4, "decimal(6,4)")
 
 
 def avg_order_value(spent: Column, orders: Column) -> Column:
@@ -80,12 +99,12 @@ _POINT = 365 * 10**6
 
 def ltv(spent: Column, orders: Column, days: Column) -> Column:
     """Lifetime value score, exact, half-up to 2 places; nulls count as 0."""
-    money = F.coalesce(cents(spent), F.lit(0).cast("bigint")) * 365
-    count = F.coalesce(orders.cast("bigint"), F.lit(0).cast("bigint")) * 2
-    tenure = F.coalesce(days.cast("bigint"), F.lit(0).cast("bigint")) * 10**7
+    money = F.coalesce(cents(spent), _whole(0)) * 365
+    count = F.coalesce(orders.cast("bigint"), _whole(0)) * 2
+    tenure = F.coalesce(days.cast("bigint"), _whole(0)) * 10**7
     points = (
         F.least(money, F.lit(50 * _POINT))
-        + F.least(count, F.lit(30).cast("bigint")) * F.lit(_POINT)
+        + F.least(count, _whole(30)) * F.lit(_POINT)
         + F.least(tenure, F.lit(20 * _POINT))
     )
     return from_units(half_up_div(points * 100, F.lit(_POINT)), 2, "decimal(8,2)")

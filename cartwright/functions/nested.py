@@ -28,14 +28,13 @@ def _amount(p: Column) -> Column:
 
 
 def gross(products: Column) -> Column:
-    return fold_products(products, _amount, "decimal(38,4)")
+    """Sum of the line amounts, in the units of ``money.line_amount``."""
+    return fold_products(products, _amount, "bigint")
 
 
 def discount(products: Column) -> Column:
     return fold_products(
-        products,
-        lambda p: money.line_discount(_amount(p), p["discountPercentage"]),
-        "decimal(38,8)",
+        products, lambda p: money.line_discount(_amount(p), p["discountPercentage"]), "bigint"
     )
 
 
@@ -78,13 +77,13 @@ def dominant_category(products: Column, tie_break: str = "first") -> Column:
             ),
         )
     )
-    zero = F.lit(0).cast("decimal(38,4)")
+    zero = F.lit(0).cast("bigint")
     none = F.lit(None)
     start = F.struct(
         none.cast("string").alias("name"),
         zero.alias("run"),
         none.cast("string").alias("best"),
-        none.cast("decimal(38,4)").alias("top"),
+        none.cast("bigint").alias("top"),
     )
 
     def run_wins(s: Column) -> Column:
@@ -96,9 +95,7 @@ def dominant_category(products: Column, tie_break: str = "first") -> Column:
         closes = ~same & run_wins(s)
         return F.struct(
             line["name"].alias("name"),
-            (F.when(same, s["run"]).otherwise(zero) + line["amount"])
-            .cast("decimal(38,4)")
-            .alias("run"),
+            (F.when(same, s["run"]).otherwise(zero) + line["amount"]).alias("run"),
             F.when(closes, s["name"]).otherwise(s["best"]).alias("best"),
             F.when(closes, s["run"]).otherwise(s["top"]).alias("top"),
         )

@@ -11,7 +11,10 @@ from .enrich import user_attributes
 
 
 def build_order_analytics(enriched: DataFrame) -> DataFrame:
-    """Typed order table: a projection, one row per enriched order."""
+    """Typed order table: a projection, one row per enriched order.
+
+    It reads no user attribute, so order facts cut by ``keep_known_users`` do as well.
+    """
     return enriched.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ORDER_ANALYTICS]
     )
@@ -72,11 +75,12 @@ def customer_totals(orders: DataFrame) -> DataFrame:
 
 
 def customers_from_orders(orders: DataFrame, users: DataFrame, as_of: AsOf) -> DataFrame:
-    """The same customer table from the order table: totals first, users after.
+    """The same customer table from the order table, or from order facts: totals
+    first, users after.
 
     Only three narrow columns per order are shuffled, and the users meet one row
-    per customer instead of one per order. The jobs use this on the stored order
-    table, so nothing has to be cached.
+    per customer instead of one per order; unknown users drop out there. The jobs
+    use this on the stored order table, so nothing has to be cached.
     """
     rolled = customer_totals(orders).join(user_attributes(users, as_of), "customer_id", "inner")
     return _customer_rows(rolled, as_of)

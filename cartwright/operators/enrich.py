@@ -71,45 +71,37 @@ def _header(df: DataFrame, as_of: AsOf) -> list[Column]:
     ]
 
 
-_SUMS = ["gross", "discount", "items", "unique_products", "dominant_category"]
+def _finish(df: DataFrame) -> DataFrame:
+    """Header and raw sums to the final order facts; figures in cents until the end."""
 
+    def dollars(c: Column) -> Column:
+        return money.from_units(c, 2, "decimal(14,2)")
 
-def _finish(df: DataFrame) -> DataFrame:
-    """Header and raw sums to the final order facts."""
-    money_type = "decimal(14,2)"
-    return (
-        df.withColumns(
-            {
-                "gross_amount": F.round("gross", 2).cast(money_type),
-                "total_discount_amount": F.round("discount", 2).cast(money_type),
-            }
-        )
-        .withColumn(
-            "net_amount",
-            (F.col("gross_amount") - F.col("total_discount_amount")).cast(money_type),
-        )
-        .select(
-            "order_id",
-            "customer_id",
-            "order_timestamp",
-            time.order_date(F.col("order_timestamp")).alias("order_date"),
-            time.order_hour(F.col("order_timestamp")).alias("order_hour"),
-            "payment_method",
-            "shipping_provider",
-            F.col("items").cast("int").alias("total_items"),
-            "gross_amount",
-            "total_discount_amount",
-            "net_amount",
-            "shipping_cost",
-            (F.col("net_amount") + F.col("shipping_cost")).cast(money_type).alias("final_amount"),
-            money.discount_ratio(F.col("total_discount_amount"), F.col("gross_amount")).alias(
-                "discount_ratio"
-            ),
-            money.complexity(F.col("unique_products"), F.col("items")).alias(
-                "order_complexity_score"
-            ),
-            "dominant_category",
-        )
+    in_cents = df.withColumns(
+        {
+            "gross_c": money.amount_cents(F.col("gross")),
+            "discount_c": money.discount_cents(F.col("discount")),
+        }
+    )
+    net = F.col("gross_c") - F.col("discount_c")
+    ratio = money.ratio_units(F.col("discount_c"), F.col("gross_c"))
+    return in_cents.select(
+        "order_id",
+        "customer_id",
+        "order_timestamp",
+        time.order_date(F.col("order_timestamp")).alias("order_date"),
+        time.order_hour(F.col("order_timestamp")).alias("order_hour"),
+        "payment_method",
+        "shipping_provider",
+        F.col("items").cast("int").alias("total_items"),
+        dollars(F.col("gross_c")).alias("gross_amount"),
+        dollars(F.col("discount_c")).alias("total_discount_amount"),
+        dollars(net).alias("net_amount"),
+        "shipping_cost",
+        dollars(net + money.cents(F.col("shipping_cost"))).alias("final_amount"),
+        money.from_units(ratio, 4, "decimal(6,4)").alias("discount_ratio"),
+        money.complexity(F.col("unique_products"), F.col("items")).alias("order_complexity_score"),
+        "dominant_category",
     )
 
 
@@ -129,7 +121,7 @@ def cart_facts(carts: DataFrame, as_of: AsOf, tie_break: str = "first") -> DataF
 
 
 def line_values(lines: DataFrame) -> DataFrame:
-    """Order lines with exact amounts and clean categories."""
+    """Order lines with whole-number amounts and clean categories."""
     amount = money.line_amount(F.col("price"), F.col("quantity"))
     return lines.select(
         F.col("orderId").alias("order_id"),
@@ -173,18 +165,19 @@ def line_sums(lines: DataFrame, tie_break: str = "first") -> DataFrame:
     )
 
 
+_SUMS = ["gross", "discount", "items", "unique_products"]
+
+
 def line_facts(
     orders: DataFrame, lines: DataFrame, as_of: AsOf, tie_break: str = "first"
 ) -> DataFrame:
     """Order facts of orders whose products are rows of ``lines``."""
     header = orders.select(*_header(orders, as_of))
     joined = header.join(line_sums(lines, tie_break), "order_id", "left")
-    empty = {"gross": "decimal(38,4)", "discount": "decimal(38,8)"}
+    nothing = F.lit(0).cast("bigint")
     filled = joined.withColumns(
         {
-            **{c: F.coalesce(F.col(c), F.lit(0).cast(t)) for c, t in empty.items()},
-            "items": F.coalesce("items", F.lit(0).cast("bigint")),
-            "unique_products": F.coalesce("unique_products", F.lit(0).cast("bigint")),
+            **{c: F.coalesce(F.col(c), nothing) for c in _SUMS},
             "dominant_category": text.default_to(F.col("dominant_category"), "Unknown"),
         }
     )
@@ -215,6 +208,15 @@ def attach_users(facts: DataFrame, attributes: DataFrame) -> DataFrame:
     return facts.join(attributes, "customer_id", "inner").select(*ENRICHED)
 
 
+def keep_known_users(facts: DataFrame, users: DataFrame) -> DataFrame:
+    """Facts of known users, for results that need no user attribute.
+
+    A semi join on the id alone: duplicate user ids do no harm, nothing else of
+    the users is read.
+    """
+    return facts.join(users.select(F.col("id").alias("customer_id")), "customer_id", "left_semi")
+
+
 def enrich_orders(
     carts: DataFrame, users: DataFrame, as_of: AsOf, tie_break: str = "first"
 ) -> DataFrame:
@@ -266,10 +268,11 @@ def nest_products(lines: DataFrame) -> DataFrame:
 
 
 def category_totals(lines: DataFrame) -> DataFrame:
+    total = money.from_units(F.sum("amount"), money.AMOUNT_DECIMALS, "decimal(20,4)")
     return (
         line_values(lines)
         .groupBy("order_id", "category")
-        .agg(F.sum("amount").alias("category_amount"))
+        .agg(total.alias("category_amount"))
     )
 
 

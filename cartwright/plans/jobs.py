@@ -14,7 +14,7 @@ from ..operators.analytics import (
     customers_from_orders,
     status_summary,
 )
-from ..operators.enrich import attach_users, cart_facts, user_attributes
+from ..operators.enrich import cart_facts, keep_known_users
 from ..operators.generate import synthesize_orders
 from ..operators.items import to_kv_items
 from ..schemas import (
@@ -71,9 +71,7 @@ def generate(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, DataFrame]
 
 
 def order_table(carts: DataFrame, users: DataFrame, as_of: AsOf) -> DataFrame:
-    return build_order_analytics(
-        attach_users(cart_facts(carts, as_of), user_attributes(users, as_of))
-    )
+    return build_order_analytics(keep_known_users(cart_facts(carts, as_of), users))
 
 
 def run_warehouse(spark: SparkSession, cfg: JobConfig) -> dict:

@@ -7,9 +7,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that can be changed on a running session. forceOptimizeSkewedJoin
-# lets AQE split a hot customer even when the split costs one more shuffle.
+# Settings that can be changed on a running session. ANSI mode turns overflow into
+# an error instead of a wrong number; forceOptimizeSkewedJoin lets AQE split a hot
+# customer even when the split costs one more shuffle.
 RUNTIME_CONF = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -547,13 +547,17 @@ def _(spark, d):
 
 @query(
     "a2_category_totals",
-    """SELECT order_id, category, cast(cast(sum(amount_m) as decimal(20,0)) * 0.001 as decimal(30,4)) AS category_amount
+    """SELECT order_id, category, cast(cast(sum(amount_m) as decimal(20,0)) * 0.001 as decimal(20,4)) AS category_amount
     FROM v_amounts GROUP BY ALL""",
 )
 def _(spark, d):
     return E.category_totals(V.lines(spark, d))
 
 
+def _dollars(cents):
+    return money.from_units(cents, 2, "decimal(14,2)")
+
+
 def _folded(name: str, flat_column: str, nested_expr: str, type_: str, fold) -> None:
     """A per-order total by both routes: grouped lines, and a fold over generated carts."""
 
@@ -561,8 +565,8 @@ def _folded(name: str, flat_column: str, nested_expr: str, type_: str, fold) ->
     def _(spark, d):
         sums = E.line_sums(V.lines(spark, d))
         column = {
-            "gross_amount": F.round("gross", 2).cast("decimal(14,2)"),
-            "discount_amount": F.round("discount", 2).cast("decimal(14,2)"),
+            "gross_amount": _dollars(money.amount_cents(F.col("gross"))),
+            "discount_amount": _dollars(money.discount_cents(F.col("discount"))),
             "items": F.col("items"),
             "products": F.col("unique_products"),
         }[name.partition("_")[2]]
@@ -579,11 +583,11 @@ def _folded(name: str, flat_column: str, nested_expr: str, type_: str, fold) ->
 _CENTS = "decimal(14,2)"
 _folded(
     "a3_gross_amount", O.money("gross_c"), O.money("gross_c"), _CENTS,
-    lambda p: F.round(nested.gross(p), 2),
+    lambda p: _dollars(money.amount_cents(nested.gross(p))),
 )
 _folded(
     "a4_discount_amount", O.money("disc_c"), O.money("disc_c"), _CENTS,
-    lambda p: F.round(nested.discount(p), 2),
+    lambda p: _dollars(money.discount_cents(nested.discount(p))),
 )
 _folded("a5_items", "items", "cast(items as bigint)", "bigint", nested.items)
 _folded("a6_products", "uniq", "uniq", "bigint", nested.unique_products)
@@ -860,13 +864,15 @@ def _(spark, d):
     {O.ratio('(discount_m + 5) // 10')} AS ratio FROM v_amounts WHERE amount_m < 900000""",
 )
 def _(spark, d):
-    values = E.line_values(V.lines(spark, d)).filter(F.col("amount") < 900)
+    values = E.line_values(V.lines(spark, d)).filter(F.col("amount") < 900 * 10_000)
+    amount = money.from_units(F.col("amount"), 4, "decimal(20,4)")
+    discount = money.from_units(F.col("discount"), 8, "decimal(30,8)")
     return values.select(
         "order_id",
         "product_id",
         F.col("items").alias("quantity"),
-        money.round_money(F.col("amount")).alias("money"),
-        money.round_ratio(F.col("discount")).alias("ratio"),
+        money.round_money(amount).alias("money"),
+        money.round_ratio(discount).alias("ratio"),
     )
 
 

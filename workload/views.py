@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartwright.operators import generate
 from cartwright.operators.analytics import build_order_analytics, customers_from_orders
-from cartwright.operators.enrich import enrich_order_lines
+from cartwright.operators.enrich import enrich_order_lines, keep_known_users, line_facts
 from cartwright.session import prepare
 
 AS_OF = "1999-01-01"
@@ -129,6 +129,10 @@ def generated_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_facts(orders(spark, sf_dir), lines(spark, sf_dir), AS_OF)
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_order_lines(
         orders(spark, sf_dir), lines(spark, sf_dir), users(spark, sf_dir), AS_OF
@@ -136,8 +140,8 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_order_analytics(enriched(spark, sf_dir))
+    return build_order_analytics(keep_known_users(facts(spark, sf_dir), users(spark, sf_dir)))
 
 
 def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customers_from_orders(order_table(spark, sf_dir), users(spark, sf_dir), AS_OF)
+    return customers_from_orders(facts(spark, sf_dir), users(spark, sf_dir), AS_OF)
