@@ -41,10 +41,10 @@ def _back_in_time(as_of: AsOf, days: Column, seconds: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-# Ids are 32-bit whole numbers and unique, so a bucket of this width holds at
-# most 65,536 of them and there are at most 65,536 buckets: the ranking within a
-# bucket, the running total over buckets and its broadcast are all bounded.
-BUCKET = 65_536
+# Ids are 32-bit whole numbers and unique. A bucket is the upper 16 bits, so it
+# holds at most 65,536 ids and there are at most 65,536 buckets: the ranking within
+# a bucket, the running total over buckets and its broadcast are all bounded.
+BUCKET_BITS = 16
 
 
 def index_users(users: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def index_users(users: DataFrame) -> DataFrame:
         users.filter(F.col("id").isNotNull())
         .select(F.col("id").cast("int").alias("id"))
         .distinct()
-        .withColumn("bucket", F.floor(F.col("id") / BUCKET).cast("int"))
+        .withColumn("bucket", F.shiftright("id", BUCKET_BITS))
     )
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -125,24 +125,17 @@ def complete_users(users: DataFrame, as_of: AsOf, seed: int = 0) -> DataFrame:
 
 
 def _catalogue() -> Column:
-    return F.array(
-        *[
+    """category -> its products with their price bands, as a constant map."""
+    entries: list[Column] = []
+    for category, items in V.CATALOGUE.items():
+        offers = [
             F.struct(
-                F.lit(category).alias("category"),
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(title).alias("title"),
-                            F.lit(low).alias("low"),
-                            F.lit(high).alias("high"),
-                        )
-                        for title, low, high in items
-                    ]
-                ).alias("items"),
+                F.lit(title).alias("title"), F.lit(low).alias("low"), F.lit(high).alias("high")
             )
-            for category, items in V.CATALOGUE.items()
+            for title, low, high in items
         ]
-    )
+        entries += [F.lit(category), F.array(*offers)]
+    return F.create_map(*entries)
 
 
 def _band(low: Column, high: Column, digest_: Column, start: int, length: int) -> Column:
@@ -151,31 +144,46 @@ def _band(low: Column, high: Column, digest_: Column, start: int, length: int) -
     return ((low * 100 + pick(digest_, start, length, width)) / 100).cast("double")
 
 
-def sample_categories(order_id: Column, count: Column, seed: int) -> Column:
+def category_tickets(prefix: Column, count: Column) -> Column:
     """``count`` different categories: those with the smallest digests.
 
-    The first 8 hex digits decide the sample, the other 24 the product draws.
+    A ticket is the digest followed by the category name, so plain text sorting
+    draws the sample. Its first 8 hex digits decide, the other 24 are left for
+    the product draws.
     """
+    tickets = F.transform(
+        _texts(list(V.CATALOGUE)), lambda category: F.concat(F.md5(F.concat(prefix, category)), category)
+    )
+    return F.slice(F.sort_array(tickets), 1, count)
 
-    def ticket(entry: Column) -> Column:
-        h = digest(seed, "line", order_id, entry["category"])
-        return F.struct(
-            F.substring(h, 1, 8).alias("rank"),
-            entry["category"].alias("category"),
-            h.alias("h"),
-            entry["items"].alias("items"),
-        )
 
-    return F.slice(F.array_sort(F.transform(_catalogue(), ticket)), 1, count)
+def ticket_category(ticket: Column) -> Column:
+    return F.substring(ticket, 33, 100)
 
 
-def _product(ticket: Column) -> Column:
-    h = ticket["h"]
-    item = F.element_at(ticket["items"], (pick(h, 9, 4, F.size(ticket["items"])) + 1).cast("int"))
+def line_prefix(order_id: Column, seed: int) -> Column:
+    return F.concat_ws("|", F.lit(str(seed)), F.lit("line"), order_id.cast("string"), F.lit(""))
+
+
+def _offer(ticket: Column) -> Column:
+    """The drawn product of a ticket's category. A step of its own, so that the
+    price draw can use the band without drawing again."""
+    category = ticket_category(ticket)
+    return F.struct(
+        ticket.alias("h"),
+        category.alias("category"),
+        F.element_at(
+            F.element_at(_catalogue(), category), (pick(ticket, 9, 4, V.OFFERS) + 1).cast("int")
+        ).alias("item"),
+    )
+
+
+def _product(offer: Column) -> Column:
+    h, item = offer["h"], offer["item"]
     return F.struct(
         (pick(h, 27, 6, 9_000) + 1_000).cast("int").alias("id"),
         item["title"].alias("title"),
-        ticket["category"].alias("category"),
+        offer["category"].alias("category"),
         _band(item["low"], item["high"], h, 13, 6).alias("price"),
         (pick(h, 19, 4, 5) + 1).cast("int").alias("quantity"),
         pick(h, 23, 4, 26).cast("double").alias("discountPercentage"),
@@ -188,6 +196,11 @@ def _uuid_text(digest_: Column) -> Column:
     return F.concat_ws("-", *[F.substring(digest_, start, length) for start, length in parts])
 
 
+def category_count(order_digest: Column) -> Column:
+    """1 to 4 categories per order."""
+    return (pick(order_digest, 31, 2, 4) + 1).cast("int")
+
+
 def make_carts(assigned: DataFrame, as_of: AsOf, seed: int = 0) -> DataFrame:
     """One cart for every (id, userId), 1 to 4 products each."""
     h = F.col("h")
@@ -198,21 +211,23 @@ def make_carts(assigned: DataFrame, as_of: AsOf, seed: int = 0) -> DataFrame:
         ]
     )
     drawn = assigned.select(
-        "id", "userId", digest(seed, "order", F.col("id")).alias("h")
+        "id",
+        "userId",
+        digest(seed, "order", F.col("id")).alias("h"),
+        digest(seed, "order-id", F.col("id")).alias("u"),
+        line_prefix(F.col("id"), seed).alias("prefix"),
     ).withColumns(
         {
-            "tickets": sample_categories(
-                F.col("id"), (pick(h, 31, 2, 4) + 1).cast("int"), seed
-            ),
+            "tickets": category_tickets(F.col("prefix"), category_count(h)),
             "courier": _one_of(couriers, len(V.COURIERS), h, 1, 6),
         }
     )
     return drawn.select(
         F.col("id").cast("int").alias("id"),
         F.col("userId").cast("int").alias("userId"),
-        _uuid_text(digest(seed, "order-id", F.col("id"))).alias("orderId"),
+        _uuid_text(F.col("u")).alias("orderId"),
         _back_in_time(as_of, pick(h, 7, 6, 366), pick(h, 13, 6, 86_400)).alias("orderTimestamp"),
-        F.transform("tickets", _product).alias("products"),
+        F.transform(F.transform("tickets", _offer), _product).alias("products"),
         _one_of(_texts(V.PAYMENT_METHODS), len(V.PAYMENT_METHODS), h, 19, 6).alias(
             "paymentMethod"
         ),

@@ -110,3 +110,6 @@ CATALOGUE = {
         ("Nightstand Set", 79, 189),
     ],
 }
+
+# products per category
+OFFERS = 5

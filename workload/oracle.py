@@ -245,7 +245,7 @@ VIEWS["g_catalogue"] = _catalogue()
 
 VIEWS["g_tickets"] = f"""
 SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY substr(h, 1, 8), category) AS rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY h) AS rn FROM (
     SELECT o.id, o.order_id, o.n_categories, c.category,
            md5('{SEED}|line|' || o.id || '|' || c.category) AS h
     FROM g_orders o CROSS JOIN (SELECT DISTINCT category FROM g_catalogue) c))

@@ -276,9 +276,10 @@ def _(spark, d):
 @query("g4_sample_categories", "SELECT id, category FROM g_tickets")
 def _(spark, d):
     ids = V.generated_ids(spark, d)
-    count = (G.pick(G.digest(SEED, "order", F.col("id")), 31, 2, 4) + 1).cast("int")
-    tickets = G.sample_categories(F.col("id"), count, SEED)
-    return ids.select("id", F.explode(tickets).alias("t")).select("id", "t.category")
+    count = G.category_count(G.digest(SEED, "order", F.col("id")))
+    tickets = G.category_tickets(G.line_prefix(F.col("id"), SEED), count)
+    drawn = ids.select("id", F.explode(tickets).alias("ticket"))
+    return drawn.select("id", G.ticket_category(F.col("ticket")).alias("category"))
 
 
 @query("g5_products", _G_LINES)
