@@ -1,6 +1,7 @@
 """Scalar rules on hand-made rows, the expected values worked out by hand."""
 
 import datetime as dt
+import itertools
 from decimal import Decimal as D
 
 import pytest
@@ -103,16 +104,14 @@ def test_discount_ratio(spark):
     assert got == [D("0.0000"), D("0.3333"), D("0.0005")]
 
 
-@pytest.mark.parametrize("spent", ["499999.99", "500000.00", "500000.01", "0.00", "-12.34", "1234.56"])
-@pytest.mark.parametrize("orders", [0, 14, 15, 16])
-@pytest.mark.parametrize("days", [0, 729, 730, 731])
-def test_ltv_matches_plain_python(spark, spent, orders, days):
-    row = spark.createDataFrame(
-        [(D(spent), orders, days)], "s decimal(14,2), n int, d int"
-    ).select(
-        money.ltv(F.col("s"), F.col("n"), F.col("d")).alias("score")
-    ).first()
-    assert row.score == money.ltv_score(D(spent), orders, days)
+def test_ltv_matches_plain_python(spark):
+    spent = ["499999.99", "500000.00", "500000.01", "0.00", "-12.34", "1234.56"]
+    cases = itertools.product(map(D, spent), [0, 14, 15, 16], [0, 729, 730, 731])
+    df = spark.createDataFrame(list(cases), "s decimal(14,2), n int, d int")
+    rows = df.select("*", money.ltv(F.col("s"), F.col("n"), F.col("d")).alias("score")).collect()
+    assert len(rows) == 96
+    for r in rows:
+        assert r.score == money.ltv_score(r.s, r.n, r.d), r
 
 
 def test_ltv_of_nulls_is_zero(spark):
