@@ -65,12 +65,16 @@ def _header(df: DataFrame, as_of: AsOf) -> list[Column]:
         _instant(df, "orderTimestamp", as_of).alias("order_timestamp"),
         text.default_to(F.col("paymentMethod"), "").alias("payment_method"),
         text.default_to(F.col("shippingProvider"), "").alias("shipping_provider"),
-        money.round_money(F.coalesce(F.col("shippingCost").cast("decimal(18,4)"), F.lit(0)))
-        .cast("decimal(10,2)")
-        .alias("shipping_cost"),
+        _shipping_cost().alias("shipping_cost"),
     ]
 
 
+def _shipping_cost() -> Column:
+    return F.coalesce(
+        money.round_money(F.col("shippingCost"), "decimal(10,2)"), F.lit(0).cast("decimal(10,2)")
+    )
+
+
 def _finish(df: DataFrame) -> DataFrame:
     """Header and raw sums to the final order facts; figures in cents until the end."""
 
@@ -133,6 +137,15 @@ def line_values(lines: DataFrame) -> DataFrame:
     )
 
 
+def line_totals(lines: DataFrame) -> DataFrame:
+    """Per order: gross and discount only, in one shuffle of partial sums."""
+    return (
+        line_values(lines)
+        .groupBy("order_id")
+        .agg(F.sum("amount").alias("gross"), F.sum("discount").alias("discount"))
+    )
+
+
 def line_sums(lines: DataFrame, tie_break: str = "first") -> DataFrame:
     """Per order: gross, discount, items, different products, dominant category.
 
@@ -184,6 +197,28 @@ def line_facts(
     return _finish(filled)
 
 
+def order_amounts(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """(order_id, customer_id, final_amount): what a customer rollup needs of an order.
+
+    The same amounts as in ``line_facts`` without the other figures, so the lines
+    are shuffled once and not listed by product.
+    """
+    header = orders.select(
+        _order_id(orders).alias("order_id"),
+        F.col("userId").alias("customer_id"),
+        _shipping_cost().alias("shipping_cost"),
+    )
+    nothing = F.lit(0).cast("bigint")
+    joined = header.join(line_totals(lines), "order_id", "left")
+    net = money.amount_cents(F.coalesce("gross", nothing)) - money.discount_cents(
+        F.coalesce("discount", nothing)
+    )
+    final = net + money.cents(F.col("shipping_cost"))
+    return joined.select(
+        "order_id", "customer_id", money.from_units(final, 2, "decimal(14,2)").alias("final_amount")
+    )
+
+
 def user_attributes(users: DataFrame, as_of: AsOf) -> DataFrame:
     """One narrow, cleaned row per user id."""
     clean = text.default_to(text.email_clean(F.col("email")), "")

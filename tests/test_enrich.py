@@ -199,8 +199,10 @@ def test_both_customer_routes_agree_and_sums_hold(spark):
     one = A.build_customer_analytics(enriched, AS_OF)
     two = A.customers_from_orders(orders, users, AS_OF)
     three = A.customers_from_orders(E.cart_facts(frame, AS_OF), users, AS_OF)
+    lines = E.explode_products(frame)
+    four = A.customers_from_orders(E.order_amounts(frame, lines), users, AS_OF)
     rows = sorted(one.collect())
-    assert rows == sorted(two.collect()) == sorted(three.collect())
+    assert rows == sorted(two.collect()) == sorted(three.collect()) == sorted(four.collect())
     assert one.dtypes == two.dtypes
     assert len(rows) == 6  # user 6 is unknown
     assert sum(r.total_spent for r in rows) == A.total_revenue(orders).first().total

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cartwright.operators import generate
 from cartwright.operators.analytics import build_order_analytics, customers_from_orders
-from cartwright.operators.enrich import enrich_order_lines, keep_known_users, line_facts
+from cartwright.operators.enrich import (
+    enrich_order_lines,
+    keep_known_users,
+    line_facts,
+    order_amounts,
+)
 from cartwright.session import prepare
 
 AS_OF = "1999-01-01"
@@ -35,11 +38,11 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unit_price() -> Column:
-    """A tenth of the line price per piece, in whole tenths of a cent."""
+    """A tenth of the line price per piece, in whole tenths of a cent, as documents
+    carry it: a double."""
     line_cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     pieces = F.nullif(F.col("l_quantity").cast("bigint"), F.lit(0).cast("bigint"))
-    each = F.call_function("div", line_cents, pieces)
-    return (each.cast("decimal(15,0)") * F.lit(Decimal("0.001"))).cast("decimal(18,4)")
+    return F.call_function("div", line_cents, pieces) / 1_000
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +62,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "category",
             _unit_price().alias("price"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.rint(F.col("l_discount") * 100).cast("decimal(6,2)").alias("discountPercentage"),
+            F.rint(F.col("l_discount") * 100).alias("discountPercentage"),
         )
     )
 
@@ -114,7 +117,10 @@ def seed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).cast("int").alias("id"))
+    """An id per given order, spread over all cores: a few bytes each now, but the
+    cart made from one takes far longer than the move."""
+    ids = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).cast("int").alias("id"))
+    return ids.repartition(spark.sparkContext.defaultParallelism)
 
 
 def generated_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,4 +150,5 @@ def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customers_from_orders(facts(spark, sf_dir), users(spark, sf_dir), AS_OF)
+    amounts = order_amounts(orders(spark, sf_dir), lines(spark, sf_dir))
+    return customers_from_orders(amounts, users(spark, sf_dir), AS_OF)
