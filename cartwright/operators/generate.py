@@ -80,8 +80,10 @@ def assign_users(orders: DataFrame, users: DataFrame) -> DataFrame:
     """
     size = F.nullif(_pool_size(users), F.lit(0))
     slots = index_users(users).select(F.col("id").alias("userId"), "slot")
+    number = F.col("id").cast("bigint") - 1
+    # Without a pool nothing matches; the number only keeps the join keys apart.
     return (
-        orders.withColumn("slot", F.pmod(F.col("id").cast("bigint") - 1, size))
+        orders.withColumn("slot", F.coalesce(F.pmod(number, size), number))
         .join(slots, "slot", "left")
         .select("id", F.coalesce("userId", F.col("id").cast("int")).alias("userId"))
     )

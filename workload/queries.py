@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -383,16 +384,17 @@ def _(spark, d):
 
 
 def _status(spark, d) -> DataFrame:
-    key = F.col("o_orderkey")
+    """A write status in which the pending orders failed."""
     return V.table(spark, d, "orders").select(
-        text.record_key("order", key).alias("record_id"), (key % 50 != 0).alias("written")
+        text.record_key("order", F.col("o_orderkey")).alias("record_id"),
+        (F.col("o_orderstatus") != "P").alias("written"),
     )
 
 
 @query(
     "p7_failed_only",
     """SELECT 'order#' || o_orderkey AS record_id, false AS written FROM orders
-    WHERE o_orderkey % 50 = 0""",
+    WHERE o_orderstatus = 'P'""",
 )
 def _(spark, d):
     return A.failed_only(_status(spark, d))
@@ -473,16 +475,16 @@ def _(spark, d):
 
 
 def _stored_balances(spark, d) -> DataFrame:
+    """Stored table: the customers that are not in debt."""
     stamp = F.lit("1998-01-01").cast("timestamp")
-    key = F.col("c_custkey")
     return (
         V.table(spark, d, "customer")
-        .filter(key % 3 != 0)
+        .filter(F.col("c_acctbal") >= 0)
         .select(
-            key.alias("customer_id"),
+            F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("name"),
             F.col("c_acctbal").cast("decimal(14,2)").alias("balance"),
-            F.lit(0).alias("version"),
+            F.lit(-1).cast("bigint").alias("version"),
             stamp.alias("created_at"),
             stamp.alias("updated_at"),
         )
@@ -490,25 +492,22 @@ def _stored_balances(spark, d) -> DataFrame:
 
 
 def _incoming_balances(spark, d) -> DataFrame:
-    key = F.col("c_custkey")
-    customers = V.table(spark, d, "customer")
-    first, second = (
-        customers.filter(kept).select(
-            key.alias("customer_id"),
-            F.col("c_mktsegment").alias("name"),
-            (F.col("c_acctbal").cast("decimal(14,2)") + version).cast("decimal(14,2)").alias(
-                "balance"
-            ),
-            F.lit(version).alias("version"),
+    """Incoming batch: one row per urgent order, so customers repeat; the order key
+    is the version."""
+    return (
+        V.table(spark, d, "orders")
+        .filter(F.col("o_orderpriority") == "1-URGENT")
+        .select(
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderstatus").alias("name"),
+            F.col("o_totalprice").cast("decimal(14,2)").alias("balance"),
+            F.col("o_orderkey").alias("version"),
         )
-        for version, kept in ((1, key % 5 != 0), (2, key % 10 == 2))
     )
-    return first.unionByName(second)
 
 
-_STORED = "(SELECT c_custkey AS k, * FROM customer WHERE c_custkey % 3 <> 0)"
-_INCOMING = """(SELECT c_custkey AS k, 1 AS version, * FROM customer WHERE c_custkey % 5 <> 0
-    UNION ALL SELECT c_custkey, 2, * FROM customer WHERE c_custkey % 10 = 2)"""
+_STORED = "(SELECT c_custkey AS k, * FROM customer WHERE c_acctbal >= 0)"
+_INCOMING = "(SELECT o_custkey AS k, * FROM orders WHERE o_orderpriority = '1-URGENT')"
 
 
 @query(
@@ -632,8 +631,8 @@ def _(spark, d):
 
 @query(
     "a11_status_summary",
-    """SELECT count(*) AS total, count(*) FILTER (o_orderkey % 50 <> 0) AS written,
-    count(*) FILTER (o_orderkey % 50 = 0) AS failed FROM orders""",
+    """SELECT count(*) AS total, count(*) FILTER (o_orderstatus <> 'P') AS written,
+    count(*) FILTER (o_orderstatus = 'P') AS failed FROM orders""",
 )
 def _(spark, d):
     return A.status_summary(_status(spark, d))
@@ -861,19 +860,21 @@ def _(spark, d):
 
 @query(
     "f9_round",
-    f"""SELECT order_id, product_id, quantity, {O.money('(amount_m + 5) // 10')} AS money,
-    {O.ratio('(discount_m + 5) // 10')} AS ratio FROM v_amounts WHERE amount_m < 900000""",
-)
-def _(spark, d):
-    values = E.line_values(V.lines(spark, d)).filter(F.col("amount") < 900 * 10_000)
-    amount = money.from_units(F.col("amount"), 4, "decimal(20,4)")
-    discount = money.from_units(F.col("discount"), 8, "decimal(30,8)")
-    return values.select(
-        "order_id",
-        "product_id",
-        F.col("items").alias("quantity"),
-        money.round_money(amount).alias("money"),
-        money.round_ratio(discount).alias("ratio"),
+    f"""SELECT order_id, product_id, price_c, {O.money('(price_c * 15 + 50) // 100')} AS money,
+    {O.ratio('(pct * tax * 5 + 5) // 10')} AS ratio FROM (SELECT cast(l_orderkey as varchar) AS
+    order_id, l_partkey AS product_id, cast(round(l_extendedprice * 100) as bigint) AS price_c,
+    cast(round(l_discount * 100) as bigint) AS pct, cast(round(l_tax * 100) as bigint) AS tax
+    FROM lineitem)""",
+)
+def _(spark, d):
+    price = F.col("l_extendedprice").cast("decimal(14,2)")
+    discount, tax = (F.col(c).cast("decimal(4,2)") for c in ("l_discount", "l_tax"))
+    return V.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        money.cents(price).alias("price_c"),
+        money.round_money(price * F.lit(Decimal("0.15"))).alias("money"),
+        money.round_ratio(discount * tax * F.lit(Decimal("0.5"))).alias("ratio"),
     )
 
 
@@ -1132,17 +1133,17 @@ def _(spark, d):
 @query(
     "k4_upsert",
     f"""SELECT coalesce(i.k, s.k) AS customer_id,
-    CASE WHEN i.k IS NOT NULL THEN i.c_mktsegment ELSE s.c_name END AS name,
+    CASE WHEN i.k IS NOT NULL THEN i.o_orderstatus ELSE s.c_name END AS name,
     CASE WHEN i.k IS NOT NULL
-      THEN {O.money('cast(round(i.c_acctbal * 100) as bigint) + 100 * i.version')}
+      THEN {O.money('cast(round(i.o_totalprice * 100) as bigint)')}
       ELSE {O.money('cast(round(s.c_acctbal * 100) as bigint)')} END AS balance,
-    coalesce(i.version, 0) AS version,
+    coalesce(i.o_orderkey, -1) AS version,
     CASE WHEN s.k IS NOT NULL THEN TIMESTAMP '1998-01-01' ELSE cast({O.DAY} as timestamp) END
       AS created_at,
     CASE WHEN i.k IS NULL THEN TIMESTAMP '1998-01-01' ELSE cast({O.DAY} as timestamp) END
       AS updated_at
     FROM {_STORED} s FULL JOIN (SELECT * FROM (SELECT *,
-      row_number() OVER (PARTITION BY k ORDER BY version DESC) AS rn FROM {_INCOMING})
+      row_number() OVER (PARTITION BY k ORDER BY o_orderkey DESC) AS rn FROM {_INCOMING})
       WHERE rn = 1) i ON s.k = i.k""",
 )
 def _(spark, d):
@@ -1217,7 +1218,7 @@ def _(spark, d):
 @query(
     "k8_view_status",
     """SELECT 'order#' || o_orderkey AS record_id, false AS written FROM orders
-    WHERE o_orderkey % 50 = 0 ORDER BY 1 LIMIT 20""",
+    WHERE o_orderstatus = 'P' ORDER BY 1 LIMIT 20""",
 )
 def _(spark, d):
     shown, _summary = A.view_status(_status(spark, d), only_failed=True, limit=20)
@@ -1227,7 +1228,7 @@ def _(spark, d):
 _BROKEN = """(SELECT c_custkey AS k, CASE WHEN c_custkey % 19 <> 0 THEN c_name END AS full_name,
     CASE WHEN c_custkey % 17 = 0 THEN repeat('x', 300) ELSE c_name END AS email,
     CASE WHEN c_custkey % 23 = 0 THEN 1000000000000 ELSE 1 END AS total_spent FROM customer
-    UNION ALL SELECT c_custkey, c_name, c_name, 1 FROM customer WHERE c_custkey % 3 = 0)"""
+    UNION ALL SELECT c_custkey, c_name, c_name, 1 FROM customer WHERE c_acctbal < 0)"""
 
 
 @query(
@@ -1250,7 +1251,7 @@ def _(spark, d):
             "total_spent"
         ),
     )
-    again = customers.filter(key % 3 == 0).select(
+    again = customers.filter(F.col("c_acctbal") < 0).select(
         key.alias("customer_id"),
         F.col("c_name").alias("full_name"),
         F.col("c_name").alias("email"),
