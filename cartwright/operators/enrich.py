@@ -198,7 +198,8 @@ def line_facts(
 
 
 def order_amounts(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """(order_id, customer_id, final_amount): what a customer rollup needs of an order.
+    """What rollups and revenue reports need of an order: its keys, its methods and
+    the final amount.
 
     The same amounts as in ``line_facts`` without the other figures, so the lines
     are shuffled once and not listed by product.
@@ -206,6 +207,8 @@ def order_amounts(orders: DataFrame, lines: DataFrame) -> DataFrame:
     header = orders.select(
         _order_id(orders).alias("order_id"),
         F.col("userId").alias("customer_id"),
+        text.default_to(F.col("paymentMethod"), "").alias("payment_method"),
+        text.default_to(F.col("shippingProvider"), "").alias("shipping_provider"),
         _shipping_cost().alias("shipping_cost"),
     )
     nothing = F.lit(0).cast("bigint")
@@ -215,7 +218,11 @@ def order_amounts(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
     final = net + money.cents(F.col("shipping_cost"))
     return joined.select(
-        "order_id", "customer_id", money.from_units(final, 2, "decimal(14,2)").alias("final_amount")
+        "order_id",
+        "customer_id",
+        "payment_method",
+        "shipping_provider",
+        money.from_units(final, 2, "decimal(14,2)").alias("final_amount"),
     )
 
 

@@ -542,7 +542,7 @@ def _(spark, d):
     sum(final_amount)::decimal(24,2) AS total_spent FROM v_order_table GROUP BY customer_id""",
 )
 def _(spark, d):
-    return A.customer_totals(V.order_table(spark, d))
+    return A.customer_totals(V.known_amounts(spark, d))
 
 
 @query(
@@ -610,12 +610,12 @@ def _(spark, d):
     FROM v_order_table GROUP BY payment_method""",
 )
 def _(spark, d):
-    return A.payment_revenue(V.order_table(spark, d))
+    return A.payment_revenue(V.known_amounts(spark, d))
 
 
 @query("a9_total_revenue", "SELECT sum(final_amount)::decimal(24,2) AS total FROM v_order_table")
 def _(spark, d):
-    return A.total_revenue(V.order_table(spark, d))
+    return A.total_revenue(V.known_amounts(spark, d))
 
 
 @query(

@@ -149,6 +149,14 @@ def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_order_analytics(keep_known_users(facts(spark, sf_dir), users(spark, sf_dir)))
 
 
+def amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_amounts(orders(spark, sf_dir), lines(spark, sf_dir))
+
+
+def known_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the order table that revenue reports read."""
+    return keep_known_users(amounts(spark, sf_dir), users(spark, sf_dir))
+
+
 def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    amounts = order_amounts(orders(spark, sf_dir), lines(spark, sf_dir))
-    return customers_from_orders(amounts, users(spark, sf_dir), AS_OF)
+    return customers_from_orders(amounts(spark, sf_dir), users(spark, sf_dir), AS_OF)
