@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwright.session import scratch_path
 
-from . import packing, token_files
+from . import chat, packing, quality, secrets, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def query(fn: Query) -> Query:
@@ -37,3 +38,48 @@ def op3_best_two_fit(spark: SparkSession, d: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, d, "documents"), BYTE_BPE, capacity=2048, end_id=0)
     digests = packed.pieces.select("shard", "row", F.crc32("ids").alias("ids_crc32"))
     return packed.layout.join(digests, ["shard", "row"]).drop("shard", "row")
+
+
+@query
+def op6_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    both = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", both), (-7, 1, "assistant", both)],
+        "conv_id long, turn long, role string, text string",
+    )
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat.read_conversations(chat.format_turns(turns, BYTE_BPE), BYTE_BPE)
+
+
+@query
+def op8_byte_network(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    model = quality.train_on(docs, table(spark, d, "labels"))
+    return docs.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        quality.quality_score(F.col("text"), model).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op10_token_efficiency(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, BYTE_BPE_RANKS)
+    spans = F.col("secret_spans")
+
+    def joined(items):
+        parts = F.transform(items, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+        return F.array_join(parts, ",")
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
+
+    base = F.filter(spans, lambda x: x["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *(count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+        count("random").alias("n_random"),
+    )
