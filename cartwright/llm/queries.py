@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwright.session import scratch_path
 
-from . import chat, packing, quality, secrets, token_files
+from . import chat, decontaminate, packing, quality, secrets, simhash, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,16 @@ def op10_token_efficiency(spark: SparkSession, d: str) -> DataFrame:
         joined(spans).alias("spans"),
         count("random").alias("n_random"),
     )
+
+
+@query
+def op5_simhash_balls(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, d, "documents"), simhash.FOUR_SHINGLES)
+    digits = F.lower(F.hex("prints"))  # little-endian bytes
+    number = F.concat(*(F.substring(digits, i, 2) for i in range(15, 0, -2)))
+    return found.select("doc_id", number.alias("fingerprint"), "component_id")
+
+
+@query
+def op4_latent_retrieval(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
