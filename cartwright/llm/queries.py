@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwright.session import scratch_path
 
-from . import chat, decontaminate, packing, quality, secrets, simhash, token_files
+from . import chat, decontaminate, embed_dedup, packing, quality, secrets, simhash, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,9 @@ def op5_simhash_balls(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op4_latent_retrieval(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op7_sorted_projections(spark: SparkSession, d: str) -> DataFrame:
+    found = embed_dedup.near_duplicates(table(spark, d, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
