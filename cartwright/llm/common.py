@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +46,9 @@ ODD_SPACE = re.compile(r" (?:\s|\Z)")
 class PartEncoder:
     """Encodes texts with a byte-level BPE of the tokenizers library, part by part.
 
-    Texts are cut before words, where no token can cross, and every distinct part is
-    encoded once per worker while it stays in a bounded cache. The ids are those of
-    the whole text; ``tests/llm`` compares them.
+    Texts are cut before words, where no token can cross. Every distinct part of a batch
+    is encoded once, all in one call; parts that occur again stay in a bounded cache of
+    the worker. The ids are those of the whole text; ``tests/llm`` compares them.
     """
 
     def __init__(self, path: str, cached_parts: int = 300_000, cached_length: int = 48) -> None:
@@ -55,33 +57,47 @@ class PartEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        size = self.tokenizer.get_vocab_size()
+        # The mark that byte-level vocabularies use for a space.
+        self.opens = np.array([self.tokenizer.id_to_token(i)[:1] == "\u0120" for i in range(size)])
         self.cached_parts = cached_parts
         self.cached_length = cached_length
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.cache: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, "<u4")
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode parts that follow a space. The space opens a token, so one text holds all."""
+        plain = [x for x in parts if " " not in x]
+        ids = self._ids(" " + " ".join(plain)) if plain else np.zeros(0, "<u4")
+        cuts = np.flatnonzero(self.opens[ids])
+        if len(cuts) == len(plain):
+            data = ids.tobytes()
+            at = [*(4 * cuts).tolist(), len(data)]
+            self.cache.update(zip(plain, [data[a:b] for a, b in zip(at[:-1], at[1:])], strict=True))
+        else:
+            parts, plain = [], parts
+            self.cache.update((x, self._ids(" " + x).tobytes()) for x in plain)
+        self.cache.update((x, self._ids(" " + x).tobytes()) for x in parts if " " in x)
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [
             PART_START.split(text) if ODD_SPACE.search(text) else text.split(" ") for text in texts
         ]
-        for cache, wanted, lead in (
-            (self.heads, {p[0] for p in parts}, ""),
-            (self.tails, set().union(*(p[1:] for p in parts)), " "),
-        ):
-            if len(cache) > self.cached_parts:
-                cache.clear()
-            new = list(wanted - cache.keys())
-            cache.update(zip(new, self._ids([lead + x for x in new]), strict=True))
-        tail = self.tails.__getitem__
-        out = [self.heads[p[0]] + b"".join(map(tail, p[1:])) for p in parts]
-        for cache in (self.heads, self.tails):
-            for key in [k for k in cache if len(k) > self.cached_length]:
-                del cache[key]
+        heads = [self._ids(p.pop(0)).tobytes() for p in parts]
+        seen = Counter(chain.from_iterable(parts))
+        if len(self.cache) > self.cached_parts:
+            self.cache.clear()
+        new = [x for x in seen if x not in self.cache]
+        self._learn(new)
+        find = self.cache.__getitem__
+        out = [head + b"".join(map(find, p)) for head, p in zip(heads, parts, strict=True)]
+        for x in new:
+            if seen[x] < 2 or len(x) > self.cached_length:
+                del self.cache[x]
         return out
 
 
