@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwright.session import scratch_path
 
-from . import chat, decontaminate, embed_dedup, packing, quality, secrets, simhash, token_files
+from . import chat, decontaminate, embed_dedup, html_blocks, packing, quality, secrets, simhash, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,9 @@ def op4_latent_retrieval(spark: SparkSession, d: str) -> DataFrame:
 def op7_sorted_projections(spark: SparkSession, d: str) -> DataFrame:
     found = embed_dedup.near_duplicates(table(spark, d, "embeddings"))
     return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+@query
+def op2_block_labeller(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    return html_blocks.extract_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
