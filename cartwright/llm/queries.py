@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwright.session import scratch_path
 
-from . import chat, decontaminate, embed_dedup, html_blocks, packing, quality, secrets, simhash, token_files
+from . import chat, decontaminate, embed_dedup, html_blocks, packing, quality, secrets, simhash
+from . import suffix_dedup, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +109,16 @@ def op7_sorted_projections(spark: SparkSession, d: str) -> DataFrame:
 def op2_block_labeller(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select("page_id", "url", "html")
     return html_blocks.extract_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op9_suffix_runs(spark: SparkSession, d: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, d, "documents"))
+    removed = F.transform("removed", lambda x: x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(removed, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
