@@ -98,7 +98,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if tag is None:
             continue
         tag, ends, attributes = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in RAW:
             close()
         elif tag == "br":
             parts.append(" ")

@@ -51,7 +51,7 @@ FIRST = -(1 << 63)  # order of a null id
 class Setup:
     length: int = 100
     seed: int = 48
-    run_bytes: int = 12_000_000
+    run_bytes: int = 8_000_000
     hot: int = 4000
 
 
@@ -93,50 +93,51 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
 @dataclass
 class Anchors:
     """Per anchor its place, the first and last string anchored there, and hashes of the
-    seed and of all its surroundings. ``strings`` has the hash of each string."""
+    seed and of all its surroundings."""
 
     place: np.ndarray
     low: np.ndarray
     high: np.ndarray
     seed: np.ndarray
     around: np.ndarray
-    strings: np.ndarray
 
 
 BLOCK = 1 << 17
 
 
 def find_anchors(data: np.ndarray, sizes: np.ndarray, setup: Setup) -> Anchors:
-    """Anchors of all strings inside documents of ``sizes`` bytes."""
+    """Anchors of all strings inside documents of ``sizes`` bytes, block by block."""
     size, seed = setup.length, setup.seed
-    total = len(data) - size + 1
-    if total < 1:
-        none = np.zeros(0, np.int64)
-        return Anchors(none, none, none, none.astype(U), none.astype(U), none.astype(U))
-    at = np.empty(total, np.int64)
-    strings, seeds = np.empty(total, U), np.empty(len(data) - seed + 1, U)
+    ends = np.cumsum(sizes)
     mask = U((1 << 18) - 1)
-    for i in range(0, total, BLOCK):
-        n = min(BLOCK, total - i)
+    parts = []
+    for i in range(0, len(data) - size + 1, BLOCK):
+        n = min(BLOCK, len(data) - size + 1 - i)
         h_seed, h_all = _hashes(data[i : i + n + size - 1], (seed, size))
-        strings[i : i + n], seeds[i : i + len(h_seed)] = h_all, h_seed
         ranked = (h_seed & ~mask) | np.arange(len(h_seed), dtype=U)
-        at[i : i + n] = i + (_smallest(ranked, size - seed + 1) & mask).astype(np.int64)
-    ends = np.cumsum(sizes)
-    inside = np.zeros(total + size, np.int32)
-    starts = ends - sizes
-    fits = sizes >= size
-    np.add.at(inside, starts[fits], 1)
-    np.add.at(inside, ends[fits] - size + 1, -1)
-    valid = np.flatnonzero(np.cumsum(inside[:total]) > 0)
-    doc = np.searchsorted(ends, valid, "right")
-    place = at[valid]
-    new = np.append(True, (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]))[: len(valid)]
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(valid)) - 1
-    low, high, place = valid[first], valid[last] if len(valid) else valid, place[first]
-    around = _pair(strings[low], strings[high]) + (high - low).astype(U) * U(131) + (place - low).astype(U)
-    return Anchors(place, low, high, seeds[place], _pair(seeds[place], around), strings)
+        at = (_smallest(ranked, size - seed + 1) & mask).astype(np.int64)
+        low, high = np.searchsorted(ends, (i, i + n), "right")
+        near = ends[low : high + 1] - i  # ends of the documents that the block touches
+        doc = np.searchsorted(near, np.arange(n), "right")
+        valid = np.flatnonzero(near[doc] - np.arange(n) >= size)
+        if not len(valid):
+            continue
+        place, doc = at[valid], doc[valid]
+        first = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])))
+        last = np.append(first[1:], len(valid)) - 1
+        lows, highs, place = valid[first], valid[last], place[first]
+        parts.append((i + place, i + lows, i + highs, h_seed[place], h_all[lows], h_all[highs]))
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return Anchors(none, none, none, none.astype(U), none.astype(U))
+    place, low, high, seeds, start, end = (np.concatenate(x) for x in zip(*parts))
+    # An anchor may have strings on both sides of a block's edge.
+    first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    last = np.append(first[1:], len(place)) - 1
+    place, low, high, seeds = place[first], low[first], high[last], seeds[first]
+    around = _pair(start[first], end[last])
+    around += (high - low).astype(U) * U(131) + (place - low).astype(U)
+    return Anchors(place, low, high, seeds, _pair(seeds, around))
 
 
 def _firsts(values: np.ndarray) -> np.ndarray:
@@ -447,7 +448,12 @@ def remove_repeats(
             docs_of = np.repeat(doc_ids[doc_of[picked]], n)
             order = np.lexsort((starts, docs_of))
             starts, docs_of = starts[order], docs_of[order]
-            values = found.strings[starts]
+            bytes_of = np.frombuffer(data, np.uint8)
+            values = [
+                _hashes(bytes_of[a : b + setup.length], (setup.length,))[0]
+                for a, b in zip(found.low[picked].tolist(), found.high[picked].tolist())
+            ]
+            values = np.concatenate(values)[order]
             fresh = _firsts(values)
             again = starts[~fresh]
             out.append((key[0] % (1 << bucket_bits), key[0], 2, _bundle(again, np.ones(len(again), np.int64))))
@@ -489,7 +495,7 @@ def remove_repeats(
             place, n = (np.frombuffer(x, "<i8") for x in _unbundle(spans))
             np.add.at(edge, place, 1)
             np.add.at(edge, place + n + setup.length - 1, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
         out, at = [], 0
         for doc_id, null, size in zip(r["doc_ids"], r["nulls"], r["sizes"]):
             mask = gone[at : at + size]

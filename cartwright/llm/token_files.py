@@ -151,7 +151,7 @@ def write_token_files(
     totals = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     (
-        spark.read.parquet(f"{path}/blocks")
+        spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
         .groupBy("shard")
         .agg(F.sum(totals).alias("n_tokens"))  # one row per task of the write
         .select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
@@ -202,8 +202,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                         }
                     )
 
-    blocks = spark.read.parquet(f"{path}/blocks").mapInPandas(run, TOKENS)
-    bases = spark.read.parquet(f"{path}/shards")
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").mapInPandas(run, TOKENS)
+    bases = spark.read.schema("shard int, base long").parquet(f"{path}/shards")
     return blocks.join(bases, "shard").select(
         "doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids"
     )
@@ -214,7 +214,8 @@ def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]
     read, *_ = _reader(spark, path)
     holds = F.array_contains("doc_ids", F.lit(doc_id).cast("long"))
     out = []
-    for b in spark.read.parquet(f"{path}/blocks").where(holds).orderBy("shard", "block").collect():
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
+    for b in blocks.where(holds).orderBy("shard", "block").collect():
         for i in (i for i, x in enumerate(b.doc_ids) if x == doc_id):
             ids = read(bytes(b.payload), b.offsets, i, b.dictionary_sha256)
             out.append(np.frombuffer(ids, "<u4").tolist())
