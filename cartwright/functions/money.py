@@ -1,10 +1,12 @@
 """Exact money arithmetic and the scores built on it.
 
-Doubles never get summed or divided. Line amounts are whole numbers on entry
-(64-bit, so sums stay in generated code) and every division is a half-up
-division of whole numbers, which has one right answer whatever the row order or
-the engine. Arithmetic that leaves 64 bits fails the job (ANSI mode): that takes
-one order with more than 90 billion dollars of discount.
+Doubles never get summed or divided. Prices, quantities and percentages become decimals
+that hold their shortest decimal text (12 decimals of a price, 6 of a percentage);
+products and sums of these keep every digit and are rounded once, to cents. From there
+on figures are whole cents, and every division is a half-up division of whole numbers,
+which has one right answer whatever the row order or the engine. What leaves the range
+of a type fails the job (ANSI mode) instead of giving a wrong number: a line of 10^15
+dollars, or a result beyond the decimal(14,2) of the result tables.
 """
 
 from __future__ import annotations
@@ -13,38 +15,38 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-# Units of the whole numbers: prices keep 4 decimals, so sub-cent prices are
-# exact; percentages keep 2, so a discount has 4 + 2 decimals and the percent's 2.
-AMOUNT_DECIMALS = 4
-DISCOUNT_DECIMALS = 8
+PRICE = "decimal(22,12)"
+QUANTITY = "decimal(10,0)"
+PERCENT = "decimal(9,6)"
+AMOUNT = "decimal(27,12)"
+DISCOUNT = "decimal(37,18)"  # amount x percent
+# Running sums: one more digit would make Spark give up decimals of the result.
+AMOUNT_SUM = "decimal(37,12)"
+DISCOUNT_SUM = "decimal(37,18)"
 
 
 def _whole(value: int) -> Column:
     return F.lit(value).cast("bigint")
 
 
-def _units(c: Column, factor: int) -> Column:
-    return F.rint(c.cast("double") * factor).cast("bigint")
-
-
 def line_amount(price: Column, quantity: Column) -> Column:
-    """price x quantity in units of 10^-4; a missing part counts as 0."""
-    return F.coalesce(
-        _units(price, 10**AMOUNT_DECIMALS) * quantity.cast("bigint"), _whole(0)
-    )
+    """price x quantity; a missing part counts as 0."""
+    product = (price.cast(PRICE) * quantity.cast(QUANTITY)).cast(AMOUNT)
+    return F.coalesce(product, F.lit(0).cast(AMOUNT))
 
 
 def line_discount(amount: Column, percent: Column) -> Column:
-    """Discount of a line amount in units of 10^-8; a missing percentage counts as 0."""
-    return amount * F.coalesce(_units(percent, 100), _whole(0))
+    """Discount of a line amount in cents, unrounded: amount x percent; a missing
+    percentage counts as 0."""
+    return (amount * F.coalesce(percent.cast(PERCENT), F.lit(0).cast(PERCENT))).cast(DISCOUNT)
 
 
-def amount_cents(units: Column) -> Column:
-    return half_up_div(units, _whole(10 ** (AMOUNT_DECIMALS - 2)))
+def amount_cents(total: Column) -> Column:
+    return (F.round(total, 2).cast("decimal(30,2)") * F.lit(Decimal(100))).cast("bigint")
 
 
-def discount_cents(units: Column) -> Column:
-    return half_up_div(units, _whole(10 ** (DISCOUNT_DECIMALS - 2)))
+def discount_cents(total: Column) -> Column:
+    return F.round(total, 0).cast("bigint")
 
 
 def round_money(c: Column, type_: str = "decimal(14,2)") -> Column:

@@ -27,14 +27,62 @@ def _amount(p: Column) -> Column:
     return money.line_amount(p["price"], p["quantity"])
 
 
+def priced(products: Column) -> Column:
+    """The lines with what the sums need: name, amount, discount, quantity."""
+    with_amounts = F.transform(
+        products,
+        lambda p: F.struct(
+            text.or_unknown(p["category"]).alias("name"),
+            _amount(p).alias("amount"),
+            p["discountPercentage"].alias("percent"),
+            F.coalesce(p["quantity"], F.lit(0)).cast("bigint").alias("quantity"),
+        ),
+    )
+    return F.transform(
+        with_amounts,
+        lambda p: F.struct(
+            p["name"].alias("name"),
+            p["amount"].alias("amount"),
+            money.line_discount(p["amount"], p["percent"]).alias("discount"),
+            p["quantity"].alias("quantity"),
+        ),
+    )
+
+
+def sums(lines: Column) -> Column:
+    """gross, discount and items of ``priced`` lines, in one fold."""
+
+    def plus(acc: Column, line: Column, field: str, added: str, type_: str) -> Column:
+        return (acc[field] + line[added]).cast(type_).alias(field)
+
+    zero = F.struct(
+        F.lit(0).cast(money.AMOUNT_SUM).alias("gross"),
+        F.lit(0).cast(money.DISCOUNT_SUM).alias("discount"),
+        F.lit(0).cast("bigint").alias("items"),
+    )
+    total = F.aggregate(
+        lines,
+        zero,
+        lambda acc, p: F.struct(
+            plus(acc, p, "gross", "amount", money.AMOUNT_SUM),
+            plus(acc, p, "discount", "discount", money.DISCOUNT_SUM),
+            plus(acc, p, "items", "quantity", "bigint"),
+        ),
+    )
+    return F.coalesce(total, zero)
+
+
 def gross(products: Column) -> Column:
-    """Sum of the line amounts, in the units of ``money.line_amount``."""
-    return fold_products(products, _amount, "bigint")
+    """Sum of the line amounts, unrounded."""
+    return fold_products(products, _amount, money.AMOUNT_SUM)
 
 
 def discount(products: Column) -> Column:
+    """Sum of the line discounts in cents, unrounded."""
     return fold_products(
-        products, lambda p: money.line_discount(_amount(p), p["discountPercentage"]), "bigint"
+        products,
+        lambda p: money.line_discount(_amount(p), p["discountPercentage"]),
+        money.DISCOUNT_SUM,
     )
 
 
@@ -62,6 +110,10 @@ def unique_products(products: Column) -> Column:
 
 
 def dominant_category(products: Column, tie_break: str = "first") -> Column:
+    return dominant_of(priced(products), tie_break)
+
+
+def dominant_of(priced_lines: Column, tie_break: str = "first") -> Column:
     """Category with the largest amount, found in one pass over the sorted array.
 
     Sorting brings the lines of a category together, in ascending name order;
@@ -69,21 +121,19 @@ def dominant_category(products: Column, tie_break: str = "first") -> Column:
     first name stays (``tie_break="first"``) or the last one wins (``"last"``).
     """
     check_tie_break(tie_break)
-    lines = F.array_sort(
+    lines = F.sort_array(
         F.transform(
-            products,
-            lambda p: F.struct(
-                text.or_unknown(p["category"]).alias("name"), _amount(p).alias("amount")
-            ),
+            priced_lines,
+            lambda p: F.struct(p["name"].alias("name"), p["amount"].alias("amount")),
         )
     )
-    zero = F.lit(0).cast("bigint")
+    zero = F.lit(0).cast(money.AMOUNT_SUM)
     none = F.lit(None)
     start = F.struct(
         none.cast("string").alias("name"),
         zero.alias("run"),
         none.cast("string").alias("best"),
-        none.cast("bigint").alias("top"),
+        none.cast(money.AMOUNT_SUM).alias("top"),
     )
 
     def run_wins(s: Column) -> Column:
@@ -95,7 +145,9 @@ def dominant_category(products: Column, tie_break: str = "first") -> Column:
         closes = ~same & run_wins(s)
         return F.struct(
             line["name"].alias("name"),
-            (F.when(same, s["run"]).otherwise(zero) + line["amount"]).alias("run"),
+            (F.when(same, s["run"]).otherwise(zero) + line["amount"])
+            .cast(money.AMOUNT_SUM)
+            .alias("run"),
             F.when(closes, s["name"]).otherwise(s["best"]).alias("best"),
             F.when(closes, s["run"]).otherwise(s["top"]).alias("top"),
         )

@@ -112,20 +112,23 @@ def _finish(df: DataFrame) -> DataFrame:
 def cart_facts(carts: DataFrame, as_of: AsOf, tie_break: str = "first") -> DataFrame:
     """Order facts of carts with a product array; a projection, no shuffle."""
     products = nested.products_or_empty(F.col("products"))
+    priced = carts.select(
+        *_header(carts, as_of),
+        nested.unique_products(products).alias("unique_products"),
+        nested.priced(products).alias("lines"),
+    )
     return _finish(
-        carts.select(
-            *_header(carts, as_of),
-            nested.gross(products).alias("gross"),
-            nested.discount(products).alias("discount"),
-            nested.items(products).alias("items"),
-            nested.unique_products(products).alias("unique_products"),
-            nested.dominant_category(products, tie_break).alias("dominant_category"),
-        )
+        priced.withColumns(
+            {
+                "sums": nested.sums(F.col("lines")),
+                "dominant_category": nested.dominant_of(F.col("lines"), tie_break),
+            }
+        ).withColumns({c: F.col(f"sums.{c}") for c in ("gross", "discount", "items")})
     )
 
 
 def line_values(lines: DataFrame) -> DataFrame:
-    """Order lines with whole-number amounts and clean categories."""
+    """Order lines with exact amounts and clean categories."""
     amount = money.line_amount(F.col("price"), F.col("quantity"))
     return lines.select(
         F.col("orderId").alias("order_id"),
@@ -187,7 +190,7 @@ def line_facts(
     """Order facts of orders whose products are rows of ``lines``."""
     header = orders.select(*_header(orders, as_of))
     joined = header.join(line_sums(lines, tie_break), "order_id", "left")
-    nothing = F.lit(0).cast("bigint")
+    nothing = F.lit(0)
     filled = joined.withColumns(
         {
             **{c: F.coalesce(F.col(c), nothing) for c in _SUMS},
@@ -211,7 +214,7 @@ def order_amounts(orders: DataFrame, lines: DataFrame) -> DataFrame:
         text.default_to(F.col("shippingProvider"), "").alias("shipping_provider"),
         _shipping_cost().alias("shipping_cost"),
     )
-    nothing = F.lit(0).cast("bigint")
+    nothing = F.lit(0)
     joined = header.join(line_totals(lines), "order_id", "left")
     net = money.amount_cents(F.coalesce("gross", nothing)) - money.discount_cents(
         F.coalesce("discount", nothing)
@@ -315,11 +318,16 @@ def nest_products(lines: DataFrame) -> DataFrame:
 
 
 def category_totals(lines: DataFrame) -> DataFrame:
-    total = money.from_units(F.sum("amount"), money.AMOUNT_DECIMALS, "decimal(20,4)")
+    return _exact_category_totals(lines).withColumn(
+        "category_amount", F.col("category_amount").cast("decimal(20,4)")
+    )
+
+
+def _exact_category_totals(lines: DataFrame) -> DataFrame:
     return (
         line_values(lines)
         .groupBy("order_id", "category")
-        .agg(total.alias("category_amount"))
+        .agg(F.sum("amount").alias("category_amount"))
     )
 
 
@@ -333,7 +341,7 @@ def dominant_category_window(lines: DataFrame, tie_break: str = "first") -> Data
     name = F.asc("category") if tie_break == "first" else F.desc("category")
     ranked = Window.partitionBy("order_id").orderBy(F.desc("category_amount"), name)
     return (
-        category_totals(lines)
+        _exact_category_totals(lines)
         .withColumn("row_num", F.row_number().over(ranked))
         .filter(F.col("row_num") == 1)
         .select("order_id", F.col("category").alias("dominant_category"))
