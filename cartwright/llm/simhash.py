@@ -14,7 +14,8 @@ bounded size; false meetings of hashes only cost a verification.
 A group that meets in a variant is linked to its smallest member that verifies; members
 that do not are tried against the next one. Groups are reduced inside each chunk before
 they are shuffled, so a variant shared by very many fingerprints sends one row per
-chunk. Equal fingerprints are one node from the start.
+chunk, in the name of the chunk's own component. Equal fingerprints are one node from
+the start.
 
 Long fingerprints serve looser similarities: several tables of fewer bits, each with its
 own ball, find the candidates, and the distance over all bits decides.
@@ -145,7 +146,8 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _linked(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, limit: int):
-    """Links inside groups of equal keys, and the members that others were tried against.
+    """Links inside groups of equal keys, and the members that others were tried against,
+    both by position.
 
     Each group is compared with its smallest node; what does not verify is compared
     with the next, until none is left.
@@ -156,12 +158,27 @@ def _linked(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, limit: int)
         first = np.append(True, keys[order][1:] != keys[order][:-1])
         leader = order[first][np.cumsum(first) - 1]
         near = np.bitwise_count(prints[order] ^ prints[leader]).sum(1) <= limit
-        linked = near & (nodes[order] != nodes[leader])
-        pairs.append(np.stack([nodes[leader[linked]], nodes[order[linked]]], 1))
+        linked = near & (order != leader)
+        pairs.append(np.stack([leader[linked], order[linked]], 1))
         leaders.append(order[first])
         order = order[~near & ~first]
-    found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-    return found, np.concatenate(leaders) if leaders else np.zeros(0, np.int64)
+    none = np.zeros(0, np.int64)
+    found = np.concatenate(pairs) if pairs else none.reshape(0, 2)
+    return found, np.concatenate(leaders) if leaders else none
+
+
+def _roots(pairs: np.ndarray, n: int) -> np.ndarray:
+    """The smallest position that links lead to from each of ``n``."""
+    root = np.arange(n)
+    a, b = pairs.T
+    while True:
+        new = root.copy()
+        np.minimum.at(new, root[a], root[b])
+        np.minimum.at(new, root[b], root[a])
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
 
 
 def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
@@ -224,7 +241,7 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
         return pd.DataFrame(rows, columns=["chunk", "hashes"])
 
     def emit(key: tuple, chunk: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
-        columns = ["bucket", "keys", "ids", "prints", "links"]
+        columns = ["bucket", "keys", "roots", "prints", "links"]
         if not len(chunk) or not len(met):
             return pd.DataFrame([], columns=columns)
         wanted = np.sort(np.concatenate([_unpack(x) for x in met["hashes"]]))
@@ -241,14 +258,17 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
             keys.append(value[hit])
             owners.append(i + at[hit] // each)
         keys, owners = np.concatenate(keys), np.concatenate(owners)
-        links, leaders = _linked(keys, ids[owners], prints[owners], limit)
+        pairs, leaders = _linked(keys, ids[owners], prints[owners], limit)
+        root = _roots(owners[pairs], len(ids))
+        inner = np.flatnonzero(root != np.arange(len(ids)))
+        links = np.stack([ids[root[inner]], ids[inner]], 1)
         keys, owners = keys[leaders], owners[leaders]
         buckets = keys >> np.uint64(low_bits)
         order = np.argsort(buckets, kind="stable")
         keys, owners, buckets = keys[order], owners[order], buckets[order]
         cuts = np.append(np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])), len(buckets))
         rows = [
-            (int(buckets[a]), keys[a:b].tobytes(), ids[owners[a:b]].tobytes(), prints[owners[a:b]].tobytes(), b"")
+            (int(buckets[a]), keys[a:b].tobytes(), ids[root[owners[a:b]]].tobytes(), prints[owners[a:b]].tobytes(), b"")
             for a, b in zip(cuts[:-1], cuts[1:])
         ]
         # Links inside a chunk need no further meeting; they ride along.
@@ -257,11 +277,12 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(group["keys"]), "<u8")
-        ids = np.frombuffer(b"".join(group["ids"]), "<i8")
+        roots = np.frombuffer(b"".join(group["roots"]), "<i8")
         pairs = np.frombuffer(b"".join(group["links"]), "<i8").reshape(-1, 2)
         if len(keys):
-            found, _ = _linked(keys, ids, words_of(b"".join(group["prints"])), limit)
-            pairs = np.concatenate([pairs, found])
+            found, _ = _linked(keys, roots, words_of(b"".join(group["prints"])), limit)
+            met = roots[found]
+            pairs = np.concatenate([pairs, np.unique(met[met[:, 0] != met[:, 1]], axis=0)])
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     chunks = store(nodes.select("node", "prints").mapInPandas(gather, "chunk long, ids binary, prints binary"), "chunks")
@@ -274,7 +295,7 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     kept = (
         chunks.groupBy("chunk")
         .cogroup(met.groupBy("chunk"))
-        .applyInPandas(emit, "bucket long, keys binary, ids binary, prints binary, links binary")
+        .applyInPandas(emit, "bucket long, keys binary, roots binary, prints binary, links binary")
     )
     return kept.groupBy("bucket").applyInPandas(verify, "a long, b long")
 
