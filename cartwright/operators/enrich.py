@@ -247,15 +247,23 @@ def user_attributes(users: DataFrame, as_of: AsOf) -> DataFrame:
 def attach_users(facts: DataFrame, attributes: DataFrame) -> DataFrame:
     """Inner join on the customer; orders of unknown users drop out.
 
+    ``join_users`` with the columns of an enriched order.
+    """
+    return join_users(facts, attributes).select(*ENRICHED)
+
+
+def join_users(facts: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Facts with the attributes of their user.
+
     No hint: AQE broadcasts the users when they are small at run time, and
     otherwise splits a customer with very many orders. It only splits a join
     whose inputs both come straight from a shuffle. The deduplicated users are
-    already partitioned by id, and a join on that column would reuse this; on the
-    widened key they are shuffled once more, which is little next to the orders.
+    already partitioned by id, and a join on that column would reuse this; on its
+    complement they are shuffled once more, which is little next to the orders.
     """
     users = attributes.withColumnRenamed("customer_id", "user_id")
-    same = F.col("customer_id").cast("bigint") == F.col("user_id").cast("bigint")
-    return facts.join(users, same, "inner").select(*ENRICHED)
+    same = F.bitwise_not("customer_id") == F.bitwise_not("user_id")
+    return facts.join(users, same, "inner")
 
 
 def keep_known_users(facts: DataFrame, users: DataFrame) -> DataFrame:

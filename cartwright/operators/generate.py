@@ -41,32 +41,34 @@ def _back_in_time(as_of: AsOf, days: Column, seconds: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-# Ids are 32-bit whole numbers and unique. A bucket is the upper 16 bits, so it
-# holds at most 65,536 ids and there are at most 65,536 buckets: the ranking within
-# a bucket, the running total over buckets and its broadcast are all bounded.
-BUCKET_BITS = 16
+# Users are numbered level by level. A level cuts 16 bits off the ids, so a group of
+# one level holds at most 65,536 groups of the one below; every window sees one group.
+LEVEL_BITS = 16
+LEVELS = 3  # the fourth 16 bits of a 64-bit id are the last group
 
 
 def index_users(users: DataFrame) -> DataFrame:
     """(id, slot): the users numbered 0, 1, 2… in id order, without a global sort."""
     ids = (
         users.filter(F.col("id").isNotNull())
-        .select(F.col("id").cast("int").alias("id"))
+        .select(F.col("id").cast("bigint").alias("id"))
         .distinct()
-        .withColumn("bucket", F.shiftright("id", BUCKET_BITS))
-    )
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        ids.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    )
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-    return (
-        ids.withColumn("rank", rank)
-        .join(F.broadcast(starts), "bucket")
-        .select("id", (F.col("start") + F.col("rank") - 1).alias("slot"))
     )
+    for level in range(1, LEVELS + 1):
+        ids = ids.withColumn(f"g{level}", F.shiftright("id", LEVEL_BITS * level))
+    slots = ids.withColumn("slot", F.row_number().over(Window.partitionBy("g1").orderBy("id")) - 1)
+    counts = ids.groupBy("g1", "g2", "g3").agg(F.count(F.lit(1)).alias("n"))
+    for level in range(1, LEVELS + 1):
+        if level > 1:
+            upper = [f"g{k}" for k in range(level, LEVELS + 1)]
+            counts = counts.groupBy(*upper).agg(F.sum("n").alias("n"))
+        group = f"g{level}"
+        window = Window.partitionBy(f"g{level + 1}") if level < LEVELS else Window.partitionBy()
+        before = window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select(group, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+        slots = slots.join(starts, group).withColumn("slot", F.col("slot") + F.col("start"))
+        slots = slots.drop("start")
+    return slots.select("id", "slot")
 
 
 def _pool_size(users: DataFrame) -> Column:
@@ -85,7 +87,7 @@ def assign_users(orders: DataFrame, users: DataFrame) -> DataFrame:
     return (
         orders.withColumn("slot", F.coalesce(F.pmod(number, size), number))
         .join(slots, "slot", "left")
-        .select("id", F.coalesce("userId", F.col("id").cast("int")).alias("userId"))
+        .select("id", F.coalesce("userId", F.col("id").cast("bigint")).alias("userId"))
     )
 
 
@@ -108,7 +110,7 @@ def make_users(ids: DataFrame, as_of: AsOf, seed: int = 0) -> DataFrame:
     """A wholly synthetic user for every id."""
     drawn = _drawn_user(F.col("id"), as_of, seed)
     return ids.select(
-        F.col("id").cast("int").alias("id"), *[c.alias(name) for name, c in drawn.items()]
+        F.col("id").cast("bigint").alias("id"), *[c.alias(name) for name, c in drawn.items()]
     )
 
 
@@ -121,7 +123,7 @@ def complete_users(users: DataFrame, as_of: AsOf, seed: int = 0) -> DataFrame:
         for name in ("firstName", "lastName", "email", "createdAt")
     }
     return users.select(
-        F.col("id").cast("int").alias("id"),
+        F.col("id").cast("bigint").alias("id"),
         *[c.alias(name) for name, c in (drawn | kept).items()],
     )
 
@@ -160,7 +162,7 @@ def category_tickets(prefix: Column, count: Column) -> Column:
 
 
 def ticket_category(ticket: Column) -> Column:
-    return F.substring(ticket, 33, 100)
+    return F.substring(ticket, F.lit(33), F.char_length(ticket))
 
 
 def line_prefix(order_id: Column, seed: int) -> Column:
@@ -183,7 +185,7 @@ def _offer(ticket: Column) -> Column:
 def _product(offer: Column) -> Column:
     h, item = offer["h"], offer["item"]
     return F.struct(
-        (pick(h, 27, 6, 9_000) + 1_000).cast("int").alias("id"),
+        (pick(h, 27, 6, 9_000) + 1_000).alias("id"),
         item["title"].alias("title"),
         offer["category"].alias("category"),
         _band(item["low"], item["high"], h, 13, 6).alias("price"),
@@ -225,8 +227,8 @@ def make_carts(assigned: DataFrame, as_of: AsOf, seed: int = 0) -> DataFrame:
         }
     )
     return drawn.select(
-        F.col("id").cast("int").alias("id"),
-        F.col("userId").cast("int").alias("userId"),
+        F.col("id").cast("bigint").alias("id"),
+        F.col("userId").cast("bigint").alias("userId"),
         _uuid_text(F.col("u")).alias("orderId"),
         _back_in_time(as_of, pick(h, 7, 6, 366), pick(h, 13, 6, 86_400)).alias("orderTimestamp"),
         F.transform(F.transform("tickets", _offer), _product).alias("products"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ..functions import time
 
 
 def last_per_key(df: DataFrame, key: str, *seq: str) -> DataFrame:
@@ -20,9 +22,16 @@ def last_per_key(df: DataFrame, key: str, *seq: str) -> DataFrame:
 
 
 def dedupe_users(users: DataFrame, *seq: str) -> DataFrame:
-    """One row per user id: the last in the order of ``seq`` (default: signup text).
+    """One row per user id: the last in the order of ``seq``.
 
-    A frame of documents has no row order of its own, so "last" needs a column.
+    A frame of documents has no row order of its own, so "last" needs a column. The
+    default is the moment of signup; text that is no time comes before all others.
     """
     known = users.filter(F.col("id").isNotNull())
-    return last_per_key(known, "id", *(seq or ("createdAt",)))
+    if seq:
+        return last_per_key(known, "id", *seq)
+    created = F.col("createdAt")
+    if isinstance(users.schema["createdAt"].dataType, T.StringType):
+        created = time.coerce_ts(created)
+    timed = known.withColumn("_signup", created.cast("timestamp"))
+    return last_per_key(timed, "id", "_signup").drop("_signup")

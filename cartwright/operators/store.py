@@ -78,8 +78,8 @@ def coerce_types(df: DataFrame, schema: T.StructType) -> DataFrame:
 def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
     """(rule, violations): how many rows break each rule of a stored table.
 
-    All row rules are counted in one pass; the key rule counts the surplus rows
-    of repeated keys.
+    Rows are counted by key in one pass, combined on the map side; the key rule counts
+    the surplus rows of repeated keys, without those that have none.
     """
     rules = {f"not_null:{c}": F.col(c).isNull() for c in contract.not_null}
     rules |= {
@@ -89,27 +89,18 @@ def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
         f"range:{c}": F.abs(F.col(c)) >= F.lit(10 ** (precision - scale))
         for c, (precision, scale) in contract.decimals.items()
     }
-    counted = df.agg(
-        *[F.count_if(F.coalesce(broken, F.lit(False))).alias(r) for r, broken in rules.items()]
+    by_key = df.groupBy(contract.key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.coalesce(broken, F.lit(False))).alias(r) for r, broken in rules.items()],
     )
-    by_row = counted.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").alias("violations"))
-                    for r in rules
-                ]
-            )
-        ).alias("v")
-    ).select("v.rule", "v.violations")
-    keyed = df.filter(F.col(contract.key).isNotNull())
-    by_key = (
-        keyed.groupBy(contract.key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations"))
-        .select(F.lit(f"unique:{contract.key}").alias("rule"), "violations")
-    )
-    return by_row.unionByName(by_key)
+    nothing = F.lit(0).cast("bigint")
+    surplus = F.sum(F.when(F.col(contract.key).isNotNull(), F.col("_rows") - 1))
+    totals = {r: F.sum(F.col(f"`{r}`")) for r in rules} | {f"unique:{contract.key}": surplus}
+    counted = by_key.agg(*[F.coalesce(t, nothing).alias(r) for r, t in totals.items()])
+    pairs = [
+        F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").alias("violations")) for r in totals
+    ]
+    return counted.select(F.explode(F.array(*pairs)).alias("v")).select("v.rule", "v.violations")
 
 
 def evolve(df: DataFrame, target: T.StructType, defaults: dict | None = None) -> DataFrame:

@@ -18,7 +18,9 @@ from ..operators.enrich import cart_facts, keep_known_users
 from ..operators.generate import synthesize_orders
 from ..operators.items import to_kv_items
 from ..schemas import (
+    CUSTOMER_DEFAULTS,
     CUSTOMER_DOCUMENT_FIELDS,
+    ORDER_DEFAULTS,
     ORDER_DOCUMENT_FIELDS,
 )
 from ..session import prepare
@@ -48,7 +50,7 @@ class JobConfig:
     as_of: AsOf
     seed_carts: str = ""
     seed_users: str = ""
-    seed_as_lines: bool = False
+    seed_as_lines: bool = True
     n_orders: int = 10_000
     seed: int = 0
     namespace: str = "analytics"
@@ -104,6 +106,7 @@ def run_warehouse(spark: SparkSession, cfg: JobConfig) -> dict:
         "items_total": total,
         "items_written": written,
         "items_failed": failed,
+        "skipped_orders": cfg.n_orders - orders.count(),
     }
 
 
@@ -122,10 +125,20 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
     write_processed_csv(customers, f"{cfg.root}/processed/customer_analytics")
     write_processed_csv(orders, f"{cfg.root}/processed/order_analytics")
     stored_customers = upsert_table(
-        customers, cfg.table("customer_store"), "customer_id", cfg.root, cfg.as_of
+        customers,
+        cfg.table("customer_store"),
+        "customer_id",
+        cfg.root,
+        cfg.as_of,
+        defaults=CUSTOMER_DEFAULTS,
     )
     stored_orders = upsert_table(
-        orders, cfg.table("order_store"), "order_id", cfg.root, cfg.as_of
+        orders,
+        cfg.table("order_store"),
+        "order_id",
+        cfg.root,
+        cfg.as_of,
+        defaults=ORDER_DEFAULTS,
     )
     customer_docs = write_documents(
         customers,
@@ -146,6 +159,7 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
         "orders_updated": stored_orders[1],
         "customer_docs": customer_docs,
         "order_docs": order_docs,
+        "skipped_orders": cfg.n_orders - orders.count(),
     }
 
 

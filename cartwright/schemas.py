@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 PRODUCT = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.LongType()),
         T.StructField("title", T.StringType()),
         T.StructField("category", T.StringType()),
         T.StructField("price", T.DoubleType()),
@@ -19,8 +19,8 @@ PRODUCT = T.StructType(
 
 CART = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
-        T.StructField("userId", T.IntegerType()),
+        T.StructField("id", T.LongType()),
+        T.StructField("userId", T.LongType()),
         T.StructField("orderId", T.StringType()),
         T.StructField("orderTimestamp", T.StringType()),
         T.StructField("products", T.ArrayType(PRODUCT)),
@@ -32,7 +32,7 @@ CART = T.StructType(
 
 USER = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.LongType()),
         T.StructField("firstName", T.StringType()),
         T.StructField("lastName", T.StringType()),
         T.StructField("email", T.StringType()),
@@ -51,7 +51,7 @@ WRITE_STATUS = T.StructType(
 ORDER_ANALYTICS = T.StructType(
     [
         T.StructField("order_id", T.StringType()),
-        T.StructField("customer_id", T.IntegerType()),
+        T.StructField("customer_id", T.LongType()),
         T.StructField("order_timestamp", T.TimestampType()),
         T.StructField("order_date", T.DateType()),
         T.StructField("order_hour", T.IntegerType()),
@@ -71,7 +71,7 @@ ORDER_ANALYTICS = T.StructType(
 
 CUSTOMER_ANALYTICS = T.StructType(
     [
-        T.StructField("customer_id", T.IntegerType()),
+        T.StructField("customer_id", T.LongType()),
         T.StructField("full_name", T.StringType()),
         T.StructField("email", T.StringType()),
         T.StructField("email_domain", T.StringType()),

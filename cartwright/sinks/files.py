@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..sources.tables import CSV_TEXT
+
 
 def write_raw_json(df: DataFrame, path: str) -> str:
     """Replace the raw snapshot: one JSON document per line, many files."""
@@ -12,6 +14,7 @@ def write_raw_json(df: DataFrame, path: str) -> str:
 
 
 def write_processed_csv(df: DataFrame, path: str) -> str:
-    """Replace the processed snapshot; quotes are doubled, so any text survives."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Replace the processed snapshot. Quotes are doubled and nulls are written as
+    ``\\N``, so any text survives, the empty one too; ``read_processed_csv`` reads it."""
+    df.write.mode("overwrite").option("header", True).options(**CSV_TEXT, emptyValue='""').csv(path)
     return path

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import logging
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.keys import last_per_key
 from ..schemas import WRITE_STATUS
+from ..session import scratch_path
 from ..sources.tables import load_write_status
 from .tables import publish_table
 
-BatchWriter = Callable[[pd.DataFrame], None]
+BatchWriter = Callable[[pd.DataFrame], Iterable[str] | None]
 
 
 def write_kv(
@@ -24,34 +26,41 @@ def write_kv(
     """Put every item and return the stored status (record_id, written).
 
     ``writer`` runs on the executors and gets the items batch by batch, as a
-    pandas frame (record_id, record_type, item); it raises when the batch failed.
-    Lost tasks are run again, so it has to put by key. The last item of a
-    repeated key wins. With ``all_or_nothing`` one failed batch marks every
-    record as failed, though items of the other batches may have been put.
+    pandas frame (record_id, record_type, item). It returns the record ids that the
+    store refused, if any, and raises when the whole batch failed; the reason is
+    logged. Lost tasks are run again, so it has to put by key. The last item of a
+    repeated key wins. With ``all_or_nothing`` one failed record marks all as failed,
+    though others may have been put. The status is stored once, as it is returned.
     """
 
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            ids = batch["record_id"]
             try:
-                writer(batch)
-                written = True
+                refused = writer(batch)
+                written = ~ids.isin([] if refused is None else list(refused))
             except Exception:
+                logging.getLogger(__name__).exception("a batch of %d items failed", len(batch))
                 written = False
-            yield pd.DataFrame({"record_id": batch["record_id"], "written": written})
+            yield pd.DataFrame({"record_id": ids, "written": written})
 
-    status = last_per_key(items, "record_id").mapInPandas(put, WRITE_STATUS)
-    # Writing the status is what runs the puts, exactly once per task.
-    status.write.mode("overwrite").option("header", True).csv(status_path)
-    stored = load_write_status(items.sparkSession, status_path)
+    # Writing the attempts is what runs the puts, once per task.
+    spark = items.sparkSession
+    attempts = scratch_path(spark, "attempts")
+    last_per_key(items, "record_id").mapInPandas(put, WRITE_STATUS).write.parquet(attempts)
+    status = spark.read.schema(WRITE_STATUS).parquet(attempts)
     if all_or_nothing:
-        whole = stored.agg(F.coalesce(F.bool_and("written"), F.lit(True)).alias("w")).scalar()
-        stored = stored.withColumn("written", whole)
-    return stored
+        whole = status.agg(F.coalesce(F.bool_and("written"), F.lit(True)).alias("w")).scalar()
+        status = status.withColumn("written", whole)
+    return _stored(status, status_path)
 
 
 def store_items(items: DataFrame, name: str, root: str, status_path: str) -> DataFrame:
     """The same without a key-value store: keep the items as one table keyed by record_id."""
     stored = publish_table(last_per_key(items, "record_id"), name, root)
-    status = stored.select("record_id", F.lit(True).alias("written"))
-    status.write.mode("overwrite").option("header", True).csv(status_path)
-    return load_write_status(items.sparkSession, status_path)
+    return _stored(stored.select("record_id", F.lit(True).alias("written")), status_path)
+
+
+def _stored(status: DataFrame, path: str) -> DataFrame:
+    status.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return load_write_status(status.sparkSession, path)

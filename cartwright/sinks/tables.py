@@ -3,19 +3,20 @@
 With a table format that has snapshots (a V2 catalog) the format replaces the
 table. In the session catalog every write goes to a new folder and the table is
 pointed at it afterwards: readers see the old or the new table, never a mix, a
-failed write changes nothing, and the older folders stay as history.
+failed write changes nothing, and the older folders stay as history. Only a change of
+columns or format takes the table away for a moment, as this catalog cannot change it.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from ..functions.time import AsOf
+from ..functions.time import AsOf, as_of_timestamp
 from ..operators.items import to_documents
 from ..operators.keys import last_per_key
-from ..operators.store import empty_store, upsert, upsert_counts
+from ..operators.store import AUDIT, empty_store, evolve, upsert, upsert_counts
 
 
 def _is_v2(spark: SparkSession, name: str) -> bool:
@@ -29,6 +30,24 @@ def _ensure_namespace(spark: SparkSession, name: str) -> None:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
 
 
+def _fits(df: DataFrame, name: str, fmt: str) -> bool:
+    """Whether the table exists with these columns in this format.
+
+    A managed table is refused: replacing it would delete its files.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        return False
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if facts.get("Type") == "MANAGED":
+        raise ValueError(f"{name} is a managed table; publish_table only replaces its own")
+
+    def columns(frame: DataFrame) -> list:
+        return [(f.name, f.dataType) for f in frame.schema]
+
+    return facts.get("Provider", "").lower() == fmt.lower() and columns(spark.table(name)) == columns(df)
+
+
 def publish_table(df: DataFrame, name: str, root: str, fmt: str | None = None) -> DataFrame:
     """Create or replace a table and return it as stored.
 
@@ -44,10 +63,7 @@ def publish_table(df: DataFrame, name: str, root: str, fmt: str | None = None) -
     fmt = fmt or "parquet"
     location = f"{root}/{name.replace('.', '/')}/{uuid.uuid4().hex}"
     df.write.format(fmt).save(location)
-    same_columns = spark.catalog.tableExists(name) and [
-        (f.name, f.dataType) for f in spark.table(name).schema
-    ] == [(f.name, f.dataType) for f in df.schema]
-    if same_columns:
+    if _fits(df, name, fmt):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         spark.catalog.refreshTable(name)
     else:
@@ -62,6 +78,26 @@ def _stored_or_empty(name: str, like: DataFrame) -> DataFrame:
     return spark.table(name) if spark.catalog.tableExists(name) else empty_store(like)
 
 
+def _handed_over(df: DataFrame, root: str) -> DataFrame:
+    """Computed once and read back, as counts and writes both need it."""
+    path = f"{root}/handover/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def merge_statement(name: str, source: str, key: str, columns: list[str]) -> str:
+    """SQL that upserts rows of ``source`` (with a column ``now``) in a V2 format."""
+    put = ", ".join(f"t.{c} = s.{c}" for c in columns if c != key)
+    names = ", ".join([*columns, *AUDIT])
+    values = ", ".join([*(f"s.{c}" for c in columns), "s.now", "s.now"])
+    updates = f"{put}, t.updated_at = s.now" if put else "t.updated_at = s.now"
+    return (
+        f"MERGE INTO {name} t USING {source} s ON t.{key} = s.{key} "
+        f"WHEN MATCHED THEN UPDATE SET {updates} "
+        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+    )
+
+
 def upsert_table(
     incoming: DataFrame,
     name: str,
@@ -69,11 +105,25 @@ def upsert_table(
     root: str,
     as_of: AsOf,
     seq: tuple[str, ...] = (),
+    defaults: dict | None = None,
 ) -> tuple[int, int]:
-    """Upsert into a stored table in one step; (created, updated)."""
-    existing = _stored_or_empty(name, incoming)
-    created, updated = upsert_counts(existing, incoming, key).first()
-    publish_table(upsert(existing, incoming, key, as_of, seq), name, root)
+    """Upsert into a stored table in one step; (created, updated).
+
+    A table stored before a column existed is brought to the columns of ``incoming``
+    first, with ``defaults`` for its rows. A V2 format merges the batch; in the session
+    catalog the table is written anew.
+    """
+    spark = incoming.sparkSession
+    batch = _handed_over(incoming, root)
+    columns = [*batch.schema, *empty_store(batch).schema[-len(AUDIT) :]]
+    existing = evolve(_stored_or_empty(name, batch), T.StructType(columns), defaults)
+    created, updated = upsert_counts(existing, batch, key).first()
+    if _is_v2(spark, name) and spark.catalog.tableExists(name):
+        latest = last_per_key(batch, key, *seq).withColumn("now", as_of_timestamp(as_of))
+        latest.createOrReplaceTempView(view := f"batch_{uuid.uuid4().hex}")
+        spark.sql(merge_statement(name, view, key, batch.columns))
+    else:
+        publish_table(upsert(existing, batch, key, as_of, seq), name, root)
     return created, updated
 
 
@@ -84,7 +134,7 @@ def write_documents(
 
     The store is a table (doc_id, doc). Without rows nothing is written.
     """
-    documents = to_documents(df, fields, id_field)
+    documents = _handed_over(to_documents(df, fields, id_field), root)
     written = documents.count()
     if written == 0:
         return 0

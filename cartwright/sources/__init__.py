@@ -1,7 +1,13 @@
 """Readers: landed JSON documents, stored tables, ranges, status files."""
 from .documents import load_seed, read_carts, read_users, unwrap_envelope
 from .rows import order_ids, users_from_rows
-from .tables import load_write_status, read_jdbc, read_table, register_views
+from .tables import (
+    load_write_status,
+    read_jdbc,
+    read_processed_csv,
+    read_table,
+    register_views,
+)
 
 __all__ = [
     "load_seed",
@@ -9,6 +15,7 @@ __all__ = [
     "order_ids",
     "read_carts",
     "read_jdbc",
+    "read_processed_csv",
     "read_table",
     "read_users",
     "register_views",

@@ -12,21 +12,20 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, lines: bool) ->
     return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
-def read_carts(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Carts from JSON files.
+def read_carts(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Carts from JSON files, one document per line, which Spark can split.
 
-    An indented array is one document per file, so a file is the unit of work.
-    ``lines=True`` reads one document per line, which Spark can split.
+    ``lines=False`` reads indented arrays, where a file is the unit of work.
     """
     return _read(spark, path, CART, lines)
 
 
-def read_users(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_users(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
     return _read(spark, path, USER, lines)
 
 
 def load_seed(
-    spark: SparkSession, carts_path: str, users_path: str, lines: bool = False
+    spark: SparkSession, carts_path: str, users_path: str, lines: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Seed carts and users; a folder that never landed gives an empty frame."""
 
@@ -41,14 +40,6 @@ def load_seed(
     return load(carts_path, CART), load(users_path, USER)
 
 
-def unwrap_envelope(df: DataFrame, field: str, limit: int | None = None) -> DataFrame:
-    """Rows inside ``{"<field>": [...]}``, at most ``limit`` in array order.
-
-    The array is cut before it is unrolled; the second limit only matters when
-    there is more than one envelope.
-    """
-    docs = F.col(field)
-    if limit is not None:
-        docs = F.slice(docs, 1, limit)
-    rows = df.select(F.explode(docs).alias("doc")).select("doc.*")
-    return rows if limit is None else rows.limit(limit)
+def unwrap_envelope(df: DataFrame, field: str) -> DataFrame:
+    """All rows inside ``{"<field>": [...]}``."""
+    return df.select(F.explode(field).alias("doc")).select("doc.*")

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import USER
 
 
 def order_ids(spark: SparkSession, n: int) -> DataFrame:
     """The integers 1..n, generated on the executors."""
-    return spark.range(1, n + 1).select(F.col("id").cast("int").alias("id"))
+    return spark.range(1, n + 1)
 
 
 def users_from_rows(spark: SparkSession, rows: Iterable[Mapping]) -> DataFrame:

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..schemas import WRITE_STATUS
 
 
+# How texts are told apart in processed CSV files: nulls are \\N, empty ones quoted.
+CSV_TEXT = {"escape": '"', "nullValue": "\\N"}
+
+
+def read_processed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A snapshot of ``write_processed_csv``; texts may span lines."""
+    reader = spark.read.schema(schema).option("header", True).option("multiLine", True)
+    return reader.options(**CSV_TEXT, emptyValue="").csv(path)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -31,7 +42,8 @@ def register_views(customers: DataFrame, orders: DataFrame) -> None:
 def load_write_status(spark: SparkSession, path: str) -> DataFrame | None:
     """The status rows of the last key-value write, None when there was no run."""
     try:
-        return spark.read.schema(WRITE_STATUS).option("header", True).csv(path)
+        reader = spark.read.schema(WRITE_STATUS).option("header", True)
+        return reader.option("escape", '"').option("multiLine", True).csv(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

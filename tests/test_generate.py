@@ -95,3 +95,18 @@ def test_every_value_is_drawn(spark):
         map(len, V.CATALOGUE.values())
     )
     assert all(len(items) == V.OFFERS for items in V.CATALOGUE.values())
+
+
+def test_users_with_wide_ids_are_numbered_in_order(spark):
+    ids = [-(2**62), -5, 0, 1, 65_535, 65_536, 2**31, 2**32 + 7, 2**40, 2**40 + 1, 2**48, 2**62]
+    users = spark.createDataFrame([(i,) for i in ids[::-1] + ids[:3]] + [(None,)], "id long").repartition(3)
+    found = sorted((r.slot, r.id) for r in G.index_users(users).collect())
+    assert found == list(enumerate(ids))
+
+
+def test_orders_beyond_32_bits(spark):
+    orders = spark.range(2**33, 2**33 + 50)
+    users = spark.createDataFrame([(2**35 + i,) for i in range(7)], "id long")
+    carts = G.make_carts(G.assign_users(orders, users), "1999-01-01", 7).collect()
+    assert {c.id for c in carts} == set(range(2**33, 2**33 + 50))
+    assert all(c.userId == 2**35 + (c.id - 1) % 7 for c in carts)

@@ -12,6 +12,8 @@ from cartwright.plans import jobs
 from cartwright.schemas import CART
 from cartwright.session import shared_root
 
+from cartwright.operators.keys import dedupe_users
+from cartwright.sinks.tables import merge_statement
 from conftest import AS_OF
 
 
@@ -21,12 +23,12 @@ def test_indented_json_arrays(spark, tmp_path):
         {"id": 2, "userId": 3, "products": []},
     ]
     (tmp_path / "carts.json").write_text(json.dumps(docs, indent=2))
-    carts = sources.read_carts(spark, str(tmp_path / "carts.json"))
+    carts = sources.read_carts(spark, str(tmp_path / "carts.json"), lines=False)
     assert carts.schema == CART
     rows = {r.id: r for r in carts.collect()}
     assert rows[1].products[0].price == 1.5 and rows[2].products == []
     (tmp_path / "users.json").write_text('[{"id": 1, "address": {"city": "Rome", "zip": 1}}]')
-    user = sources.read_users(spark, str(tmp_path / "users.json")).first()
+    user = sources.read_users(spark, str(tmp_path / "users.json"), lines=False).first()
     assert user.address.city == "Rome" and user.email is None
 
 
@@ -40,7 +42,6 @@ def test_missing_seed_is_empty_but_other_errors_are_not_hidden(spark, tmp_path):
 def test_envelope(spark, tmp_path):
     (tmp_path / "e.json").write_text(json.dumps({"carts": [{"id": i} for i in range(9)], "total": 9}))
     df = spark.read.option("multiLine", True).json(str(tmp_path / "e.json"))
-    assert [r.id for r in sources.unwrap_envelope(df, "carts", 3).collect()] == [0, 1, 2]
     assert sources.unwrap_envelope(df, "carts").count() == 9
 
 
@@ -129,7 +130,7 @@ def _config(tmp_path, namespace, **kw):
     (tmp_path / "users.json").write_text(json.dumps(users, indent=2))
     return jobs.JobConfig(
         root=str(tmp_path / "out"), as_of=AS_OF, n_orders=60, namespace=namespace,
-        seed_users=str(tmp_path / "users.json"), **kw,
+        seed_users=str(tmp_path / "users.json"), seed_as_lines=False, **kw,
     )
 
 
@@ -138,6 +139,7 @@ def test_warehouse_run(spark, tmp_path):
     first = jobs.run_warehouse(spark, cfg)
     assert first == {
         "customer_rows": 5, "order_rows": 60, "items_total": 65, "items_written": 65, "items_failed": 0,
+        "skipped_orders": 0,
     }
     before = sorted(spark.table("run_a.order_analytics").collect())
     assert jobs.run_warehouse(spark, cfg) == first
@@ -176,3 +178,58 @@ def test_one_branch_failing_does_not_stop_the_other(spark, tmp_path, monkeypatch
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_stored_status_is_the_returned_one(spark, tmp_path):
+    """Quoted ids survive, and refused ids fail alone whatever the batches."""
+    rows = [('a "b", c\nd', "x", "{}"), ("plain", "x", "{}"), ("3", "x", "{}")]
+    items = spark.createDataFrame(rows, "record_id string, record_type string, item string")
+    path = str(tmp_path / "status")
+    returned = sinks.write_kv(items, lambda batch: [i for i in batch["record_id"] if i == "3"], path)
+    expected = {'a "b", c\nd': True, "plain": True, "3": False}
+    assert {r.record_id: r.written for r in returned.collect()} == expected
+    stored = sources.load_write_status(spark, path)
+    assert {r.record_id: r.written for r in stored.collect()} == expected
+    sinks.write_kv(items, lambda batch: ["3"], path, all_or_nothing=True)
+    assert {r.written for r in sources.load_write_status(spark, path).collect()} == {False}
+
+
+def test_csv_tells_empty_from_null(spark, tmp_path):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "a\nb"), (4, '"')], "id int, note string")
+    path = sinks.write_processed_csv(df, str(tmp_path / "csv"))
+    assert sorted(sources.read_processed_csv(spark, path, df.schema).collect()) == sorted(df.collect())
+
+
+def test_publish_in_another_format_and_over_a_managed_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    sinks.publish_table(df, "shop.fmt", str(tmp_path))
+    assert sinks.publish_table(df, "shop.fmt", str(tmp_path), "json").collect() == df.collect()
+    df.write.saveAsTable("shop.managed")
+    with pytest.raises(ValueError, match="managed"):
+        sinks.publish_table(df, "shop.managed", str(tmp_path))
+    assert spark.table("shop.managed").count() == 1
+
+
+def test_upsert_into_an_older_table(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    sinks.upsert_table(old, "shop.older", "k", str(tmp_path), "1998-01-01")
+    new = spark.createDataFrame([(2, "c", 5)], "k int, v string, score int")
+    counts = sinks.upsert_table(new, "shop.older", "k", str(tmp_path), "1999-01-01", defaults={"score": 0})
+    assert counts == (0, 1)
+    rows = {r.k: (r.v, r.score) for r in spark.table("shop.older").collect()}
+    assert rows == {1: ("a", 0), 2: ("c", 5)}
+
+
+def test_merge_statement():
+    text = merge_statement("cat.db.t", "batch", "k", ["k", "v"])
+    assert text == (
+        "MERGE INTO cat.db.t t USING batch s ON t.k = s.k "
+        "WHEN MATCHED THEN UPDATE SET t.v = s.v, t.updated_at = s.now "
+        "WHEN NOT MATCHED THEN INSERT (k, v, created_at, updated_at) VALUES (s.k, s.v, s.now, s.now)"
+    )
+
+
+def test_unparsable_signup_loses(spark):
+    rows = [(1, "not a date"), (1, "2024-01-01T10:00:00+02:00"), (1, "2024-01-01T09:00:00Z"), (2, None)]
+    users = spark.createDataFrame(rows, "id long, createdAt string")
+    assert {r.id: r.createdAt for r in dedupe_users(users).collect()} == {1: "2024-01-01T09:00:00Z", 2: None}

@@ -31,7 +31,7 @@ VIEWS: dict[str, str] = {}
 
 VIEWS["v_orders"] = """
 SELECT cast(o_orderkey as varchar) AS order_id,
-       cast(CASE WHEN o_orderkey % 97 = 0 THEN -1 ELSE o_custkey END as integer) AS user_id,
+       cast(CASE WHEN o_orderkey % 97 = 0 THEN -1 ELSE o_custkey END as bigint) AS user_id,
        o_orderdate + to_hours(cast(o_orderkey % 24 as integer)) AS order_timestamp,
        o_orderpriority AS payment_method,
        o_orderstatus AS shipping_provider,
@@ -40,7 +40,7 @@ FROM orders"""
 
 VIEWS["v_lines"] = """
 SELECT cast(l_orderkey as varchar) AS order_id,
-       cast(l_partkey as integer) AS product_id,
+       cast(l_partkey as bigint) AS product_id,
        p_name AS title,
        CASE WHEN p_size % 10 = 0 THEN 'Unknown' ELSE p_type END AS category,
        cast(l_quantity as bigint) AS quantity,
@@ -75,7 +75,7 @@ SELECT o.*, coalesce(gross_c, 0) AS gross_c, coalesce(disc_c, 0) AS disc_c,
 FROM v_orders o LEFT JOIN v_sums USING (order_id) LEFT JOIN v_dominant USING (order_id)"""
 
 VIEWS["v_raw_users"] = """
-SELECT cast(c_custkey as integer) AS id,
+SELECT cast(c_custkey as bigint) AS id,
        ' ' || split_part(c_name, '#', 1) || ' ' AS first_name,
        ' ' || split_part(c_name, '#', 2) || ' ' AS last_name,
        CASE WHEN c_custkey % 10 = 0 THEN ' ' || c_name || ' '
@@ -174,10 +174,10 @@ def back_in_time(days: str, seconds: str) -> str:
     return f"strftime({moment}, '%Y-%m-%dT%H:%M:%S')"
 
 
-VIEWS["g_ids"] = "SELECT cast(o_orderkey + 1 as integer) AS id FROM orders"
+VIEWS["g_ids"] = "SELECT cast(o_orderkey + 1 as bigint) AS id FROM orders"
 
 VIEWS["g_seed"] = """
-SELECT cast(c_custkey as integer) AS id,
+SELECT cast(c_custkey as bigint) AS id,
        CASE WHEN c_custkey % 7 <> 0 THEN split_part(c_name, '#', 1) END AS first_name,
        CASE WHEN c_custkey % 6 = 0 THEN '' ELSE split_part(c_name, '#', 2) END AS last_name,
        CASE WHEN c_custkey % 5 <> 0 THEN split_part(c_name, '#', 2) || '@Shop.Example' END
@@ -252,7 +252,7 @@ SELECT * FROM (
 WHERE rn <= n_categories"""
 
 VIEWS["g_lines"] = f"""
-SELECT t.order_id, cast({pick('t.h', 27, 6, 9000)} + 1000 as integer) AS product_id, c.title,
+SELECT t.order_id, cast({pick('t.h', 27, 6, 9000)} + 1000 as bigint) AS product_id, c.title,
        t.category,
        c.low * 100 + {pick('t.h', 13, 6, '(c.high - c.low) * 100 + 1')} AS price_c,
        cast({pick('t.h', 19, 4, 5)} + 1 as integer) AS quantity,
@@ -309,5 +309,10 @@ def sql(body: str) -> str:
             if name in VIEWS and name not in needed:
                 needed.add(name)
                 stack.append(VIEWS[name])
-    ctes = [f"{n} AS ({q})" for n, q in VIEWS.items() if n in needed]
+    # Views of the generator are read more than once by later ones: compute each once.
+    ctes = [
+        f"{n} AS {'MATERIALIZED ' if n[0] == 'g' else ''}({q})"
+        for n, q in VIEWS.items()
+        if n in needed
+    ]
     return (f"WITH {', '.join(ctes)}\n" if ctes else "") + body

@@ -94,7 +94,7 @@ _N_USERS = "(SELECT least((SELECT count(*) FROM customer), (SELECT count(*) FROM
     "c4_warehouse_run",
     f"""SELECT {_N_USERS} AS customer_rows, {_N_ORDERS} AS order_rows,
     {_N_USERS} + {_N_ORDERS} AS items_total, {_N_USERS} + {_N_ORDERS} AS items_written,
-    0::bigint AS items_failed""",
+    0::bigint AS items_failed, 0::bigint AS skipped_orders""",
 )
 def _(spark, d):
     return _one_row(spark, jobs.run_warehouse(spark, _landed_config(spark, d)))
@@ -104,7 +104,8 @@ def _(spark, d):
     "c5_serving_run",
     f"""SELECT {_N_USERS} AS customer_rows, {_N_ORDERS} AS order_rows,
     {_N_USERS} AS customers_created, 0::bigint AS customers_updated, {_N_ORDERS} AS orders_created,
-    0::bigint AS orders_updated, {_N_USERS} AS customer_docs, {_N_ORDERS} AS order_docs""",
+    0::bigint AS orders_updated, {_N_USERS} AS customer_docs, {_N_ORDERS} AS order_docs,
+    0::bigint AS skipped_orders""",
 )
 def _(spark, d):
     return _one_row(spark, jobs.run_serving(spark, _landed_config(spark, d)))
@@ -183,7 +184,7 @@ def _(spark, d):
 
 @query(
     "s4_order_ids",
-    "SELECT cast(row_number() OVER () as integer) AS id FROM orders",
+    "SELECT cast(row_number() OVER () as bigint) AS id FROM orders",
 )
 def _(spark, d):
     return sources.order_ids(spark, V.table(spark, d, "orders").count())
@@ -224,7 +225,9 @@ def _(spark, d):
 
 
 def _kv_items(spark, d) -> DataFrame:
-    return I.to_kv_items(V.customer_table(spark, d), V.order_table(spark, d))
+    """Items of both tables; the customers come from the stored orders, as in the job."""
+    orders = spark.table(_published(spark, V.order_table(spark, d), "orders"))
+    return I.to_kv_items(A.customers_from_orders(orders, V.users(spark, d), AS_OF), orders)
 
 
 _ALL_IDS = """SELECT 'customer#' || customer_id AS record_id, {v} AS written FROM v_customer_table
@@ -442,7 +445,7 @@ _ORPHANS = "SELECT order_id, user_id FROM v_orders WHERE user_id NOT IN (SELECT
 
 @query("p11_orphan_count", f"SELECT count(*) AS skipped FROM ({_ORPHANS})")
 def _(spark, d):
-    lost = E.orphan_orders(V.orders(spark, d), V.users(spark, d))
+    lost = E.orphan_orders(V.orders(spark, d), V.user_ids(spark, d))
     return lost.agg(F.count(F.lit(1)).alias("skipped"))
 
 
@@ -458,12 +461,12 @@ def _(spark, d):
         F.col("orderId").alias("order_id"), F.col("userId").alias("customer_id")
     )
     attributes = E.user_attributes(V.users(spark, d), AS_OF)
-    return headers.join(attributes, "customer_id").select("order_id", "customer_id", "email")
+    return E.join_users(headers, attributes).select("order_id", "customer_id", "email")
 
 
 @query("j2_orphan_orders", _ORPHANS)
 def _(spark, d):
-    return E.orphan_orders(V.orders(spark, d), V.users(spark, d)).select(
+    return E.orphan_orders(V.orders(spark, d), V.user_ids(spark, d)).select(
         F.col("orderId").alias("order_id"), F.col("userId").alias("user_id")
     )
 
@@ -1011,7 +1014,7 @@ def _(spark, d):
 
 @query(
     "f23_coerce_types",
-    """SELECT cast(o_orderkey as integer) AS order_hour,
+    """SELECT cast(o_orderkey as bigint) AS customer_id,
     CASE WHEN o_orderkey % 5 <> 0
     THEN cast(cast(round(o_totalprice * 100) as bigint) / 100.0 as decimal(14,2)) END
     AS final_amount FROM orders""",
@@ -1019,7 +1022,7 @@ def _(spark, d):
 def _(spark, d):
     key = F.col("o_orderkey")
     raw = V.table(spark, d, "orders").select(
-        key.cast("string").alias("order_hour"),
+        key.cast("string").alias("customer_id"),
         F.when(key % 5 == 0, F.lit("n/a"))
         .otherwise(F.col("o_totalprice").cast("decimal(14,2)").cast("string"))
         .alias("final_amount"),
@@ -1033,9 +1036,11 @@ def _(spark, d):
 
 @query(
     "x1_explode_products",
-    """SELECT o.order_id, product_id, l.title, l.category, price_c / 100.0::double AS price,
+    """SELECT order_id, product_id, title, category, price_c / 100.0::double AS price,
     quantity, cast(pct as double) AS discount_percentage
-    FROM g_orders o LEFT JOIN g_lines l ON o.order_id = l.order_id AND o.id % 10 <> 0""",
+    FROM (SELECT order_id FROM g_orders WHERE id % 10 <> 0) JOIN g_lines USING (order_id)
+    UNION ALL SELECT order_id, NULL, NULL, NULL, NULL, NULL, NULL FROM g_orders
+    WHERE id % 10 = 0""",
 )
 def _(spark, d):
     carts = V.generated_carts(spark, d)
@@ -1119,10 +1124,7 @@ def _(spark, d):
 @query("k2_processed_csv", f"SELECT {O.CUSTOMER_COLUMNS} FROM v_customer_table")
 def _(spark, d):
     path = sinks.write_processed_csv(V.customer_table(spark, d), scratch_path(spark, "csv"))
-    stored = (
-        spark.read.schema(schemas.CUSTOMER_ANALYTICS).option("header", True).option("escape", '"')
-    )
-    return stored.csv(path).withColumn("email_domain", F.coalesce("email_domain", F.lit("")))
+    return sources.read_processed_csv(spark, path, schemas.CUSTOMER_ANALYTICS)
 
 
 @query("k3_publish_table", f"SELECT {O.CUSTOMER_COLUMNS} FROM v_customer_table")
@@ -1163,7 +1165,7 @@ def _(spark, d):
         V.customer_table(spark, d), schemas.CUSTOMER_DOCUMENT_FIELDS, "customer_id"
     )
     shape = (
-        "customer_id int, full_name string, total_spent double, total_orders int, "
+        "customer_id bigint, full_name string, total_spent double, total_orders int, "
         "lifetime_value_score double"
     )
     return documents.select("doc_id", F.from_json("doc", shape).alias("r")).select("doc_id", "r.*")
@@ -1212,7 +1214,23 @@ def _(spark, d):
             raise OSError("store refused the batch")
 
     path = scratch_path(spark, "status")
-    return sinks.write_kv(_kv_items(spark, d), refuse_one, path, all_or_nothing=True)
+    sinks.write_kv(_kv_items(spark, d), refuse_one, path, all_or_nothing=True)
+    return sources.load_write_status(spark, path)
+
+
+@query(
+    "k7_partly_refused",
+    """SELECT 'customer#' || customer_id AS record_id, customer_id % 10 <> 3 AS written
+    FROM v_customer_table UNION ALL SELECT 'order#' || order_id, true FROM v_order_table""",
+)
+def _(spark, d):
+    def refuse_some(batch):
+        ids = batch["record_id"]
+        return ids[ids.str.startswith("customer#") & ids.str.endswith("3")]
+
+    path = scratch_path(spark, "status")
+    sinks.write_kv(_kv_items(spark, d), refuse_some, path)
+    return sources.load_write_status(spark, path)
 
 
 @query(
@@ -1225,6 +1243,16 @@ def _(spark, d):
     return shown
 
 
+@query(
+    "k8_status_summary",
+    """SELECT count(*) AS total, count(*) FILTER (o_orderstatus <> 'P') AS written,
+    count(*) FILTER (o_orderstatus = 'P') AS failed FROM orders""",
+)
+def _(spark, d):
+    _shown, summary = A.view_status(_status(spark, d), only_failed=True, limit=20)
+    return summary
+
+
 _BROKEN = """(SELECT c_custkey AS k, CASE WHEN c_custkey % 19 <> 0 THEN c_name END AS full_name,
     CASE WHEN c_custkey % 17 = 0 THEN repeat('x', 300) ELSE c_name END AS email,
     CASE WHEN c_custkey % 23 = 0 THEN 1000000000000 ELSE 1 END AS total_spent FROM customer

@@ -29,7 +29,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = F.make_dt_interval(F.lit(0), (key % 24).cast("int"))
     return table(spark, sf_dir, "orders").select(
         key.cast("string").alias("orderId"),
-        F.when(key % 97 == 0, -1).otherwise(F.col("o_custkey")).cast("int").alias("userId"),
+        F.when(key % 97 == 0, -1).otherwise(F.col("o_custkey")).cast("bigint").alias("userId"),
         (F.col("o_orderdate").cast("timestamp") + hours).alias("orderTimestamp"),
         F.col("o_orderpriority").alias("paymentMethod"),
         (key % 19 + 4).cast("decimal(10,2)").alias("shippingCost"),
@@ -57,7 +57,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(parts, "l_partkey", "left")
         .select(
             F.col("l_orderkey").cast("string").alias("orderId"),
-            F.col("l_partkey").cast("int").alias("id"),
+            F.col("l_partkey").cast("bigint").alias("id"),
             "title",
             "category",
             _unit_price().alias("price"),
@@ -91,7 +91,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer")
         .join(nations, "c_nationkey", "left")
         .select(
-            key.cast("int").alias("id"),
+            key.cast("bigint").alias("id"),
             F.concat(F.lit(" "), name[0], F.lit(" ")).alias("firstName"),
             F.concat(F.lit(" "), name[1], F.lit(" ")).alias("lastName"),
             email.alias("email"),
@@ -101,13 +101,18 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of ``users`` alone, for results that need no attribute."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+
+
 def seed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users with gaps, as the pool of the generator."""
     key = F.col("c_custkey")
     name = F.split(F.col("c_name"), "#")
     day = F.date_add(F.lit("1996-01-01").cast("date"), (key * 37 % 1460).cast("int")).cast("string")
     return table(spark, sf_dir, "customer").select(
-        key.cast("int").alias("id"),
+        key.cast("bigint").alias("id"),
         F.when(key % 7 != 0, name[0]).alias("firstName"),
         F.when(key % 6 == 0, F.lit("")).otherwise(name[1]).alias("lastName"),
         F.when(key % 5 != 0, F.concat(name[1], F.lit("@Shop.Example"))).alias("email"),
@@ -117,10 +122,12 @@ def seed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An id per given order, spread over all cores: a few bytes each now, but the
-    cart made from one takes far longer than the move."""
-    ids = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).cast("int").alias("id"))
-    return ids.repartition(spark.sparkContext.defaultParallelism)
+    """An id per given order, dealt out by their number: a few bytes each now, but the
+    cart made from one takes far longer than the move. Ten thousand make a task, until
+    the tasks are as many as the session's shuffles have."""
+    ids = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("id"))
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ids.repartition(min(most, ids.count() // 10_000 + 1))
 
 
 def generated_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +153,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_order_analytics(keep_known_users(facts(spark, sf_dir), users(spark, sf_dir)))
+    return build_order_analytics(keep_known_users(facts(spark, sf_dir), user_ids(spark, sf_dir)))
 
 
 def amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +162,7 @@ def amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def known_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of the order table that revenue reports read."""
-    return keep_known_users(amounts(spark, sf_dir), users(spark, sf_dir))
+    return keep_known_users(amounts(spark, sf_dir), user_ids(spark, sf_dir))
 
 
 def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
