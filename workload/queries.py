@@ -478,11 +478,10 @@ def _(spark, d):
 
 
 def _stored_balances(spark, d) -> DataFrame:
-    """Stored table: the customers that are not in debt."""
+    """Stored table: all customers."""
     stamp = F.lit("1998-01-01").cast("timestamp")
     return (
         V.table(spark, d, "customer")
-        .filter(F.col("c_acctbal") >= 0)
         .select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("name"),
@@ -495,13 +494,13 @@ def _stored_balances(spark, d) -> DataFrame:
 
 
 def _incoming_balances(spark, d) -> DataFrame:
-    """Incoming batch: one row per urgent order, so customers repeat; the order key
-    is the version."""
+    """Incoming batch: one row per order, so customers repeat; the order key is the
+    version. Orders that are not urgent come from customers not stored yet."""
+    urgent = F.col("o_orderpriority") == "1-URGENT"
     return (
         V.table(spark, d, "orders")
-        .filter(F.col("o_orderpriority") == "1-URGENT")
         .select(
-            F.col("o_custkey").alias("customer_id"),
+            F.when(urgent, F.col("o_custkey")).otherwise(-F.col("o_custkey")).alias("customer_id"),
             F.col("o_orderstatus").alias("name"),
             F.col("o_totalprice").cast("decimal(14,2)").alias("balance"),
             F.col("o_orderkey").alias("version"),
@@ -509,8 +508,9 @@ def _incoming_balances(spark, d) -> DataFrame:
     )
 
 
-_STORED = "(SELECT c_custkey AS k, * FROM customer WHERE c_acctbal >= 0)"
-_INCOMING = "(SELECT o_custkey AS k, * FROM orders WHERE o_orderpriority = '1-URGENT')"
+_STORED = "(SELECT c_custkey AS k, * FROM customer)"
+_INCOMING = """(SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey ELSE -o_custkey END
+    AS k, * FROM orders)"""
 
 
 @query(
@@ -1097,10 +1097,10 @@ def _(spark, d):
 @query(
     "x7_nest_products",
     """SELECT order_id, count(*) AS n, array_to_string(list(title ORDER BY product_id, title), '|')
-    AS titles FROM g_lines GROUP BY order_id""",
+    AS titles FROM v_lines GROUP BY order_id""",
 )
 def _(spark, d):
-    carts = E.nest_products(E.explode_products(V.generated_carts(spark, d)))
+    carts = E.nest_products(V.lines(spark, d))
     titles = F.transform("products", lambda p: p["title"])
     return carts.select(
         F.col("orderId").alias("order_id"),
