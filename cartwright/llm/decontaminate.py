@@ -5,9 +5,11 @@ benchmark. A randomised SVD of their TF-IDF matrix gives a latent space: every t
 multiplies its windows with a random test matrix and back, the small products are added
 up in a shuffle, and the decomposition follows from their sum in one pass over all
 windows. Benchmark items count as much as all documents together, so that their own
-directions are among those kept. A window whose cosine with an item reaches a threshold
-is a candidate; the longest common subsequence of content words between the item and
-the surroundings of the window then decides. An item that is nearly all there is a leak;
+directions are among those kept. Items are searched by pieces that fit into a window. A
+window is a candidate for an item if its cosine with a piece reaches a threshold and its
+projection on the piece is a good part of the piece's own length: a window that holds a
+whole piece projects on all of it, whatever else it holds. The longest common subsequence
+of content words between the item and the surroundings of the window then decides. An item that is nearly all there is a leak;
 one of which a good part is there in order is a paraphrase if its answer is there too.
 The answer is a column of the benchmark or, without one, the last sentence.
 
@@ -46,6 +48,7 @@ class Limits:
     oversample: int = 16
     common: float = 0.3
     cosine: float = 0.25
+    projection: float = 0.5
     verbatim: float = 0.8
     paraphrase: float = 0.6
     answer: float = 0.8
@@ -235,9 +238,15 @@ def _leaks_of(docs: DataFrame, rows: list, limits: Limits) -> DataFrame | None:
         if len(item.content) < 4:  # no content to go by: every word counts
             item.content, item.answer_content = item.ids, item.answer
 
-    own = np.zeros((len(items), n_words))
-    for i, item in enumerate(items):
-        np.add.at(own[i], item.ids, idf[item.ids])
+    pieces, owner = [], []
+    for k, item in enumerate(items):
+        n = -(-len(item.ids) // HALF)
+        cuts = [len(item.ids) * j // n for j in range(n + 1)]
+        pieces += [item.ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        owner += [k] * n
+    own = np.zeros((len(pieces), n_words))
+    for i, piece in enumerate(pieces):
+        np.add.at(own[i], piece, idf[piece])
     width = min(limits.rank + limits.oversample, n_words)
     test = np.random.default_rng(5).standard_normal((n_words, width))
     sketch_rows = (idf[:, None] * test).astype(np.float32)
@@ -260,22 +269,26 @@ def _leaks_of(docs: DataFrame, rows: list, limits: Limits) -> DataFrame | None:
     basis = _leading(product, test, limits.rank)
     latent_rows = (idf[:, None] * basis).astype(np.float32)
     latent_items = own @ basis
-    latent_items /= np.maximum(np.linalg.norm(latent_items, axis=1, keepdims=True), 1e-9)
-    latent_items = latent_items.astype(np.float32).T.copy()
+    sizes = np.maximum(np.linalg.norm(latent_items, axis=1), 1e-9)
+    latent_items = (latent_items / sizes[:, None]).astype(np.float32).T.copy()
+    least = (limits.projection * sizes).astype(np.float32)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids, part in _batches(batches):
             w = Windows(part, weighs)
             latent = w.sums(latent_rows)
             norms = np.sqrt(np.einsum("ij,ij->i", latent, latent))
-            cosines = (latent @ latent_items) / np.maximum(norms, 1e-9)[:, None]
-            hits = {}
-            for half, k in np.argwhere(cosines >= limits.cosine):
+            along = latent @ latent_items
+            norms = np.maximum(norms, 1e-9)[:, None]
+            hits: dict[tuple[int, int], dict[int, float]] = {}
+            for half, j in np.argwhere((along >= least) & (along >= limits.cosine * norms)).tolist():
                 doc = int(np.searchsorted(w.first_half, half, "right")) - 1
-                hits.setdefault((doc, int(k)), []).append((float(cosines[half, k]), int(half)))
+                places = hits.setdefault((doc, owner[j]), {})
+                cosine = float(along[half, j] / norms[half, 0])
+                places[half] = max(places.get(half, 0.0), cosine)
             out = []
             for (doc, k), places in hits.items():
-                best = _checked(items[k], part[doc], w.first_half[doc], places, weighs, limits)
+                best = _checked(items[k], part[doc], int(w.first_half[doc]), places, weighs, limits)
                 if best:
                     doc_id = None if ids[doc] is pd.NA else ids[doc]
                     out.append((doc_id, items[k].item_id, *best))
@@ -296,11 +309,18 @@ def _leading(product: np.ndarray, test: np.ndarray, rank: int) -> np.ndarray:
     return basis @ vectors[:, np.argsort(-np.abs(values))[:rank]]
 
 
-def _checked(item: Item, doc: np.ndarray, first_half: int, places: list, weighs: np.ndarray, limits: Limits):
+def _checked(
+    item: Item,
+    doc: np.ndarray,
+    first_half: int,
+    places: dict[int, float],
+    weighs: np.ndarray,
+    limits: Limits,
+) -> tuple | None:
     """The best place of an item in a document, if it counts as leaked there."""
     best = None
     all_words = item.content is item.ids
-    for cosine, half in places:
+    for half, cosine in sorted(places.items()):
         start = (half - first_half) * HALF
         low, high = max(0, start - len(item.ids)), start + 2 * HALF + len(item.ids)
         region = doc[low:high]
