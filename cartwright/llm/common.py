@@ -51,7 +51,7 @@ class PartEncoder:
     the worker. The ids are those of the whole text; ``tests/llm`` compares them.
     """
 
-    def __init__(self, path: str, cached_parts: int = 300_000, cached_length: int = 48) -> None:
+    def __init__(self, path: str, cached_parts: int = 150_000, cached_length: int = 48) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -111,7 +111,7 @@ def encoder(path: str) -> PartEncoder:
     return _encoders[path]
 
 
-def slices(values: list[str], most_chars: int = 4_000_000) -> Iterator[slice]:
+def slices(values: list[str], most_chars: int = 800_000) -> Iterator[slice]:
     """Ranges of ``values`` of bounded total length, so long texts do not add up."""
     start = size = 0
     for i, value in enumerate(values):
