@@ -14,7 +14,8 @@ one of which a good part is there in order is a paraphrase if its answer is ther
 The answer is a column of the benchmark or, without one, the last sentence.
 
 Items are taken in blocks, so what a task holds is bounded by the size of a block and
-never by the corpus. Words in more than ``common`` of all windows carry no weight.
+never by the corpus. Words in more than ``common`` of all half windows carry no weight,
+unless an item would keep fewer than four words that do.
 
 Defined results: one row per document row and leaked item. Null or empty texts, and
 items without words, give none; null ids stay null, repeated rows are all reported.
@@ -46,8 +47,8 @@ HITS = (
 class Limits:
     rank: int = 160
     oversample: int = 16
-    common: float = 0.3
-    cosine: float = 0.25
+    common: float = 0.05
+    cosine: float = 0.3
     projection: float = 0.5
     verbatim: float = 0.8
     paraphrase: float = 0.6
@@ -135,7 +136,7 @@ def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[np.nd
         ids = batch["doc_id"].astype("Int64").tolist()
         docs = [np.frombuffer(x, "<i4") for x in batch["ids"]]
         sizes = [range(len(d)) for d in docs]
-        for part in slices(sizes, 200_000):
+        for part in slices(sizes, 100_000):
             yield ids[part], docs[part]
 
 
@@ -221,22 +222,20 @@ def _leaks_of(docs: DataFrame, rows: list, limits: Limits) -> DataFrame | None:
         for _, part in _batches(batches):
             w = Windows(part, everything)
             seen = np.unique(w.half * n_words + w.word)
-            half = seen // n_words
-            before = seen[(half > 0) & ~w.ends[half - 1]] - n_words
-            both = np.unique(np.concatenate([seen, before]))
-            total[:n_words, 0] += np.bincount(both % n_words, minlength=n_words)
+            total[:n_words, 0] += np.bincount(seen % n_words, minlength=n_words)
             total[n_words] += w.n_halves
         yield _rows(total, 1024)
 
     counts = _added(numbered.mapInPandas(frequency, "word long, value binary"), n_words + 1, 1)[:, 0]
     n_windows, df = max(1.0, counts[n_words]), counts[:n_words]
     weighs = df <= limits.common * n_windows
+    for item in items:
+        if sum(weighs[w] for w in set(item.ids)) < 4:
+            weighs[item.ids] = True
     idf = np.where(weighs, np.log((1 + n_windows) / (1 + df)) + 1, 0.0)
     for item in items:
         item.content = [w for w in item.ids if weighs[w]]
         item.answer_content = [w for w in item.answer if weighs[w]]
-        if len(item.content) < 4:  # no content to go by: every word counts
-            item.content, item.answer_content = item.ids, item.answer
 
     pieces, owner = [], []
     for k, item in enumerate(items):
@@ -257,7 +256,7 @@ def _leaks_of(docs: DataFrame, rows: list, limits: Limits) -> DataFrame | None:
             w = Windows(part, weighs)
             values = w.sums(sketch_rows)
             total[:n_words] += w.spread(values, n_words)
-            total[n_words] += (values.astype(np.float64) ** 2).sum()
+            total[n_words] += float(np.einsum("ij,ij->", values, values))
         yield _rows(total)
 
     product = _added(numbered.mapInPandas(sketch, "word long, value binary"), n_words + 1, width)
@@ -319,13 +318,11 @@ def _checked(
 ) -> tuple | None:
     """The best place of an item in a document, if it counts as leaked there."""
     best = None
-    all_words = item.content is item.ids
     for half, cosine in sorted(places.items()):
         start = (half - first_half) * HALF
         low, high = max(0, start - len(item.ids)), start + 2 * HALF + len(item.ids)
         region = doc[low:high]
-        region = region[region >= 0] if all_words else region[(region >= 0) & weighs[region]]
-        region = region.tolist()
+        region = region[(region >= 0) & weighs[region]].tolist()
         share = common_subsequence(item.content, region) / len(item.content)
         if best is None or share > best[2]:
             if share >= limits.paraphrase and item.answer_content:
@@ -333,6 +330,6 @@ def _checked(
             else:
                 answer = 0.0
             best = (int(start), cosine, share, answer, share >= limits.verbatim)
-    if best[4] or (best[2] >= limits.paraphrase and best[3] >= limits.answer and not all_words):
+    if best[4] or (best[2] >= limits.paraphrase and best[3] >= limits.answer):
         return best
     return None
