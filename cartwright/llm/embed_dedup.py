@@ -5,6 +5,14 @@ all vectors lexicographically by these bits. Close vectors share long prefixes,
 is compared, in double precision, with the bounded window of its neighbours in that
 order. Verified pairs of all passes are united into components.
 
+The number of passes grows with the number of vectors, so that a pair at the threshold
+is missed by all of them with a chance of about ``aim``. Where vectors are dense, all share
+long prefixes and a window reaches less far. That shows in the prefix that a vector shares
+with the ends of its window: a neighbour that shares more bits is inside. If the chances
+of all passes leave more than ``miss`` for a pair at the threshold, the vector is crowded.
+A pair whose members are both crowded may be lost, so crowded vectors are all compared
+with each other, in tiles; for any other pair the estimate of one member is small enough.
+
 A window is too small for a group with more members than it holds, but the passes still
 connect the group. So links are counted afterwards and exactly: inside each component
 every pair is compared, large components in tiles of bounded size spread over tasks;
@@ -21,6 +29,7 @@ not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,14 +45,26 @@ from .components import connected_components
 @dataclass(frozen=True)
 class Passes:
     cosine: float = 0.95
-    passes: int = 12
+    passes: int = 12  # at least
     window: int = 128
     bits: int = 62
     tile: int = 1024
+    aim: float = 1e-4
+    miss: float = 1e-3
+
+    @property
+    def agree(self) -> float:
+        """The chance that a bit is the same for two vectors at the threshold."""
+        return 1 - math.acos(self.cosine) / math.pi
+
+    def passes_for(self, n: int) -> int:
+        """Passes over ``n`` evenly spread vectors."""
+        depth = math.log2(max(1.0, n / (2 * self.window))) + 1
+        return max(self.passes, math.ceil(math.log(self.aim) / math.log1p(-(self.agree**depth))))
 
 
-def _projections(dims: int, setup: Passes) -> np.ndarray:
-    return np.random.default_rng(3).standard_normal((dims, setup.passes * setup.bits))
+def _projections(dims: int, passes: int, setup: Passes) -> np.ndarray:
+    return np.random.default_rng(3).standard_normal((passes, dims, setup.bits))
 
 
 def _units(data, dims: int, kind: str) -> np.ndarray:
@@ -83,6 +104,14 @@ def _local_links(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _links_of(linked: np.ndarray, node: np.ndarray) -> pd.DataFrame:
+    """Links (a, b) that connect what a symmetric matrix connects."""
+    some = np.flatnonzero(linked.any(1))
+    label = _local_links(linked[np.ix_(some, some)])
+    moved = label != np.arange(len(label))
+    return pd.DataFrame({"a": node[some][label[moved]], "b": node[some][moved]})
+
+
 def near_duplicates(
     vectors: DataFrame,
     setup: Passes = Passes(),
@@ -107,6 +136,7 @@ def near_duplicates(
             yield pd.DataFrame({"vec_id": batch["vec_id"].astype("Int64"), "data": out})
 
     encoded = store(rows.mapInPandas(encode, "vec_id long, data binary"), "vectors")
+    passes = setup.passes_for(encoded.count())
     classes = (
         encoded.where("data is not null")
         .groupBy("data")
@@ -116,10 +146,10 @@ def near_duplicates(
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         node = TaskContext.get().partitionId() << 33
         powers = 1 << np.arange(setup.bits - 1, -1, -1, dtype=np.int64)
-        planes = _projections(dims, setup)
+        planes = _projections(dims, passes, setup)
         for batch in batches:
-            signs = _units(batch["data"], dims, kind) @ planes > 0
-            keys = signs.reshape(len(batch), setup.passes, setup.bits) @ powers
+            unit = _units(batch["data"], dims, kind)
+            keys = np.stack([(unit @ p > 0) @ powers for p in planes], 1)
             yield batch.assign(node=np.arange(node, node + len(batch)), keys=list(keys))
             node += len(batch)
 
@@ -136,14 +166,14 @@ def near_duplicates(
             batch["shard"] = shard
             batch["row"] = np.arange(row, row + len(batch))
             row += len(batch)
-            yield batch[["pass", "node", "shard", "row"]]
+            yield batch[["pass", "node", "key", "shard", "row"]]
 
     order = ["pass", "key", "node"]
     placed = store(
         nodes.select("node", F.posexplode("keys").alias("pass", "key"))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .mapInPandas(ranked, "pass int, node long, shard int, row long"),
+        .mapInPandas(ranked, "pass int, node long, key long, shard int, row long"),
         "placed",
     )
     # The place in a pass: rows of the pass before the shard, and in it.
@@ -153,10 +183,12 @@ def near_duplicates(
         .agg(F.count("*").alias("n"), F.min("row").alias("low"))
         .select("pass", "shard", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("low")).alias("base"))
     )
-    block = F.floor((F.col("row") + F.col("base")) / setup.window)
+    place = F.col("row") + F.col("base")
+    ordered = store(
+        placed.join(bases, ["pass", "shard"]).select("pass", "node", "key", place.alias("place")), "ordered"
+    )
     members = (
-        placed.join(bases, ["pass", "shard"])
-        .select("pass", "node", (F.col("row") + F.col("base")).alias("place"), block.alias("home"))
+        ordered.select("pass", "node", "place", F.floor(F.col("place") / setup.window).alias("home"))
         .join(nodes.select("node", "data"), "node")
         # Each block meets the next one, so a member is needed at home and one before.
         .select("pass", "node", "place", "home", "data", F.explode(F.array("home", F.col("home") - 1)).alias("block"))
@@ -171,17 +203,15 @@ def near_duplicates(
             linked &= np.abs(place[:, None] - place[None, :]) <= setup.window
             linked &= home[:, None] | home[None, :]
             np.fill_diagonal(linked, False)
-            label = _local_links(linked)
-            node = run["node"].to_numpy()
-            moved = label != np.arange(len(label))
-            if moved.any():
-                yield pd.DataFrame({"a": node[label[moved]], "b": node[moved]})
+            if linked.any():
+                yield _links_of(linked, run["node"].to_numpy())
 
     links = (
         members.repartition("pass", "block")
         .sortWithinPartitions("pass", "block")
         .mapInPandas(compare, "a long, b long")
     )
+    links = store(links, "near").union(_crowded_links(ordered, nodes, dims, kind, setup))
     parts = connected_components(links)
     joined = store(parts.join(nodes.drop("keys"), "node"), "members")
     sizes = joined.groupBy("component").agg(F.count("*").alias("size"), F.min("first").alias("name"))
@@ -229,3 +259,42 @@ def near_duplicates(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     return encoded.join(found, "data").select("vec_id", "n_links", "component_id").union(alone)
+
+
+def _crowded_links(ordered: DataFrame, nodes: DataFrame, dims: int, kind: str, setup: Passes) -> DataFrame:
+    """Links (a, b) between all vectors that the passes alone would leave uncertain."""
+    ends = ordered.select("pass", (F.col("place") - setup.window).alias("place"), F.col("node").alias("end"), F.col("key").alias("end_key"))
+    differ = F.col("key").bitwiseXOR(F.col("end_key"))
+    shared = F.when(differ == 0, setup.bits).otherwise(setup.bits - F.length(F.bin(differ)))
+    met = F.pow(F.lit(setup.agree), F.col("shared") + 1)
+    crowded = store(
+        ordered.join(ends, ["pass", "place"])
+        .select("pass", shared.alias("shared"), F.explode(F.array("node", "end")).alias("node"))
+        .groupBy("node", "pass")
+        .agg(F.max("shared").alias("shared"))
+        .groupBy("node")
+        .agg(F.sum(F.log1p(-met)).alias("chance"))
+        .where(F.col("chance") > math.log(setup.miss))
+        .join(nodes.select("node", "data"), "node")
+        .select("node", "data"),
+        "crowded",
+    )
+    tiles = max(1, math.ceil(crowded.count() / setup.tile))
+    other = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
+    tiled = (
+        crowded.withColumn("mine", F.pmod(F.xxhash64("node"), F.lit(tiles)).cast("int"))
+        .withColumn("other", other)
+        .select("node", "data", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
+    )
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for run in _runs(batches, ["low", "high"]):
+            unit = _units(run["data"], dims, kind)
+            linked = unit @ unit.T >= setup.cosine
+            np.fill_diagonal(linked, False)
+            if linked.any():
+                yield _links_of(linked, run["node"].to_numpy())
+
+    return (
+        tiled.repartition("low", "high").sortWithinPartitions("low", "high").mapInPandas(compare, "a long, b long")
+    )

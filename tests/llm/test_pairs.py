@@ -4,6 +4,7 @@ import os
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
@@ -144,6 +145,43 @@ def test_embeddings(spark):
     assert embed_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("mutual", [None, 0.8, 0.9])
+def test_isolated_pairs_in_a_dense_cluster(spark, mutual):
+    r = np.random.default_rng(11)
+    n, pairs = 6000, 150
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    x = unit(r.standard_normal((n, 64)))
+    if mutual:
+        centre = unit(r.standard_normal(64))
+        inside = r.standard_normal((n // 2, 64))
+        inside = unit(inside - (inside @ centre)[:, None] * centre)
+        x[: n // 2] = mutual**0.5 * centre + (1 - mutual) ** 0.5 * inside
+    # A mate of cosine 0.955 for some, within the cluster where there is one.
+    base = x[:pairs]
+    if mutual:
+        rest = unit(base - (base @ centre)[:, None] * centre)
+        away = r.standard_normal((pairs, 64))
+        away -= (away @ centre)[:, None] * centre
+        away = unit(away - (away * rest).sum(1, keepdims=True) * rest)
+        cos = (0.955 - mutual) / (1 - mutual)
+        mates = mutual**0.5 * centre + (1 - mutual) ** 0.5 * (cos * rest + (1 - cos**2) ** 0.5 * away)
+    else:
+        away = r.standard_normal((pairs, 64))
+        away = unit(away - (away * base).sum(1, keepdims=True) * base)
+        mates = 0.955 * base + (1 - 0.955**2) ** 0.5 * away
+    every = np.concatenate([x, mates])
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(every)), "embedding": every.tolist()}))
+    out = embed_dedup.near_duplicates(frame.repartition(4), embed_dedup.Passes(window=16)).toPandas()
+    linked = every @ every.T >= 0.95
+    np.fill_diagonal(linked, False)
+    found = out.sort_values("vec_id")["n_links"].to_numpy()
+    lost = int((found != linked.sum(1)).sum())
+    assert lost <= 0.005 * len(every[linked.any(1)]), lost
+
+
 # ---- leaks ------------------------------------------------------------------------
 
 COMMON = "the of and to in is that it was for on with as be at by this had not".split()
