@@ -7,8 +7,10 @@ up in a shuffle, and the decomposition follows from their sum in one pass over a
 windows. Benchmark items count as much as all documents together, so that their own
 directions are among those kept. Items are searched by pieces that fit into a window. A
 window is a candidate for an item if its cosine with a piece reaches a threshold and its
-projection on the piece is a good part of the piece's own length: a window that holds a
-whole piece projects on all of it, whatever else it holds. The longest common subsequence
+projection on the piece is a good part of the piece's own length. The latent space keeps
+little of some pieces and other words of a window can take away from a projection, so
+words are counted too: a window with enough words of a piece is a candidate, whatever
+else it holds and whatever the rank. The longest common subsequence
 of content words between the item and the surroundings of the window then decides. An item that is nearly all there is a leak;
 one of which a good part is there in order is a paraphrase if its answer is there too.
 The answer is a column of the benchmark or, without one, the last sentence.
@@ -50,6 +52,7 @@ class Limits:
     common: float = 0.05
     cosine: float = 0.3
     projection: float = 0.5
+    held: float = 0.5  # words of a window from a piece, as a share of the piece's words
     verbatim: float = 0.8
     paraphrase: float = 0.6
     answer: float = 0.8
@@ -117,6 +120,18 @@ class Windows:
         following[self.ends] = 0
         return out + following
 
+    def held(self, starts: np.ndarray, pieces: np.ndarray, n_pieces: int) -> np.ndarray:
+        """Per window and piece the words that are of the piece; word w is of
+        pieces[starts[w] : starts[w + 1]]."""
+        n = starts[self.word + 1] - starts[self.word]
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[self.word], n)
+        key = np.repeat(self.half, n) * n_pieces + pieces[at]
+        out = np.bincount(key, minlength=self.n_halves * n_pieces).astype(np.int32)
+        out = out.reshape(self.n_halves, n_pieces)
+        following = np.roll(out, -1, axis=0)
+        following[self.ends] = 0
+        return out + following
+
     def spread(self, values: np.ndarray, n_words: int) -> np.ndarray:
         """Per word the sum of the values of the windows it is in, with repeats."""
         before = np.roll(values, 1, axis=0)
@@ -246,6 +261,13 @@ def _leaks_of(docs: DataFrame, rows: list, limits: Limits) -> DataFrame | None:
     own = np.zeros((len(pieces), n_words))
     for i, piece in enumerate(pieces):
         np.add.at(own[i], piece, idf[piece])
+    piece_of, word_of = np.nonzero(own)
+    by_word = np.argsort(word_of, kind="stable")
+    starts = np.searchsorted(word_of[by_word], np.arange(n_words + 1))
+    piece_of = piece_of[by_word]
+    # A piece without words that weigh asks for more than any window has.
+    lengths = np.array([sum(weighs[w] for w in piece) for piece in pieces])
+    enough = np.where(lengths > 0, np.ceil(limits.held * lengths), 4 * HALF).astype(np.int32)
     width = min(limits.rank + limits.oversample, n_words)
     test = np.random.default_rng(5).standard_normal((n_words, width))
     sketch_rows = (idf[:, None] * test).astype(np.float32)
@@ -280,7 +302,9 @@ def _leaks_of(docs: DataFrame, rows: list, limits: Limits) -> DataFrame | None:
             along = latent @ latent_items
             norms = np.maximum(norms, 1e-9)[:, None]
             hits: dict[tuple[int, int], dict[int, float]] = {}
-            for half, j in np.argwhere((along >= least) & (along >= limits.cosine * norms)).tolist():
+            near = (along >= least) & (along >= limits.cosine * norms)
+            near |= w.held(starts, piece_of, len(pieces)) >= enough
+            for half, j in np.argwhere(near).tolist():
                 doc = int(np.searchsorted(w.first_half, half, "right")) - 1
                 places = hits.setdefault((doc, owner[j]), {})
                 cosine = float(along[half, j] / norms[half, 0])

@@ -236,6 +236,22 @@ def test_leaks_of_nothing(spark, leak_case):
     assert decontaminate.find_leaks(frame, bench.limit(0)).count() == 0
 
 
+def test_short_items_among_words_of_a_full_block(spark):
+    r = random.Random(9)
+    vocabulary = ["".join(r.choices("abcdefghklmnor", k=7)) for _ in range(1500)]
+    items = [(i, " ".join(r.choices(vocabulary, k=r.choice((14, 18, 60)))) + ".") for i in range(400)]
+    docs = []
+    for i, text in items:  # each whole, between other words of the benchmark
+        for k in range(2):
+            around = [" ".join(r.choices(vocabulary, k=r.randrange(40, 90))) for _ in range(2)]
+            docs.append((10 * i + k, f"{around[0]} {text} {around[1]}"))
+    docs += [(100_000 + i, " ".join(r.choices(vocabulary, k=200))) for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(f.doc_id, f.item_id) for f in decontaminate.find_leaks(frame, bench).collect()}
+    assert found == {(10 * i + k, i) for i in range(400) for k in range(2)}
+
+
 @given(st.lists(st.integers(0, 4), min_size=1, max_size=12), st.lists(st.integers(0, 4), max_size=20))
 def test_common_subsequence(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
