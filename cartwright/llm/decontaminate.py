@@ -340,20 +340,20 @@ def _checked(
     weighs: np.ndarray,
     limits: Limits,
 ) -> tuple | None:
-    """The best place of an item in a document, if it counts as leaked there."""
+    """The best place of an item in a document where it counts as leaked."""
     best = None
     for half, cosine in sorted(places.items()):
         start = (half - first_half) * HALF
         low, high = max(0, start - len(item.ids)), start + 2 * HALF + len(item.ids)
-        region = doc[low:high]
-        region = region[(region >= 0) & weighs[region]].tolist()
+        every = doc[low:high]
+        every = every[every >= 0]
+        region = every[weighs[every]].tolist()
         share = common_subsequence(item.content, region) / len(item.content)
-        if best is None or share > best[2]:
-            if share >= limits.paraphrase and item.answer_content:
-                answer = common_subsequence(item.answer_content, region) / len(item.answer_content)
-            else:
-                answer = 0.0
+        if share < limits.paraphrase or (best and share <= best[2]):
+            continue
+        # An answer of common words only is looked for among all words.
+        wanted, among = (item.answer_content, region) if item.answer_content else (item.answer, every.tolist())
+        answer = common_subsequence(wanted, among) / len(wanted) if wanted else 0.0
+        if share >= limits.verbatim or answer >= limits.answer:
             best = (int(start), cosine, share, answer, share >= limits.verbatim)
-    if best[4] or (best[2] >= limits.paraphrase and best[3] >= limits.answer):
-        return best
-    return None
+    return best

@@ -252,6 +252,21 @@ def test_short_items_among_words_of_a_full_block(spark):
     assert found == {(10 * i + k, i) for i in range(400) for k in range(2)}
 
 
+def test_answers_of_common_words_and_of_later_places():
+    weighs = np.array([True] * 20 + [False] * 3 + [True] * 40)
+    question = list(range(10))
+    near = [*question[:7], 50, 51, 52]
+    limits = decontaminate.Limits()
+    common = decontaminate.Item(1, [*question, 20, 21], [20, 21], question, [])
+    assert decontaminate._checked(common, np.array([*near, 20, 21]), 0, {0: 0.5}, weighs, limits)[3] == 1
+    assert decontaminate._checked(common, np.array([*near, 22, 21]), 0, {0: 0.5}, weighs, limits) is None
+    # The same share twice, the answer only at the second place.
+    item = decontaminate.Item(1, [*question, 10], [10], [*question, 10], [10])
+    doc = np.array([*near, *[40] * 310, *near[:6], 10])
+    found = decontaminate._checked(item, doc, 0, {0: 0.5, 9: 0.5}, weighs, limits)
+    assert found[0] == 9 * decontaminate.HALF and found[3] == 1
+
+
 @given(st.lists(st.integers(0, 4), min_size=1, max_size=12), st.lists(st.integers(0, 4), max_size=20))
 def test_common_subsequence(a, b):
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
