@@ -239,7 +239,7 @@ def test_leaks_of_nothing(spark, leak_case):
 def test_short_items_among_words_of_a_full_block(spark):
     r = random.Random(9)
     vocabulary = ["".join(r.choices("abcdefghklmnor", k=7)) for _ in range(1500)]
-    items = [(i, " ".join(r.choices(vocabulary, k=r.choice((14, 18, 60)))) + ".") for i in range(400)]
+    items = [(i, " ".join(r.choices(vocabulary, k=r.choice((4, 18, 60)))) + ".") for i in range(400)]
     docs = []
     for i, text in items:  # each whole, between other words of the benchmark
         for k in range(2):
