@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwright.session import scratch_path
 
-from . import chat, decontaminate, embed_dedup, html_blocks, packing, quality, secrets, simhash
-from . import suffix_dedup, token_files
+from . import chat, decontaminate, embed_dedup, html_blocks, mixing, packing, quality, ranked
+from . import repair, secrets, simhash, sql, suffix_dedup, token_files
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,8 @@ BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
+    if fn.__name__ in sql.TWINS:
+        ORACLES[fn.__name__] = sql.TWINS[fn.__name__]
     return fn
 
 
@@ -122,3 +124,22 @@ def op9_suffix_runs(spark: SparkSession, d: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_target_alignment(spark: SparkSession, d: str) -> DataFrame:
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair_conversations(repair.damaged(turns), turns)
+
+
+@query
+def op12_pair_maxscore(spark: SparkSession, d: str) -> DataFrame:
+    index = ranked.build_index(table(spark, d, "documents"))
+    return ranked.search(index, table(spark, d, "benchmark"), wanted=50)
+
+
+@query
+def op13_repetition_rates(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    plan = mixing.mixing_plan(docs, weights=(3, 1, 2), share=1.5, most=2.0)
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
