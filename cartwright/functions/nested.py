@@ -110,23 +110,33 @@ def unique_products(products: Column) -> Column:
 
 
 def dominant_category(products: Column, tie_break: str = "first") -> Column:
-    return dominant_of(priced(products), tie_break)
+    """The same as ``dominant_of``, from the amounts alone."""
+    amounts = F.transform(
+        products,
+        lambda p: F.struct(
+            text.or_unknown(p["category"]).alias("name"), _amount(p).alias("amount")
+        ),
+    )
+    return _dominant(amounts, tie_break)
 
 
 def dominant_of(priced_lines: Column, tie_break: str = "first") -> Column:
-    """Category with the largest amount, found in one pass over the sorted array.
+    """Category with the largest amount of ``priced`` lines."""
+    amounts = F.transform(
+        priced_lines, lambda p: F.struct(p["name"].alias("name"), p["amount"].alias("amount"))
+    )
+    return _dominant(amounts, tie_break)
+
+
+def _dominant(amounts: Column, tie_break: str) -> Column:
+    """The name with the largest sum, found in one pass over the sorted array.
 
     Sorting brings the lines of a category together, in ascending name order;
     the fold closes one run after the other and keeps the best. On a tie the
     first name stays (``tie_break="first"``) or the last one wins (``"last"``).
     """
     check_tie_break(tie_break)
-    lines = F.sort_array(
-        F.transform(
-            priced_lines,
-            lambda p: F.struct(p["name"].alias("name"), p["amount"].alias("amount")),
-        )
-    )
+    lines = F.sort_array(amounts)
     zero = F.lit(0).cast(money.AMOUNT_SUM)
     none = F.lit(None)
     start = F.struct(

@@ -6,14 +6,14 @@ same on every run, on every retry and in every other engine that has md5.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import time
 from ..functions.time import AsOf
 from ..schemas import CART, USER
 from ..sources.rows import order_ids
 from . import vocabulary as V
-from .keys import dedupe_users
+from .keys import dedupe_users, number_in_order
 
 
 def digest(seed: int, kind: str, *keys: Column) -> Column:
@@ -41,38 +41,10 @@ def _back_in_time(as_of: AsOf, days: Column, seconds: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-# Users are numbered level by level. A level cuts 16 bits off the ids, so a group of
-# one level holds at most 65,536 groups of the one below; every window sees one group.
-LEVEL_BITS = 16
-LEVELS = 3  # the fourth 16 bits of a 64-bit id are the last group
-
-
 def index_users(users: DataFrame) -> DataFrame:
-    """(id, slot): the users numbered 0, 1, 2… in id order, without a global sort."""
-    ids = (
-        users.filter(F.col("id").isNotNull())
-        .select(F.col("id").cast("bigint").alias("id"))
-        .distinct()
-    )
-    for level in range(1, LEVELS + 1):
-        ids = ids.withColumn(f"g{level}", F.shiftright("id", LEVEL_BITS * level))
-    slots = ids.withColumn("slot", F.row_number().over(Window.partitionBy("g1").orderBy("id")) - 1)
-    counts = ids.groupBy("g1", "g2", "g3").agg(F.count(F.lit(1)).alias("n"))
-    for level in range(1, LEVELS + 1):
-        if level > 1:
-            upper = [f"g{k}" for k in range(level, LEVELS + 1)]
-            counts = counts.groupBy(*upper).agg(F.sum("n").alias("n"))
-        group = f"g{level}"
-        window = Window.partitionBy(f"g{level + 1}") if level < LEVELS else Window.partitionBy()
-        before = window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-        starts = counts.select(group, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-        slots = slots.join(starts, group).withColumn("slot", F.col("slot") + F.col("start"))
-        slots = slots.drop("start")
-    return slots.select("id", "slot")
-
-
-def _pool_size(users: DataFrame) -> Column:
-    return users.agg(F.countDistinct("id").alias("n")).scalar()
+    """(id, slot): the users numbered 0, 1, 2… in id order. Reads the users once."""
+    ids = users.filter(F.col("id").isNotNull()).select(F.col("id").cast("bigint").alias("id"))
+    return number_in_order(ids.distinct(), "id", name="slot")
 
 
 def assign_users(orders: DataFrame, users: DataFrame) -> DataFrame:
@@ -80,8 +52,8 @@ def assign_users(orders: DataFrame, users: DataFrame) -> DataFrame:
 
     With an empty pool every order gets a user of its own, with the order's id.
     """
-    size = F.nullif(_pool_size(users), F.lit(0))
     slots = index_users(users).select(F.col("id").alias("userId"), "slot")
+    size = F.nullif(slots.agg(F.count(F.lit(1)).alias("n")).scalar(), F.lit(0))
     number = F.col("id").cast("bigint") - 1
     # Without a pool nothing matches; the number only keeps the join keys apart.
     return (
@@ -91,6 +63,17 @@ def assign_users(orders: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
+def spread(assigned: DataFrame) -> DataFrame:
+    """The rows dealt over as many tasks as the session's shuffles have.
+
+    An assignment has a few bytes, so Spark merges the partitions of its join into few;
+    the cart made from it takes a hundred times as long as the move. A number of
+    partitions that was asked for is kept.
+    """
+    parts = int(assigned.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return assigned.repartition(parts, "id")
+
+
 def _drawn_user(user_id: Column, as_of: AsOf, seed: int) -> dict[str, Column]:
     h = digest(seed, "user", user_id)
     first = _one_of(_texts(V.FIRST_NAMES), len(V.FIRST_NAMES), h, 1, 4)
@@ -245,7 +228,8 @@ def synthesize_users(
 ) -> DataFrame:
     """The completed pool, or one synthetic user per order when the pool is empty."""
     completed = complete_users(dedupe_users(seed_users), as_of, seed)
-    lonely = orders.filter(_pool_size(seed_users) == 0).select("id")
+    pool_size = seed_users.agg(F.count("id").alias("n")).scalar()
+    lonely = orders.filter(pool_size == 0).select("id")
     return completed.unionByName(make_users(lonely, as_of, seed)).select(*USER.fieldNames())
 
 
@@ -254,5 +238,5 @@ def synthesize_orders(
 ) -> tuple[DataFrame, DataFrame]:
     """(carts, users) for ``n`` orders over a pool of seed users, which may be empty."""
     orders = order_ids(spark, n)
-    carts = make_carts(assign_users(orders, seed_users), as_of, seed)
+    carts = make_carts(spread(assign_users(orders, seed_users)), as_of, seed)
     return carts, synthesize_users(orders, seed_users, as_of, seed)

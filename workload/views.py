@@ -122,18 +122,14 @@ def seed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An id per given order, dealt out by their number: a few bytes each now, but the
-    cart made from one takes far longer than the move. Ten thousand make a task, until
-    the tasks are as many as the session's shuffles have."""
-    ids = table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("id"))
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return ids.repartition(min(most, ids.count() // 10_000 + 1))
+    """An id per given order."""
+    return table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("id"))
 
 
 def generated_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested carts: one generated cart for every given order over the given customers."""
     assigned = generate.assign_users(generated_ids(spark, sf_dir), seed_users(spark, sf_dir))
-    return generate.make_carts(assigned, AS_OF, SEED)
+    return generate.make_carts(generate.spread(assigned), AS_OF, SEED)
 
 
 def generated_users(spark: SparkSession, sf_dir: str) -> DataFrame:
