@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import time
 from ..session import scratch_path
@@ -11,8 +11,8 @@ from ..session import scratch_path
 ROW_BITS = 33
 
 
-def number_in_order(df: DataFrame, *keys: str, name: str = "number") -> DataFrame:
-    """``df`` with its rows numbered 0, 1, 2… in ascending order of ``keys``.
+def number_in_order(df: DataFrame, *keys: str | Column, name: str = "number") -> DataFrame:
+    """``df`` with its rows numbered 0, 1, 2… in the order of ``keys``.
 
     The rows are dealt by ranges of the keys, so a partition holds consecutive numbers:
     the place of a row in its partition plus the rows of the partitions before. The dealt

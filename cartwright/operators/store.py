@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions import time
 from ..functions.time import AsOf
 from ..schemas import Contract
+from .gate import row_rules, unique_rule
 from .keys import last_per_key
 
 AUDIT = ["created_at", "updated_at"]
@@ -55,7 +56,14 @@ def upsert(
     meet, so no key is heavy in the join.
     """
     columns = incoming.columns
-    latest = last_per_key(incoming, key, *seq)
+    merged = merge_rows(existing, last_per_key(incoming, key, *seq), key, as_of)
+    return merged.select(*columns, *AUDIT)
+
+
+def merge_rows(existing: DataFrame, latest: DataFrame, key: str, as_of: AsOf) -> DataFrame:
+    """The table after ``latest``, unique by key, has replaced its rows; ``created`` tells
+    the rows of new keys."""
+    columns = latest.columns
     old = existing.select(F.col(key), F.struct(*columns, *AUDIT).alias("old"))
     new = latest.select(F.col(key), F.struct(*columns).alias("new"))
     now = time.as_of_timestamp(as_of)
@@ -67,6 +75,7 @@ def upsert(
         ],
         F.coalesce("old.created_at", now).alias("created_at"),
         F.when(fresh, now).otherwise(F.col("old.updated_at")).alias("updated_at"),
+        F.col("old").isNull().alias("created"),
     )
 
 
@@ -81,21 +90,14 @@ def check_contract(df: DataFrame, contract: Contract) -> DataFrame:
     Rows are counted by key in one pass, combined on the map side; the key rule counts
     the surplus rows of repeated keys, without those that have none.
     """
-    rules = {f"not_null:{c}": F.col(c).isNull() for c in contract.not_null}
-    rules |= {
-        f"max_length:{c}": F.length(c) > limit for c, limit in contract.max_length.items()
-    }
-    rules |= {
-        f"range:{c}": F.abs(F.col(c)) >= F.lit(10 ** (precision - scale))
-        for c, (precision, scale) in contract.decimals.items()
-    }
+    rules = row_rules(contract)
     by_key = df.groupBy(contract.key).agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.coalesce(broken, F.lit(False))).alias(r) for r, broken in rules.items()],
+        *[F.count_if(broken).alias(r) for r, broken in rules.items()],
     )
     nothing = F.lit(0).cast("bigint")
     surplus = F.sum(F.when(F.col(contract.key).isNotNull(), F.col("_rows") - 1))
-    totals = {r: F.sum(F.col(f"`{r}`")) for r in rules} | {f"unique:{contract.key}": surplus}
+    totals = {r: F.sum(F.col(f"`{r}`")) for r in rules} | {unique_rule(contract): surplus}
     counted = by_key.agg(*[F.coalesce(t, nothing).alias(r) for r, t in totals.items()])
     pairs = [
         F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").alias("violations")) for r in totals

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.time import AsOf
 from ..operators.analytics import (
@@ -18,10 +18,14 @@ from ..operators.enrich import cart_facts, keep_known_users
 from ..operators.generate import synthesize_orders
 from ..operators.items import to_kv_items
 from ..schemas import (
+    CART,
+    CUSTOMER_CONTRACT,
     CUSTOMER_DEFAULTS,
     CUSTOMER_DOCUMENT_FIELDS,
+    ORDER_CONTRACT,
     ORDER_DEFAULTS,
     ORDER_DOCUMENT_FIELDS,
+    USER,
 )
 from ..session import prepare
 from ..sinks import (
@@ -34,7 +38,7 @@ from ..sinks import (
     write_raw_json,
 )
 from ..sinks.keyvalue import BatchWriter
-from ..sources import load_seed, read_carts, read_users
+from ..sources import load_seed, read_landed
 
 log = logging.getLogger(__name__)
 
@@ -76,23 +80,57 @@ def order_table(carts: DataFrame, users: DataFrame, as_of: AsOf) -> DataFrame:
     return build_order_analytics(keep_known_users(cart_facts(carts, as_of), users))
 
 
-def run_warehouse(spark: SparkSession, cfg: JobConfig) -> dict:
-    """Generate, enrich, publish both tables, put the items.
+class Counted:
+    """Rows of frames, counted by the jobs that write what is made of them."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        self.seen[name] = Observation()
+        return df.observe(self.seen[name], F.count(F.lit(1)).alias("rows"))
+
+    def __getitem__(self, name: str) -> int:
+        return self.seen[name].get.get("rows", 0)
+
+
+def _tables(
+    carts: DataFrame, users: DataFrame, cfg: JobConfig, orders_name: str, customers_name: str
+) -> tuple[DataFrame, DataFrame, dict]:
+    """Publish the order and the customer table of a run, and its figures.
 
-    The stored order table is the hand-over point: customers and items read it
-    back, so the enrichment runs once and nothing is cached in executors that
-    may be lost.
+    The stored order table is the hand-over point: customers and everything later read
+    it back, so the enrichment runs once and nothing is cached in executors that may be
+    lost. All figures are counted in the two writing jobs: carts before the user join,
+    orders after it, customers as they are stored, one row each as the contract demands.
     """
-    prepare(spark)
-    carts, users = generate(spark, cfg)
+    counted = Counted()
     orders = publish_table(
-        order_table(carts, users, cfg.as_of), cfg.table("order_analytics"), cfg.root
+        counted("orders", order_table(counted("carts", carts), users, cfg.as_of)),
+        cfg.table(orders_name),
+        cfg.root,
+        contract=ORDER_CONTRACT,
     )
     customers = publish_table(
-        customers_from_orders(orders, users, cfg.as_of),
-        cfg.table("customer_analytics"),
+        counted("customers", customers_from_orders(orders, users, cfg.as_of)),
+        cfg.table(customers_name),
         cfg.root,
+        contract=CUSTOMER_CONTRACT,
     )
+    figures = {
+        "customer_rows": counted["customers"],
+        "unique_customers": counted["customers"],
+        "order_rows": counted["orders"],
+        "skipped_orders": counted["carts"] - counted["orders"],
+    }
+    return orders, customers, figures
+
+
+def run_warehouse(spark: SparkSession, cfg: JobConfig) -> dict:
+    """Generate, enrich, publish both tables, put the items."""
+    prepare(spark)
+    carts, users = generate(spark, cfg)
+    orders, customers, figures = _tables(carts, users, cfg, "order_analytics", "customer_analytics")
     items = to_kv_items(customers, orders)
     status_path = f"{cfg.root}/processed/write_status"
     if cfg.kv_writer is None:
@@ -100,13 +138,10 @@ def run_warehouse(spark: SparkSession, cfg: JobConfig) -> dict:
     else:
         status = write_kv(items, cfg.kv_writer, status_path, cfg.kv_all_or_nothing)
     total, written, failed = status_summary(status).first()
-    return {
-        "customer_rows": customers.count(),
-        "order_rows": orders.count(),
+    return figures | {
         "items_total": total,
         "items_written": written,
         "items_failed": failed,
-        "skipped_orders": cfg.n_orders - orders.count(),
     }
 
 
@@ -114,13 +149,10 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
     """Generate, snapshot, enrich, write CSV, upsert the stored tables, write documents."""
     prepare(spark)
     carts, users = generate(spark, cfg)
-    carts = read_carts(spark, write_raw_json(carts, f"{cfg.root}/raw/synthetic_carts"), lines=True)
-    users = read_users(spark, write_raw_json(users, f"{cfg.root}/raw/synthetic_users"), lines=True)
-    orders = publish_table(
-        order_table(carts, users, cfg.as_of), cfg.table("order_batch"), cfg.root
-    )
-    customers = publish_table(
-        customers_from_orders(orders, users, cfg.as_of), cfg.table("customer_batch"), cfg.root
+    carts = read_landed(spark, write_raw_json(carts, f"{cfg.root}/raw/synthetic_carts"), CART)
+    users = read_landed(spark, write_raw_json(users, f"{cfg.root}/raw/synthetic_users"), USER)
+    orders, customers, figures = _tables(
+        carts.documents, users.documents, cfg, "order_batch", "customer_batch"
     )
     write_processed_csv(customers, f"{cfg.root}/processed/customer_analytics")
     write_processed_csv(orders, f"{cfg.root}/processed/order_analytics")
@@ -131,6 +163,7 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
         cfg.root,
         cfg.as_of,
         defaults=CUSTOMER_DEFAULTS,
+        contract=CUSTOMER_CONTRACT,
     )
     stored_orders = upsert_table(
         orders,
@@ -139,6 +172,7 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
         cfg.root,
         cfg.as_of,
         defaults=ORDER_DEFAULTS,
+        contract=ORDER_CONTRACT,
     )
     customer_docs = write_documents(
         customers,
@@ -150,16 +184,14 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
     order_docs = write_documents(
         orders, ORDER_DOCUMENT_FIELDS, "order_id", cfg.table("order_documents"), cfg.root
     )
-    return {
-        "customer_rows": customers.count(),
-        "order_rows": orders.count(),
+    return figures | {
+        "broken_documents": carts.broken_count() + users.broken_count(),
         "customers_created": stored_customers[0],
         "customers_updated": stored_customers[1],
         "orders_created": stored_orders[0],
         "orders_updated": stored_orders[1],
         "customer_docs": customer_docs,
         "order_docs": order_docs,
-        "skipped_orders": cfg.n_orders - orders.count(),
     }
 
 
@@ -169,21 +201,29 @@ BRANCHES: dict[str, Callable[[SparkSession, JobConfig], dict]] = {
 }
 
 
+class RunError(RuntimeError):
+    """Some branches failed; ``results`` has those of the others, ``errors`` the reasons."""
+
+    def __init__(self, results: dict[str, dict], errors: dict[str, Exception]) -> None:
+        super().__init__(" | ".join(f"{n} branch failed: {e}" for n, e in errors.items()))
+        self.results, self.errors = results, errors
+
+
 def run(
     spark: SparkSession, cfg: JobConfig, branches: tuple[str, ...] = ("serving", "warehouse")
 ) -> dict[str, dict]:
     """Run the branches one after the other; a failed one does not stop the rest.
 
-    Failures are raised together at the end.
+    Failures are raised together at the end, with the results of the others.
     """
     results: dict[str, dict] = {}
-    errors: list[str] = []
+    errors: dict[str, Exception] = {}
     for name in branches:
         try:
             results[name] = BRANCHES[name](spark, cfg)
         except Exception as error:
             log.exception("%s branch failed", name)
-            errors.append(f"{name} branch failed: {error}")
+            errors[name] = error
     if errors:
-        raise RuntimeError(" | ".join(errors))
+        raise RunError(results, errors)
     return results

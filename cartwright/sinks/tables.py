@@ -5,18 +5,39 @@ table. In the session catalog every write goes to a new folder and the table is
 pointed at it afterwards: readers see the old or the new table, never a mix, a
 failed write changes nothing, and the older folders stay as history. Only a change of
 columns or format takes the table away for a moment, as this catalog cannot change it.
+
+Tables that are upserted in the session catalog are partitioned by a hash of their key
+(``_bucket``). A batch rewrites the buckets that its keys fall into, in a new folder, and
+points these partitions at it, one after the other: of every key readers see the old
+or the new row, and files that a reader has opened stay.
+
+A table can have a contract. Its rules are judged in the pass that stores the batch;
+broken rows change no table and are kept beside it, each with the rules that it breaks.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions.time import AsOf, as_of_timestamp
+from ..operators.gate import (
+    BROKEN,
+    ContractError,
+    Judged,
+    broken_rules,
+    mark_repeats,
+    repeated_keys,
+)
 from ..operators.items import to_documents
 from ..operators.keys import last_per_key
-from ..operators.store import AUDIT, empty_store, evolve, upsert, upsert_counts
+from ..operators.store import AUDIT, empty_store, evolve, merge_rows, upsert_counts
+from ..schemas import Contract
+
+BUCKET = "_bucket"
+BUCKETS = 64
 
 
 def _is_v2(spark: SparkSession, name: str) -> bool:
@@ -48,41 +69,180 @@ def _fits(df: DataFrame, name: str, fmt: str) -> bool:
     return facts.get("Provider", "").lower() == fmt.lower() and columns(spark.table(name)) == columns(df)
 
 
-def publish_table(df: DataFrame, name: str, root: str, fmt: str | None = None) -> DataFrame:
+def _columns_ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+def _point_to(spark: SparkSession, name: str, like: DataFrame, location: str, fmt: str) -> DataFrame:
+    """Make a folder the content of an unpartitioned table with the columns of ``like``."""
+    if _fits(like, name, fmt):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(name)
+    else:
+        # The table is external: dropping it leaves the files of older versions.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        columns = _columns_ddl(like.schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} LOCATION '{location}'")
+    return spark.table(name)
+
+
+def publish_table(
+    df: DataFrame,
+    name: str,
+    root: str,
+    fmt: str | None = None,
+    contract: Contract | None = None,
+    keep_good: bool = False,
+) -> DataFrame:
     """Create or replace a table and return it as stored.
 
     ``root`` is the folder for the table's files in the session catalog; a V2
     catalog places its files itself.
+
+    With a ``contract`` the rows are judged while they are stored. If some break it,
+    they become the table ``<name>_quarantine`` and the table stays as it was
+    (``ContractError``), or gets the good rows alone with ``keep_good``.
     """
     spark = df.sparkSession
     _ensure_namespace(spark, name)
+    if contract is not None:
+        path, judged = _judged(df, root, contract, unique=True)
+        if judged.broken:
+            _quarantine(judged, name, root, refuse=not keep_good)
+        elif not _is_v2(spark, name) and (fmt or "parquet") == "parquet":
+            # The judged rows are the table; the column of broken rules is no part of it.
+            return _point_to(spark, name, judged.accepted, path, "parquet")
+        df = judged.accepted
     if _is_v2(spark, name):
         writer = df.writeTo(name)
         (writer.using(fmt) if fmt else writer).createOrReplace()
         return spark.table(name)
     fmt = fmt or "parquet"
-    location = f"{root}/{name.replace('.', '/')}/{uuid.uuid4().hex}"
+    location = _new_location(root, name)
     df.write.format(fmt).save(location)
-    if _fits(df, name, fmt):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(name)
-    else:
-        # The table is external: dropping it leaves the files of older versions.
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{location}'")
-    return spark.table(name)
+    return _point_to(spark, name, df, location, fmt)
+
+
+def _new_location(root: str, name: str) -> str:
+    return f"{root}/{name.replace('.', '/')}/{uuid.uuid4().hex}"
+
+
+# ---- contracts ---------------------------------------------------------------------
+
+
+def _judged(df: DataFrame, root: str, contract: Contract, unique: bool) -> tuple[str, Judged]:
+    """The rows stored once with the rules that they break, counted on the way.
+
+    Only repeated keys need a look at the other rows: at the stored key column.
+    """
+    path, rows, seen = _handed_over(
+        df.withColumn(BROKEN, broken_rules(contract)), root, {"broken": F.count(BROKEN)}
+    )
+    judged = Judged(rows, seen["rows"], seen["broken"])
+    if not unique:
+        return path, judged
+    repeated = repeated_keys(rows, contract.key)
+    if repeated.isEmpty():
+        return path, judged
+    path, rows, seen = _handed_over(
+        mark_repeats(rows, contract, repeated), root, {"broken": F.count(BROKEN)}
+    )
+    return path, Judged(rows, seen["rows"], seen["broken"])
+
 
+def _quarantine(judged: Judged, name: str, root: str, refuse: bool) -> None:
+    rows = publish_table(judged.quarantined, f"{name}_quarantine", root)
+    if refuse:
+        raise ContractError(name, rows, judged.violations())
 
-def _stored_or_empty(name: str, like: DataFrame) -> DataFrame:
-    spark = like.sparkSession
-    return spark.table(name) if spark.catalog.tableExists(name) else empty_store(like)
 
+# ---- upsert ------------------------------------------------------------------------
 
-def _handed_over(df: DataFrame, root: str) -> DataFrame:
-    """Computed once and read back, as counts and writes both need it."""
+
+def _handed_over(
+    df: DataFrame, root: str, figures: dict[str, Column]
+) -> tuple[str, DataFrame, dict[str, int]]:
+    """Computed once and read back, with figures counted while it was written."""
     path = f"{root}/handover/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    counts = [c.alias(n) for n, c in figures.items()]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return path, stored, {n: seen.get.get(n, 0) for n in ("rows", *figures)}
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _bucket_locations(spark: SparkSession, name: str) -> set[int]:
+    parts = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return {int(r.partition.rpartition("=")[2]) for r in parts}
+
+
+def _stored_buckets(spark: SparkSession, name: str) -> int | None:
+    """How many buckets a table has; None if it has none or does not exist."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'buckets'").first()
+    return int(found.value) if found else None
+
+
+def _rewrite_buckets(
+    batch: DataFrame,
+    name: str,
+    key: str,
+    root: str,
+    merge: Callable[[DataFrame], DataFrame],
+    columns: T.StructType,
+    defaults: dict | None,
+    buckets: int,
+) -> dict[str, int]:
+    """Put ``merge(rows stored so far)`` in place of the buckets that the batch touches.
+
+    A table without buckets or with other columns is rewritten whole. ``merge`` returns
+    the columns and ``created``; rows with it are counted in the writing pass.
+    """
+    spark = batch.sparkSession
+    _ensure_namespace(spark, name)
+    exists = spark.catalog.tableExists(name)
+    n = _stored_buckets(spark, name)
+    stored = spark.table(name) if exists else spark.createDataFrame([], columns)
+    same = n is not None and [(f.name, f.dataType) for f in stored.drop(BUCKET).schema] == [
+        (f.name, f.dataType) for f in columns
+    ]
+    n = n or buckets
+    if same:
+        touched = [r[0] for r in batch.select(bucket_of(key, n)).distinct().collect()]
+        if not touched:
+            return {"created": 0}
+        stored = stored.where(F.col(BUCKET).isin(touched))
+    merged = merge(evolve(stored, columns, defaults))
+    seen = Observation()
+    location = _new_location(root, name)
+    (
+        merged.observe(seen, F.count_if("created").alias("created"))
+        .select(*columns.fieldNames(), bucket_of(key, n).alias(BUCKET))
+        # Rows of a bucket together, large buckets split by their size.
+        .hint("rebalance", BUCKET)
+        .write.partitionBy(BUCKET)
+        .parquet(location)
+    )
+    if same:
+        known = _bucket_locations(spark, name)
+        for b in touched:
+            place = f"PARTITION ({BUCKET} = {b})"
+            change = f"{place} SET LOCATION" if b in known else f"ADD {place} LOCATION"
+            spark.sql(f"ALTER TABLE {name} {change} '{location}/{BUCKET}={b}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(
+            f"CREATE TABLE {name} ({_columns_ddl(columns)}, {BUCKET} int) USING parquet "
+            f"PARTITIONED BY ({BUCKET}) LOCATION '{location}' TBLPROPERTIES ('buckets' = '{n}')"
+        )
+        spark.catalog.recoverPartitions(name)
+    return {"created": seen.get.get("created", 0)}
 
 
 def merge_statement(name: str, source: str, key: str, columns: list[str]) -> str:
@@ -106,42 +266,76 @@ def upsert_table(
     as_of: AsOf,
     seq: tuple[str, ...] = (),
     defaults: dict | None = None,
+    contract: Contract | None = None,
+    buckets: int = BUCKETS,
 ) -> tuple[int, int]:
     """Upsert into a stored table in one step; (created, updated).
 
     A table stored before a column existed is brought to the columns of ``incoming``
     first, with ``defaults`` for its rows. A V2 format merges the batch; in the session
-    catalog the table is written anew.
+    catalog the touched buckets are written anew. ``buckets`` counts for a new table: a
+    bucket should stay within what a few tasks write.
+
+    Rows that break the ``contract`` refuse the batch (``ContractError``); they are kept
+    as ``<name>_quarantine``. A repeated key is no fault here: its last row wins.
     """
     spark = incoming.sparkSession
-    batch = _handed_over(incoming, root)
-    columns = [*batch.schema, *empty_store(batch).schema[-len(AUDIT) :]]
-    existing = evolve(_stored_or_empty(name, batch), T.StructType(columns), defaults)
-    created, updated = upsert_counts(existing, batch, key).first()
-    if _is_v2(spark, name) and spark.catalog.tableExists(name):
-        latest = last_per_key(batch, key, *seq).withColumn("now", as_of_timestamp(as_of))
-        latest.createOrReplaceTempView(view := f"batch_{uuid.uuid4().hex}")
-        spark.sql(merge_statement(name, view, key, batch.columns))
+    if contract is not None:
+        _, judged = _judged(incoming, root, contract, unique=False)
+        if judged.broken:
+            _quarantine(judged, name, root, refuse=True)
+        batch, rows = judged.accepted, judged.seen
     else:
-        publish_table(upsert(existing, batch, key, as_of, seq), name, root)
-    return created, updated
+        _, batch, counts = _handed_over(incoming, root, {})
+        rows = counts["rows"]
+    columns = T.StructType([*batch.schema, *empty_store(batch).schema[-len(AUDIT) :]])
+    latest = last_per_key(batch, key, *seq)
+    if _is_v2(spark, name):
+        existing = spark.table(name) if spark.catalog.tableExists(name) else empty_store(batch)
+        created, updated = upsert_counts(evolve(existing, columns, defaults), batch, key).first()
+        if not spark.catalog.tableExists(name):
+            publish_table(merge_rows(existing, latest, key, as_of).drop("created"), name, root)
+            return created, updated
+        source = latest.withColumn("now", as_of_timestamp(as_of))
+        source.createOrReplaceTempView(view := f"batch_{uuid.uuid4().hex}")
+        spark.sql(merge_statement(name, view, key, batch.columns))
+        return created, updated
+
+    def merge(existing: DataFrame) -> DataFrame:
+        return merge_rows(existing, latest, key, as_of)
+
+    done = _rewrite_buckets(batch, name, key, root, merge, columns, defaults, buckets)
+    return done["created"], rows - done["created"]
 
 
 def write_documents(
-    df: DataFrame, fields: tuple[str, ...], id_field: str, name: str, root: str
+    df: DataFrame,
+    fields: tuple[str, ...],
+    id_field: str,
+    name: str,
+    root: str,
+    buckets: int = BUCKETS,
 ) -> int:
     """Write documents by id, replacing those with the same id; rows written.
 
-    The store is a table (doc_id, doc). Without rows nothing is written.
+    The store is a table (doc_id, doc) in buckets of the id. Without rows nothing is
+    written.
     """
-    documents = _handed_over(to_documents(df, fields, id_field), root)
-    written = documents.count()
-    if written == 0:
+    documents = to_documents(df, fields, id_field)
+    _, batch, seen = _handed_over(documents, root, {})
+    if seen["rows"] == 0:
         return 0
-    spark = df.sparkSession
-    latest = last_per_key(documents, "doc_id")
-    if spark.catalog.tableExists(name):
-        kept = spark.table(name).join(latest, "doc_id", "left_anti")
-        latest = kept.unionByName(latest)
-    publish_table(latest, name, root)
-    return written
+    latest = last_per_key(batch, "doc_id")
+
+    def merge(existing: DataFrame) -> DataFrame:
+        kept = existing.join(latest, "doc_id", "left_anti")
+        return kept.unionByName(latest).withColumn("created", F.lit(False))
+
+    if _is_v2(df.sparkSession, name):
+        exists = df.sparkSession.catalog.tableExists(name)
+        whole = merge(df.sparkSession.table(name)) if exists else latest
+        publish_table(whole.select("doc_id", "doc"), name, root)
+    else:
+        columns = T.StructType([batch.schema["doc_id"], batch.schema["doc"]])
+        _rewrite_buckets(batch, name, "doc_id", root, merge, columns, None, buckets)
+    return seen["rows"]

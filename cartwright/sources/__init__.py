@@ -1,5 +1,5 @@
 """Readers: landed JSON documents, stored tables, ranges, status files."""
-from .documents import load_seed, read_carts, read_users, unwrap_envelope
+from .documents import Landed, load_seed, read_carts, read_landed, read_users, unwrap_envelope
 from .rows import order_ids, users_from_rows
 from .tables import (
     load_write_status,
@@ -10,11 +10,13 @@ from .tables import (
 )
 
 __all__ = [
+    "Landed",
     "load_seed",
     "load_write_status",
     "order_ids",
     "read_carts",
     "read_jdbc",
+    "read_landed",
     "read_processed_csv",
     "read_table",
     "read_users",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import CART, USER
 
@@ -24,6 +26,59 @@ def read_users(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
     return _read(spark, path, USER, lines)
 
 
+CORRUPT = "_corrupt_document"
+
+
+@dataclass(frozen=True)
+class Landed:
+    """Landed documents with their broken ones set aside.
+
+    ``documents`` are the rows that fit the schema, ``broken`` the text of the others.
+    ``seen`` counts both in the first job that reads ``documents``: ``rows``, ``broken``,
+    and ``blank`` (sound JSON without any known field).
+    """
+
+    documents: DataFrame
+    broken: DataFrame
+    seen: Observation
+
+    def broken_count(self) -> int:
+        """Broken documents, once a job has read ``documents``."""
+        return self.seen.get.get("broken", 0)
+
+
+def read_landed(
+    spark: SparkSession, path: str, schema: T.StructType, lines: bool = True
+) -> Landed:
+    """Documents that fit ``schema``, without those that are no JSON or hold a value of
+    another type; by themselves these would become rows of nulls.
+
+    The text of a broken document stays in a column beside the rows. The figures read
+    every field, so no job parses less than the whole document, and the same documents
+    are broken whatever columns are asked for.
+    """
+    whole = T.StructType([*schema, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(whole).option("multiLine", not lines)
+    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    known = F.coalesce(*[F.col(f.name).isNotNull() | F.lit(None) for f in schema])
+
+    def counted(seen: Observation) -> DataFrame:
+        return rows.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count(CORRUPT).alias("broken"),
+            F.count_if(F.col(CORRUPT).isNull() & known.isNull()).alias("blank"),
+        )
+
+    seen = Observation()
+    good, bad = F.col(CORRUPT).isNull(), F.col(CORRUPT).isNotNull()
+    return Landed(
+        counted(seen).where(good).select(*schema.fieldNames()),
+        counted(Observation()).where(bad).select(F.col(CORRUPT).alias("document")),
+        seen,
+    )
+
+
 def load_seed(
     spark: SparkSession, carts_path: str, users_path: str, lines: bool = True
 ) -> tuple[DataFrame, DataFrame]:

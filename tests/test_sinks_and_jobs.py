@@ -138,8 +138,8 @@ def test_warehouse_run(spark, tmp_path):
     cfg = _config(tmp_path, "run_a")
     first = jobs.run_warehouse(spark, cfg)
     assert first == {
-        "customer_rows": 5, "order_rows": 60, "items_total": 65, "items_written": 65, "items_failed": 0,
-        "skipped_orders": 0,
+        "customer_rows": 5, "unique_customers": 5, "order_rows": 60, "items_total": 65,
+        "items_written": 65, "items_failed": 0, "skipped_orders": 0,
     }
     before = sorted(spark.table("run_a.order_analytics").collect())
     assert jobs.run_warehouse(spark, cfg) == first
@@ -169,8 +169,10 @@ def test_one_branch_failing_does_not_stop_the_other(spark, tmp_path, monkeypatch
         raise OSError("disk gone")
 
     monkeypatch.setitem(jobs.BRANCHES, "serving", broken)
-    with pytest.raises(RuntimeError, match="serving branch failed: disk gone"):
+    with pytest.raises(RuntimeError, match="serving branch failed: disk gone") as failed:
         jobs.run(spark, cfg)
+    assert failed.value.results["warehouse"]["order_rows"] == 60
+    assert isinstance(failed.value.errors["serving"], OSError)
     assert spark.table("run_c.order_analytics").count() == 60
     done = jobs.run(spark, cfg, ("warehouse",))
     assert done["warehouse"]["order_rows"] == 60

@@ -6,6 +6,8 @@ category by rank, so both sides reach each number by different means.
 
 from __future__ import annotations
 
+import re
+
 from cartwright.operators import vocabulary as V
 
 from .views import AS_OF, SEED
@@ -297,21 +299,24 @@ JOIN g_sums USING (order_id) JOIN g_dominant USING (order_id)"""
 VIEWS["g_order_table"] = order_view("g_enriched")
 VIEWS["g_customer_table"] = customer_view("g_enriched")
 
+# The same over the order ids 1..n, as the jobs draw them.
+for _name in [n for n in VIEWS if n.startswith("g_")]:
+    VIEWS["r_" + _name[2:]] = re.sub(r"\bg_([a-z_]+)\b", r"r_\1", VIEWS[_name])
+VIEWS["r_ids"] = "SELECT cast(row_number() OVER () as bigint) AS id FROM orders"
+
 
 def sql(body: str) -> str:
     """``body`` with the views it needs, in the order of their definition."""
-    import re
-
     needed: set[str] = set()
     stack = [body]
     while stack:
-        for name in re.findall(r"\b[vg]_[a-z_]+\b", stack.pop()):
+        for name in re.findall(r"\b[vgr]_[a-z_]+\b", stack.pop()):
             if name in VIEWS and name not in needed:
                 needed.add(name)
                 stack.append(VIEWS[name])
     # Views of the generator are read more than once by later ones: compute each once.
     ctes = [
-        f"{n} AS {'MATERIALIZED ' if n[0] == 'g' else ''}({q})"
+        f"{n} AS {'MATERIALIZED ' if n[0] in 'gr' else ''}({q})"
         for n, q in VIEWS.items()
         if n in needed
     ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -11,6 +12,7 @@ from cartwright import schemas, sinks, sources
 from cartwright.functions import money, nested, serialize, text, time
 from cartwright.operators import analytics as A
 from cartwright.operators import enrich as E
+from cartwright.operators import gate
 from cartwright.operators import generate as G
 from cartwright.operators import items as I
 from cartwright.operators import keys as K
@@ -88,38 +90,82 @@ def _one_row(spark, result: dict) -> DataFrame:
 
 _N_ORDERS = "(SELECT count(*) FROM orders)"
 _N_USERS = "(SELECT least((SELECT count(*) FROM customer), (SELECT count(*) FROM orders)))"
+_FIGURES = f"""{_N_USERS} AS customer_rows, {_N_USERS} AS unique_customers,
+    {_N_ORDERS} AS order_rows, 0::bigint AS skipped_orders"""
 
 
 @query(
     "c4_warehouse_run",
-    f"""SELECT {_N_USERS} AS customer_rows, {_N_ORDERS} AS order_rows,
+    f"""SELECT {_FIGURES},
     {_N_USERS} + {_N_ORDERS} AS items_total, {_N_USERS} + {_N_ORDERS} AS items_written,
-    0::bigint AS items_failed, 0::bigint AS skipped_orders""",
+    0::bigint AS items_failed""",
 )
 def _(spark, d):
     return _one_row(spark, jobs.run_warehouse(spark, _landed_config(spark, d)))
 
 
+@query("c4_warehouse_customers", f"SELECT {O.CUSTOMER_COLUMNS} FROM r_customer_table")
+def _(spark, d):
+    cfg = _landed_config(spark, d)
+    jobs.run_warehouse(spark, cfg)
+    return spark.table(cfg.table("customer_analytics"))
+
+
+@query("c4_warehouse_orders", f"SELECT {O.ORDER_COLUMNS} FROM r_order_table")
+def _(spark, d):
+    cfg = _landed_config(spark, d)
+    jobs.run_warehouse(spark, cfg)
+    return spark.table(cfg.table("order_analytics"))
+
+
 @query(
     "c5_serving_run",
-    f"""SELECT {_N_USERS} AS customer_rows, {_N_ORDERS} AS order_rows,
+    f"""SELECT {_FIGURES}, 0::bigint AS broken_documents,
     {_N_USERS} AS customers_created, 0::bigint AS customers_updated, {_N_ORDERS} AS orders_created,
-    0::bigint AS orders_updated, {_N_USERS} AS customer_docs, {_N_ORDERS} AS order_docs,
-    0::bigint AS skipped_orders""",
+    0::bigint AS orders_updated, {_N_USERS} AS customer_docs, {_N_ORDERS} AS order_docs""",
 )
 def _(spark, d):
     return _one_row(spark, jobs.run_serving(spark, _landed_config(spark, d)))
 
 
 @query(
-    "c6_isolated_run",
-    f"SELECT 'warehouse' AS branch, {_N_USERS} AS customer_rows, {_N_ORDERS} AS order_rows",
+    "c5_serving_again",
+    f"""SELECT {O.CUSTOMER_COLUMNS}, TIMESTAMP '1998-01-01' AS created_at,
+    cast({O.DAY} as timestamp) AS updated_at, 0::bigint AS created,
+    {_N_USERS} AS updated FROM r_customer_table""",
 )
 def _(spark, d):
-    done = jobs.run(spark, _landed_config(spark, d), ("warehouse",))
+    """The store after a run on an earlier day and one as of now: all rows are replaced."""
+    cfg = _landed_config(spark, d)
+    jobs.run_serving(spark, dataclasses.replace(cfg, as_of="1998-01-01"))
+    again = jobs.run_serving(spark, cfg)
+    return (
+        spark.table(cfg.table("customer_store"))
+        .drop("_bucket")
+        .withColumn("created", F.lit(again["customers_created"]).cast("bigint"))
+        .withColumn("updated", F.lit(again["customers_updated"]).cast("bigint"))
+    )
+
+
+@query(
+    "c6_isolated_run",
+    f"""SELECT 'warehouse' AS branch, true AS done, {_N_USERS} AS customer_rows,
+    {_N_ORDERS} AS order_rows
+    UNION ALL SELECT 'serving', false, NULL, NULL""",
+)
+def _(spark, d):
+    """The serving branch finds a table that is not its own and fails; the other goes on."""
+    cfg = _landed_config(spark, d)
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {cfg.namespace}")
+    V.user_ids(spark, d).write.saveAsTable(cfg.table("order_batch"))
+    try:
+        results, failed = jobs.run(spark, cfg), {}
+    except jobs.RunError as error:
+        results, failed = error.results, error.errors
+    rows = [(b, True, r["customer_rows"], r["order_rows"]) for b, r in results.items()]
+    rows += [(b, False, None, None) for b in failed]
     return spark.createDataFrame(
-        [(b, r["customer_rows"], r["order_rows"]) for b, r in done.items()],
-        "branch string, customer_rows bigint, order_rows bigint",
+        rows, "branch string, done boolean, customer_rows bigint, order_rows bigint"
     )
 
 
@@ -162,6 +208,42 @@ def _(spark, d):
     )
 
 
+_BROKEN_DOC = """'{"id": ' || c_custkey || ', "firstName": '"""
+
+
+@query(
+    "s1_broken_documents",
+    f"""SELECT c_custkey AS id, NULL AS document, n, broken FROM customer, counts
+    WHERE c_custkey % 50 <> 0
+    UNION ALL SELECT NULL, {_BROKEN_DOC}, n, broken FROM customer, counts
+    WHERE c_custkey % 50 = 0""".replace(
+        "FROM customer, counts",
+        """FROM customer, (SELECT count(*) AS n, count(*) FILTER (c_custkey % 50 = 0) AS broken
+        FROM customer) counts""",
+    ),
+)
+def _(spark, d):
+    """Every 50th landed document stops in the middle."""
+    key = F.col("id")
+    cut = F.concat(F.lit('{"id": '), key.cast("string"), F.lit(', "firstName": '))
+    texts = V.users(spark, d).select(
+        F.when(key % 50 == 0, cut).otherwise(F.to_json(F.struct("*"))).alias("value")
+    )
+    path = scratch_path(spark, "landed")
+    texts.write.text(path)
+    landed = sources.read_landed(spark, path, schemas.USER)
+    sound = scratch_path(spark, "sound")
+    landed.documents.write.parquet(sound)
+    seen = landed.seen.get
+    ids = spark.read.parquet(sound).select("id", F.lit(None).cast("string").alias("document"))
+    return ids.unionByName(landed.broken, allowMissingColumns=True).select(
+        "id",
+        "document",
+        F.lit(seen["rows"]).cast("bigint").alias("n"),
+        F.lit(seen["broken"]).cast("bigint").alias("broken"),
+    )
+
+
 @query(
     "s2_load_seed",
     "SELECT 'carts' AS table_name, 0 AS n UNION ALL SELECT 'users', count(*) FROM customer",
@@ -1154,6 +1236,41 @@ def _(spark, d):
     )
 
 
+@query(
+    "k4_upsert_buckets",
+    f"""SELECT coalesce(i.k, s.k) AS customer_id,
+    CASE WHEN i.k IS NOT NULL THEN i.o_orderstatus ELSE s.c_name END AS name,
+    coalesce(i.o_orderkey, -1) AS version,
+    CASE WHEN s.k IS NOT NULL THEN TIMESTAMP '1998-01-01' ELSE cast({O.DAY} as timestamp) END
+      AS created_at,
+    CASE WHEN i.k IS NULL THEN TIMESTAMP '1998-01-01' ELSE cast({O.DAY} as timestamp) END
+      AS updated_at,
+    (SELECT count(DISTINCT k) FROM {_INCOMING} WHERE k NOT IN (SELECT k FROM {_STORED}))
+      AS created, (SELECT count(*) FROM {_INCOMING}) AS arrived
+    FROM {_STORED} s FULL JOIN (SELECT * FROM (SELECT *,
+      row_number() OVER (PARTITION BY k ORDER BY o_orderkey DESC) AS rn FROM {_INCOMING})
+      WHERE rn = 1) i ON s.k = i.k""",
+)
+def _(spark, d):
+    """All customers stored in buckets, then all orders upserted as balances."""
+    root = scratch_path(spark, "buckets")
+    name = f"balances_{root.rpartition('-')[2]}"
+    first = _stored_balances(spark, d).drop("created_at", "updated_at")
+    sinks.upsert_table(first, name, "customer_id", root, "1998-01-01")
+    created, updated = sinks.upsert_table(
+        _incoming_balances(spark, d), name, "customer_id", root, AS_OF, ("version",)
+    )
+    return spark.table(name).select(
+        "customer_id",
+        "name",
+        "version",
+        "created_at",
+        "updated_at",
+        F.lit(created).cast("bigint").alias("created"),
+        F.lit(created + updated).cast("bigint").alias("arrived"),
+    )
+
+
 @query(
     "k5_customer_documents",
     """SELECT cast(customer_id as varchar) AS doc_id, customer_id, full_name,
@@ -1259,16 +1376,15 @@ _BROKEN = """(SELECT c_custkey AS k, CASE WHEN c_custkey % 19 <> 0 THEN c_name E
     UNION ALL SELECT c_custkey, c_name, c_name, 1 FROM customer WHERE c_acctbal < 0)"""
 
 
-@query(
-    "k9_check_contract",
-    f"""SELECT 'not_null:full_name' AS rule, count(*) FILTER (full_name IS NULL) AS violations
-    FROM {_BROKEN}
-    UNION ALL SELECT 'max_length:email', count(*) FILTER (length(email) > 255) FROM {_BROKEN}
-    UNION ALL SELECT 'range:total_spent', count(*) FILTER (total_spent >= 1000000000000)
-    FROM {_BROKEN}
-    UNION ALL SELECT 'unique:customer_id', count(*) - count(DISTINCT k) FROM {_BROKEN}""",
+_BALANCE_CONTRACT = schemas.Contract(
+    key="customer_id",
+    not_null=("full_name",),
+    max_length={"email": 255},
+    decimals={"total_spent": (14, 2)},
 )
-def _(spark, d):
+
+
+def _broken_customers(spark, d) -> DataFrame:
     key = F.col("c_custkey")
     customers = V.table(spark, d, "customer")
     broken = customers.select(
@@ -1285,13 +1401,58 @@ def _(spark, d):
         F.col("c_name").alias("email"),
         F.lit(1).cast("decimal(20,2)").alias("total_spent"),
     )
-    contract = schemas.Contract(
-        key="customer_id",
-        not_null=("full_name",),
-        max_length={"email": 255},
-        decimals={"total_spent": (14, 2)},
+    return broken.unionByName(again)
+
+
+@query(
+    "k9_check_contract",
+    f"""SELECT 'not_null:full_name' AS rule, count(*) FILTER (full_name IS NULL) AS violations
+    FROM {_BROKEN}
+    UNION ALL SELECT 'max_length:email', count(*) FILTER (length(email) > 255) FROM {_BROKEN}
+    UNION ALL SELECT 'range:total_spent', count(*) FILTER (total_spent >= 1000000000000)
+    FROM {_BROKEN}
+    UNION ALL SELECT 'unique:customer_id', count(*) - count(DISTINCT k) FROM {_BROKEN}""",
+)
+def _(spark, d):
+    return S.check_contract(_broken_customers(spark, d), _BALANCE_CONTRACT)
+
+
+@query(
+    "k9_gate",
+    f"""SELECT 'table' AS place, c_custkey AS customer_id, c_name AS full_name, '' AS rules
+    FROM customer
+    UNION ALL SELECT 'quarantine', k, full_name, rules FROM (SELECT k, full_name, concat_ws(',',
+      CASE WHEN full_name IS NULL THEN 'not_null:full_name' END,
+      CASE WHEN length(email) > 255 THEN 'max_length:email' END,
+      CASE WHEN total_spent >= 1000000000000 THEN 'range:total_spent' END,
+      CASE WHEN count(*) OVER (PARTITION BY k) > 1 THEN 'unique:customer_id' END) AS rules
+      FROM {_BROKEN}) WHERE rules <> ''""",
+)
+def _(spark, d):
+    """A good batch is published; a broken one after it leaves the table as it was."""
+    root = scratch_path(spark, "gate")
+    name = f"gated_{root.rpartition('-')[2]}"
+    good = V.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("full_name"),
+        F.col("c_name").alias("email"),
+        F.lit(1).cast("decimal(20,2)").alias("total_spent"),
+    )
+    sinks.publish_table(good, name, root, contract=_BALANCE_CONTRACT)
+    try:
+        sinks.publish_table(_broken_customers(spark, d), name, root, contract=_BALANCE_CONTRACT)
+        refused = good.limit(0).withColumn("broken_rules", F.array().cast("array<string>"))
+    except gate.ContractError as error:
+        refused = error.rows
+
+    def listed(df: DataFrame, place: str, rules) -> DataFrame:
+        return df.select(
+            F.lit(place).alias("place"), "customer_id", "full_name", rules.alias("rules")
+        )
+
+    return listed(spark.table(name), "table", F.lit("")).unionByName(
+        listed(refused, "quarantine", F.array_join("broken_rules", ","))
     )
-    return S.check_contract(broken.unionByName(again), contract)
 
 
 @query(
