@@ -202,15 +202,23 @@ def top_customers(customers: DataFrame, segment: str = "High", k: int = 5) -> Da
     )
 
 
-def order_customers(customers: DataFrame) -> DataFrame:
-    return customers.orderBy(F.desc("lifetime_value_score"), F.asc("customer_id"))
+def customer_order() -> list[Column]:
+    return [F.desc("lifetime_value_score"), F.asc("customer_id")]
 
 
-def order_orders(orders: DataFrame, by_timestamp: bool = False) -> DataFrame:
+def order_order(by_timestamp: bool = False) -> list[Column]:
     """Newest day first and early hours first, or simply newest first."""
     if by_timestamp:
-        return orders.orderBy(F.desc("order_timestamp"), F.asc("order_id"))
-    return orders.orderBy(F.desc("order_date"), F.asc("order_hour"), F.asc("order_id"))
+        return [F.desc("order_timestamp"), F.asc("order_id")]
+    return [F.desc("order_date"), F.asc("order_hour"), F.asc("order_id")]
+
+
+def order_customers(customers: DataFrame) -> DataFrame:
+    return customers.orderBy(*customer_order())
+
+
+def order_orders(orders: DataFrame, by_timestamp: bool = False) -> DataFrame:
+    return orders.orderBy(*order_order(by_timestamp))
 
 
 def head(df: DataFrame, n: int, *order: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import money, nested, text, time
 from ..functions.time import AsOf
-from .keys import dedupe_users
+from .keys import dedupe_users, number_in_order
 
 ENRICHED = [
     "order_id",
@@ -319,9 +319,34 @@ def nest_products(lines: DataFrame) -> DataFrame:
     orders that fit a document. Sums over lines use ``line_sums``, which never
     gathers an order.
     """
-    fields = ["id", "title", "category", "price", "quantity", "discountPercentage"]
     return lines.groupBy("orderId").agg(
-        F.array_sort(F.collect_list(F.struct(*fields))).alias("products")
+        F.array_sort(F.collect_list(F.struct(*PRODUCT_FIELDS))).alias("products")
+    )
+
+
+PRODUCT_FIELDS = ["id", "title", "category", "price", "quantity", "discountPercentage"]
+
+
+def nest_in_chunks(lines: DataFrame, most: int) -> DataFrame:
+    """(orderId, chunk, n_lines, products): the lines of each order as documents of at most
+    ``most`` products, in the fixed order of ``nest_products``.
+
+    For orders of any size: the lines are numbered by ranges of (order, line), where a hot
+    order spreads over many ranges, and a line's place in its order is its number less the
+    smallest of the order. Groups hold one chunk each, so no task gathers an order.
+    """
+    if most < 1:
+        raise ValueError(f"a chunk needs at least one line, not {most}")
+    numbered = number_in_order(lines.select("orderId", *PRODUCT_FIELDS), "orderId", *PRODUCT_FIELDS)
+    orders = numbered.groupBy(F.col("orderId").alias("order")).agg(
+        F.min("number").alias("first"), F.count(F.lit(1)).alias("n_lines")
+    )
+    same = F.col("orderId").eqNullSafe(F.col("order"))
+    place = F.col("number") - F.col("first")
+    chunks = numbered.join(orders, same).withColumn("chunk", F.call_function("div", place, F.lit(most)))
+    # Every line of an order carries the same count, so grouping by it adds no group.
+    return chunks.groupBy("orderId", "chunk", "n_lines").agg(
+        F.array_sort(F.collect_list(F.struct(*PRODUCT_FIELDS))).alias("products")
     )
 
 

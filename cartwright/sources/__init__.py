@@ -4,6 +4,7 @@ from .rows import order_ids, users_from_rows
 from .tables import (
     load_write_status,
     read_jdbc,
+    read_ordered,
     read_processed_csv,
     read_table,
     register_views,
@@ -17,6 +18,7 @@ __all__ = [
     "read_carts",
     "read_jdbc",
     "read_landed",
+    "read_ordered",
     "read_processed_csv",
     "read_table",
     "read_users",

@@ -6,7 +6,7 @@ import dataclasses
 from collections.abc import Callable
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cartwright import schemas, sinks, sources
 from cartwright.functions import money, nested, serialize, text, time
@@ -246,22 +246,39 @@ def _(spark, d):
 
 @query(
     "s2_load_seed",
-    "SELECT 'carts' AS table_name, 0 AS n UNION ALL SELECT 'users', count(*) FROM customer",
+    """SELECT id, first_name, last_name, email, created_at, 0::bigint AS landed_carts FROM g_seed""",
 )
 def _(spark, d):
+    """Users landed, carts did not: their folder is missing."""
     path = sinks.write_raw_json(V.seed_users(spark, d), scratch_path(spark, "seed"))
     carts, users = sources.load_seed(spark, scratch_path(spark, "never-landed"), path, lines=True)
-    return A.table_counts(carts=carts, users=users)
+    n_carts = carts.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return _user_rows(users).drop("city").withColumn("landed_carts", n_carts)
 
 
 @query(
     "s3_unwrap_envelope",
-    """SELECT product_id AS id, title, category, price_c / 100.0::double AS price, quantity,
-    cast(pct as double) AS discount_percentage FROM g_lines""",
+    """SELECT id, user_id, order_id, payment_method,
+    (SELECT count(*) FROM g_lines l WHERE l.order_id = o.order_id)::integer AS n_products
+    FROM g_orders o""",
 )
 def _(spark, d):
-    rows = sources.unwrap_envelope(V.generated_carts(spark, d), "products")
-    return rows.withColumnRenamed("discountPercentage", "discount_percentage")
+    """Documents ``{"carts": [...], "total": n}`` of up to a hundred carts each."""
+    carts = V.generated_carts(spark, d)
+    page = F.call_function("div", F.col("id"), F.lit(100))
+    envelopes = carts.groupBy(page.alias("page")).agg(
+        F.collect_list(F.struct(*schemas.CART.fieldNames())).alias("carts"),
+        F.count(F.lit(1)).alias("total"),
+    )
+    path = sinks.write_raw_json(envelopes.drop("page"), scratch_path(spark, "envelopes"))
+    shape = T.StructType().add("carts", T.ArrayType(schemas.CART)).add("total", T.LongType())
+    return sources.unwrap_envelope(spark.read.schema(shape).json(path), "carts").select(
+        "id",
+        F.col("userId").alias("user_id"),
+        F.col("orderId").alias("order_id"),
+        F.col("paymentMethod").alias("payment_method"),
+        F.size("products").alias("n_products"),
+    )
 
 
 @query(
@@ -395,18 +412,23 @@ def _(spark, d):
 
 @query(
     "g8_synthesize_orders",
-    """SELECT o.id, o.user_id, o.order_id, u.email,
-    (SELECT count(*) FROM g_lines l WHERE l.order_id = o.order_id) AS n_products
-    FROM g_orders o JOIN g_users u ON o.user_id = u.id""",
+    """SELECT o.id, o.user_id, o.order_id, u.email, u.city,
+    (SELECT count(*) FROM r_lines l WHERE l.order_id = o.order_id) AS n_products
+    FROM r_orders o JOIN r_users u ON o.user_id = u.id""",
 )
 def _(spark, d):
-    carts = V.generated_carts(spark, d)
-    users = V.generated_users(spark, d).select(F.col("id").alias("userId"), "email")
-    return carts.join(users, "userId").select(
+    """As many orders as the given table has, over the given customers as seed."""
+    n = V.table(spark, d, "orders").count()
+    carts, users = G.synthesize_orders(spark, V.seed_users(spark, d), n, AS_OF, SEED)
+    attributes = users.select(
+        F.col("id").alias("userId"), "email", F.col("address.city").alias("city")
+    )
+    return carts.join(attributes, "userId").select(
         "id",
         F.col("userId").alias("user_id"),
         F.col("orderId").alias("order_id"),
         "email",
+        "city",
         F.size("products").cast("bigint").alias("n_products"),
     )
 
@@ -801,28 +823,59 @@ def _(spark, d):
     return A.top_by(V.customer_table(spark, d), "total_spent", 5, "customer_id")
 
 
-@query(
-    "l3_order_customers",
-    f"SELECT {O.CUSTOMER_COLUMNS} FROM v_customer_table ORDER BY lifetime_value_score DESC",
-)
-def _(spark, d):
-    return A.order_customers(V.customer_table(spark, d))
+def _placed(name: str, columns: str, table: str, order: str, frame, schema, columns_order) -> None:
+    """An order as it is stored: every row with its place in files that follow one another."""
 
+    @query(
+        name,
+        f"""SELECT {columns}, row_number() OVER (ORDER BY {order}) - 1 AS place FROM {table}""",
+    )
+    def _(spark, d):
+        path = scratch_path(spark, "ordered")
+        sinks.write_ordered(frame(spark, d), path, *columns_order())
+        return sources.read_ordered(spark, path, schema)
 
-@query(
-    "l4_order_orders",
-    f"SELECT {O.ORDER_COLUMNS} FROM v_order_table ORDER BY order_date DESC, order_hour",
+
+_placed(
+    "l3_order_customers", O.CUSTOMER_COLUMNS, "v_customer_table",
+    "lifetime_value_score DESC, customer_id",
+    V.customer_table, schemas.CUSTOMER_ANALYTICS, A.customer_order,
+)
+_placed(
+    "l4_order_orders", O.ORDER_COLUMNS, "v_order_table",
+    "order_date DESC, order_hour, order_id",
+    V.order_table, schemas.ORDER_ANALYTICS, A.order_order,
+)
+_placed(
+    "l4_orders_by_timestamp", O.ORDER_COLUMNS, "v_order_table",
+    "order_timestamp DESC, order_id",
+    V.order_table, schemas.ORDER_ANALYTICS, lambda: A.order_order(by_timestamp=True),
 )
-def _(spark, d):
-    return A.order_orders(V.order_table(spark, d))
 
 
 @query(
-    "l4_orders_by_timestamp",
-    f"SELECT {O.ORDER_COLUMNS} FROM v_order_table ORDER BY order_timestamp DESC",
+    "l3_l4_sorted_frames",
+    f"""SELECT 'customer' AS kind, cast(customer_id as varchar) AS id,
+    row_number() OVER (ORDER BY lifetime_value_score DESC, customer_id) - 1 AS place
+    FROM v_customer_table
+    UNION ALL SELECT 'order', order_id,
+    row_number() OVER (ORDER BY order_timestamp DESC, order_id) - 1 FROM v_order_table""",
 )
 def _(spark, d):
-    return A.order_orders(V.order_table(spark, d), by_timestamp=True)
+    """The sorted frames themselves, stored as they come out and placed by their files."""
+
+    def placed(df: DataFrame, kind: str, key: str) -> DataFrame:
+        path = scratch_path(spark, "sorted")
+        ids = df.select(F.col(key).cast("string").alias("id"))
+        ids.write.parquet(path)
+        rows = sources.read_ordered(spark, path, ids.schema)
+        return rows.select(F.lit(kind).alias("kind"), "id", "place")
+
+    customers = A.order_customers(V.customer_table(spark, d))
+    orders = A.order_orders(V.order_table(spark, d), by_timestamp=True)
+    return placed(customers, "customer", "customer_id").unionByName(
+        placed(orders, "order", "order_id")
+    )
 
 
 @query("l5_head", f"SELECT {O.ORDER_COLUMNS} FROM v_order_table ORDER BY order_id LIMIT 10")
@@ -1040,6 +1093,46 @@ def _(spark, d):
     )
 
 
+@query(
+    "f17_kv_safe_nested",
+    """SELECT order_id, strftime(cast(order_timestamp as timestamp), '%Y-%m-%dT%H:%M:%S') AS placed,
+    substr(order_timestamp, 1, 10) AS first_day, substr(order_timestamp, 1, 10) AS marked,
+    prices FROM g_orders JOIN (SELECT order_id, array_to_string(list(
+      cast(cast(price_c * 0.01 as decimal(14,2)) as varchar) ORDER BY product_id, price_c), ',')
+      AS prices FROM g_lines GROUP BY order_id) USING (order_id)""",
+)
+def _(spark, d):
+    """Times in structs, arrays and maps; prices, doubles two levels deep, read back from
+    the item as exact decimals."""
+    placed = F.col("orderTimestamp").cast("timestamp")
+    day = F.to_date(placed)
+    nested_rows = V.generated_carts(spark, d).select(
+        "orderId",
+        F.struct(
+            placed.alias("placed"),
+            F.array(day).alias("days"),
+            F.create_map(F.lit("first"), day).alias("marks"),
+        ).alias("info"),
+        "products",
+    )
+    safe = nested_rows.select(
+        *[serialize.kv_safe(F.col(f.name), f.dataType).alias(f.name) for f in nested_rows.schema]
+    )
+    shape = (
+        "orderId string, info struct<placed: string, days: array<string>, "
+        "marks: map<string, string>>, products array<struct<id: bigint, price: decimal(14,2)>>"
+    )
+    item = safe.select(F.from_json(F.to_json(F.struct("*")), shape).alias("i")).select("i.*")
+    prices = F.transform(F.array_sort("products"), lambda p: p["price"].cast("string"))
+    return item.select(
+        F.col("orderId").alias("order_id"),
+        "info.placed",
+        F.col("info.days")[0].alias("first_day"),
+        F.col("info.marks")["first"].alias("marked"),
+        F.array_join(prices, ",").alias("prices"),
+    )
+
+
 @query("f18_record_key", "SELECT 'order#' || o_orderkey AS record_id FROM orders")
 def _(spark, d):
     return V.table(spark, d, "orders").select(
@@ -1176,6 +1269,26 @@ def _(spark, d):
     )
 
 
+@query(
+    "x6_repeated_categories",
+    """SELECT order_id, category AS dominant_category FROM (SELECT order_id, category,
+      row_number() OVER (PARTITION BY order_id ORDER BY amount_m DESC, category) AS rn FROM (
+        SELECT order_id, category, sum(amount_m) AS amount_m FROM (
+          SELECT order_id, amount_m, CASE product_id % 3 WHEN 0 THEN 'Unknown' WHEN 1 THEN 'a'
+            ELSE 'b' END AS category FROM v_amounts) GROUP BY ALL)) WHERE rn = 1""",
+)
+def _(spark, d):
+    """Given lines nested by order, three categories only, one of them blank."""
+    key = F.col("id") % 3
+    lines = V.lines(spark, d).withColumn(
+        "category", F.when(key == 0, F.lit(" \t")).when(key == 1, F.lit("a")).otherwise(F.lit(" b"))
+    )
+    return E.nest_products(lines).select(
+        F.col("orderId").alias("order_id"),
+        nested.dominant_category(F.col("products")).alias("dominant_category"),
+    )
+
+
 @query(
     "x7_nest_products",
     """SELECT order_id, count(*) AS n, array_to_string(list(title ORDER BY product_id, title), '|')
@@ -1191,6 +1304,36 @@ def _(spark, d):
     )
 
 
+_CHUNK = 50
+
+
+@query(
+    "x7_nest_in_chunks",
+    f"""SELECT order_id, chunk, n_lines, count(*) AS n,
+    array_to_string(list(product_id ORDER BY place), ',') AS ids FROM (
+      SELECT order_id, product_id, rn AS place, (rn - 1) // {_CHUNK} AS chunk, n_lines FROM (
+        SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY product_id) AS rn,
+               count(*) OVER (PARTITION BY order_id) AS n_lines
+        FROM (SELECT CASE WHEN cast(order_id as bigint) % 3 = 0 THEN 'hot' ELSE order_id END
+              AS order_id, product_id FROM v_lines)))
+    GROUP BY order_id, chunk, n_lines""",
+)
+def _(spark, d):
+    """All lines, those of every third order as one order."""
+    hot = F.col("orderId").cast("bigint") % 3 == 0
+    lines = V.lines(spark, d).withColumn(
+        "orderId", F.when(hot, F.lit("hot")).otherwise(F.col("orderId"))
+    )
+    ids = F.transform("products", lambda p: p["id"])
+    return E.nest_in_chunks(lines, _CHUNK).select(
+        F.col("orderId").alias("order_id"),
+        "chunk",
+        "n_lines",
+        F.size("products").cast("bigint").alias("n"),
+        F.array_join(ids, ",").alias("ids"),
+    )
+
+
 # ---- sinks -------------------------------------------------------------------------------------
 
 
@@ -1271,57 +1414,105 @@ def _(spark, d):
     )
 
 
+def _as_double(columns: str, names: tuple[str, ...]) -> str:
+    return ", ".join(
+        f"cast({c} as double) AS {c}" if c in names else c
+        for c in (c.strip() for c in columns.split(","))
+    )
+
+
+def _document_shape(schema: T.StructType) -> T.StructType:
+    """Types of the fields in a document: decimals as numbers, times as text."""
+    shape = T.StructType()
+    for f in schema:
+        simple = f.dataType
+        if isinstance(simple, T.DecimalType):
+            simple = T.DoubleType()
+        if isinstance(simple, (T.DateType, T.TimestampType)):
+            simple = T.StringType()
+        shape = shape.add(f.name, simple)
+    return shape
+
+
+_CUSTOMER_DOC = _as_double(
+    O.CUSTOMER_COLUMNS, ("total_spent", "avg_order_value", "lifetime_value_score")
+)
+_ORDER_DOC = _as_double(
+    O.ORDER_COLUMNS,
+    (
+        "gross_amount", "total_discount_amount", "net_amount", "shipping_cost", "final_amount",
+        "discount_ratio",
+    ),
+)
+for _c in ("order_timestamp", "order_date"):
+    _ORDER_DOC = _ORDER_DOC.replace(f"{_c},", f"strftime({_c}, '%Y-%m-%dT%H:%M:%S') AS {_c},")
+
+
 @query(
     "k5_customer_documents",
-    """SELECT cast(customer_id as varchar) AS doc_id, customer_id, full_name,
-    cast(total_spent as double) AS total_spent, total_orders,
-    cast(lifetime_value_score as double) AS lifetime_value_score FROM v_customer_table""",
+    f"SELECT cast(customer_id as varchar) AS doc_id, {_CUSTOMER_DOC} FROM v_customer_table",
 )
 def _(spark, d):
     documents = I.to_documents(
         V.customer_table(spark, d), schemas.CUSTOMER_DOCUMENT_FIELDS, "customer_id"
     )
-    shape = (
-        "customer_id bigint, full_name string, total_spent double, total_orders int, "
-        "lifetime_value_score double"
-    )
-    return documents.select("doc_id", F.from_json("doc", shape).alias("r")).select("doc_id", "r.*")
+    parsed = F.from_json("doc", _document_shape(schemas.CUSTOMER_ANALYTICS)).alias("r")
+    return documents.select("doc_id", parsed).select("doc_id", "r.*")
+
+
+@query("k5_order_documents", f"SELECT order_id AS doc_id, {_ORDER_DOC} FROM v_order_table")
+def _(spark, d):
+    documents = I.to_documents(V.order_table(spark, d), schemas.ORDER_DOCUMENT_FIELDS, "order_id")
+    parsed = F.from_json("doc", _document_shape(schemas.ORDER_ANALYTICS)).alias("r")
+    return documents.select("doc_id", parsed).select("doc_id", "r.*")
 
 
 @query(
-    "k5_order_documents",
-    """SELECT order_id AS doc_id, strftime(order_timestamp, '%Y-%m-%dT%H:%M:%S')
-    AS order_timestamp, strftime(order_date, '%Y-%m-%dT%H:%M:%S') AS order_date,
-    cast(final_amount as double) AS final_amount, dominant_category FROM v_order_table""",
+    "k5_documents_replaced",
+    """SELECT cast(customer_id as varchar) AS doc_id, customer_segment,
+    CASE WHEN customer_id % 100 = 7 THEN 'replaced' ELSE city END AS city,
+    (SELECT count(*) FROM v_customer_table WHERE customer_id % 100 = 7) AS written
+    FROM v_customer_table""",
 )
 def _(spark, d):
-    documents = I.to_documents(V.order_table(spark, d), schemas.ORDER_DOCUMENT_FIELDS, "order_id")
-    shape = (
-        "order_timestamp string, order_date string, final_amount double, dominant_category string"
+    """All documents written, then every hundredth again with another city."""
+    root = scratch_path(spark, "documents")
+    name = f"documents_{root.rpartition('-')[2]}"
+    fields = ("customer_id", "customer_segment", "city")
+    rows = V.customer_table(spark, d).select(*fields)
+    sinks.write_documents(rows, fields, "customer_id", name, root)
+    again = rows.where("customer_id % 100 = 7").withColumn("city", F.lit("replaced"))
+    written = sinks.write_documents(again, fields, "customer_id", name, root)
+    return spark.table(name).select(
+        "doc_id",
+        F.get_json_object("doc", "$.customer_segment").alias("customer_segment"),
+        F.get_json_object("doc", "$.city").alias("city"),
+        F.lit(written).cast("bigint").alias("written"),
     )
-    return documents.select("doc_id", F.from_json("doc", shape).alias("r")).select("doc_id", "r.*")
+
+
+_ITEM_ORDER = O.ORDER_COLUMNS.replace(
+    "order_timestamp,", "strftime(order_timestamp, '%Y-%m-%dT%H:%M:%S') AS order_timestamp,"
+).replace("order_date,", "cast(order_date as varchar) AS order_date,")
 
 
 @query(
     "k6_kv_items",
-    """SELECT 'customer#' || customer_id AS record_id, 'customer' AS record_type,
-    full_name, total_spent AS amount, NULL::varchar AS order_date
-    FROM v_customer_table UNION ALL
-    SELECT 'order#' || order_id, 'order', NULL, final_amount,
-    cast(order_date as varchar) FROM v_order_table""",
-)
-def _(spark, d):
+    f"""SELECT 'customer#' || customer_id AS record_id, 'customer' AS record_type, * FROM
+    (SELECT {O.CUSTOMER_COLUMNS} FROM v_customer_table)
+    UNION ALL BY NAME SELECT 'order#' || order_id AS record_id, 'order' AS record_type, * FROM
+    (SELECT {_ITEM_ORDER} FROM v_order_table)""",
+)
+def _(spark, d):
+    """Every field of both kinds of items, money as exact decimals."""
+    shape = T.StructType()
+    for f in [*schemas.CUSTOMER_ANALYTICS, *schemas.ORDER_ANALYTICS]:
+        if f.name not in shape.fieldNames():
+            timed = isinstance(f.dataType, (T.DateType, T.TimestampType))
+            shape = shape.add(f.name, T.StringType() if timed else f.dataType)
     return _kv_items(spark, d).select(
-        "record_id",
-        "record_type",
-        F.get_json_object("item", "$.full_name").alias("full_name"),
-        F.coalesce(
-            F.get_json_object("item", "$.total_spent"), F.get_json_object("item", "$.final_amount")
-        )
-        .cast("decimal(14,2)")
-        .alias("amount"),
-        F.get_json_object("item", "$.order_date").alias("order_date"),
-    )
+        "record_id", "record_type", F.from_json("item", shape).alias("i")
+    ).select("record_id", "record_type", "i.*")
 
 
 @query("k7_all_or_nothing", _ALL_IDS.format(v="false"))
@@ -1370,6 +1561,31 @@ def _(spark, d):
     return summary
 
 
+@query(
+    "k7_resend",
+    """SELECT 'customer#' || customer_id AS record_id, customer_id % 10 <> 7 AS written
+    FROM v_customer_table UNION ALL SELECT 'order#' || order_id, true FROM v_order_table""",
+)
+def _(spark, d):
+    """Ids that end in 3 are refused twice, customers that end in 7 always."""
+    refusals: dict[str, int] = {}  # each task has its own copy
+
+    def busy(batch):
+        refused = []
+        for record in batch["record_id"]:
+            seen = refusals.get(record, 0)
+            always = record.startswith("customer#") and record.endswith("7")
+            if always or (record.endswith("3") and seen < 2):
+                refusals[record] = seen + 1
+                refused.append(record)
+        return refused
+
+    path = scratch_path(spark, "status")
+    resend = sinks.Resend(attempts=3, first_wait=0.01, pending=500)
+    sinks.write_kv(_kv_items(spark, d), busy, path, resend=resend)
+    return sources.load_write_status(spark, path)
+
+
 _BROKEN = """(SELECT c_custkey AS k, CASE WHEN c_custkey % 19 <> 0 THEN c_name END AS full_name,
     CASE WHEN c_custkey % 17 = 0 THEN repeat('x', 300) ELSE c_name END AS email,
     CASE WHEN c_custkey % 23 = 0 THEN 1000000000000 ELSE 1 END AS total_spent FROM customer
