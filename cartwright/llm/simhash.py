@@ -36,9 +36,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from cartwright.operators.keys import number_in_order
+
 from .common import store
 from .components import connected_components
 
@@ -186,7 +187,10 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     masks, words, limit = scheme.masks(), scheme.words, scheme.limit
     each = scheme.tables * len(masks)
     chunk_nodes = max(1, CHUNK_VARIANTS // each)
-    total = max(1, nodes.count()) * each
+    count = max(1, nodes.count())
+    total = count * each
+    # As many chunks as the nodes ask for, whatever partitions they come in.
+    n_chunks = -(-count // chunk_nodes)
     hash_bits = min(63, math.ceil(math.log2(total)) + 12)
     bucket_bits = max(8, math.ceil(math.log2(total / BUCKET_VARIANTS)))
     low_bits = hash_bits - bucket_bits
@@ -202,18 +206,10 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
     def words_of(data: bytes) -> np.ndarray:
         return np.frombuffer(data, "<u8").reshape(-1, words)
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, k = TaskContext.get().partitionId() << 32, 0
-        ids, prints = [], []
-        for batch in batches:
-            for node, value in zip(batch["node"].tolist(), batch["prints"]):
-                ids.append(node)
-                prints.append(value)
-                if len(ids) == chunk_nodes:
-                    yield pd.DataFrame([(shard + k, np.array(ids, "<i8").tobytes(), b"".join(prints))], columns=["chunk", "ids", "prints"])
-                    ids, prints, k = [], [], k + 1
-        if ids:
-            yield pd.DataFrame([(shard + k, np.array(ids, "<i8").tobytes(), b"".join(prints))], columns=["chunk", "ids", "prints"])
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
+        ids = group["node"].to_numpy("<i8").tobytes()
+        row = int(group["chunk"].iloc[0]), ids, b"".join(group["prints"])
+        return pd.DataFrame([row], columns=["chunk", "ids", "prints"])
 
     def announce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -285,9 +281,12 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
             pairs = np.concatenate([pairs, np.unique(met[met[:, 0] != met[:, 1]], axis=0)])
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    chunks = store(nodes.select("node", "prints").mapInPandas(gather, "chunk long, ids binary, prints binary"), "chunks")
-    tasks = max(1, min(4096, chunks.count()))
-    chunks_dealt = chunks.repartitionByRange(tasks, "chunk")
+    dealt = nodes.select("node", "prints", F.pmod(F.xxhash64("node"), F.lit(n_chunks)).alias("chunk"))
+    chunks = store(
+        dealt.groupBy("chunk").applyInPandas(gather, "chunk long, ids binary, prints binary"),
+        "chunks",
+    )
+    chunks_dealt = chunks.repartitionByRange(min(4096, n_chunks), "chunk")
     announced = chunks_dealt.mapInPandas(announce, "bucket long, chunk long, hashes binary")
     met = store(
         announced.groupBy("bucket").applyInPandas(meet, "chunk long, hashes binary"), "met", "none"
@@ -312,12 +311,9 @@ def near_duplicates(
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     printed = store(rows.mapInPandas(run, "doc_id long, prints binary"), "prints")
-    # One node per distinct fingerprint, numbered by a 64-bit hash of it (a bijection of
-    # fingerprints of 64 bits up to the hash's own collisions).
-    nodes = store(
-        printed.groupBy("prints").agg(F.min("doc_id").alias("first")).withColumn("node", F.xxhash64("prints")),
-        "nodes",
-    )
+    # One node per distinct fingerprint.
+    distinct = printed.groupBy("prints").agg(F.min("doc_id").alias("first"))
+    nodes = number_in_order(distinct, "prints", name="node")
     parts = connected_components(ball_links(nodes, scheme))
     labelled = store(
         nodes.join(parts, "node", "left").select(
