@@ -4,7 +4,12 @@ Three patterns give the base spans. The method adds spans of kind ``random``: st
 of key-like characters for which a byte-pair vocabulary needs so many tokens that only
 few characters fall to each. Words and identifiers made of words take few tokens.
 Strings of known shape are left out before the test: digests in hexadecimal, UUIDs,
-plain numbers, and identifiers whose parts between separators are plain words.
+plain numbers, and identifiers whose parts between separators are short plain words. Long
+runs of letters of one case count as words only if they pass the test themselves, and a
+long part between separators is tested alone where the whole string passes.
+
+Strings and parts of under ``LEAST`` characters are not tested: of random letters so short,
+many need no more tokens than a word does.
 
 Spans are in code points, end exclusive. Defined results: a null or empty text has no
 spans; rows with null or repeated ids keep their own result; other columns stay.
@@ -31,7 +36,9 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+PART = re.compile(rf"[A-Za-z0-9]{{{LEAST},}}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = frozenset({32, 40, 56, 64, 96, 128})  # MD5, SHA-1 and the SHA-2 family
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
@@ -56,14 +63,22 @@ class SecretScanner:
         self.most_chars_per_token = most_chars_per_token
 
     @staticmethod
-    def known(value: str) -> bool:
-        """A digest, a UUID, or an identifier of plain words and numbers."""
+    def digest_like(value: str) -> bool:
+        """A digest, a UUID or a number."""
         return (
             (len(value) in DIGEST_LENGTHS and DIGEST.match(value) is not None)
             or UUID.match(value) is not None
-            or all(PLAIN_PART.match(x) for x in SEPARATORS.split(value))
+            or value.isdecimal()
         )
 
+    @staticmethod
+    def identifier(value: str) -> bool:
+        """Plain words and numbers between separators."""
+        return all(PLAIN_PART.match(x) for x in SEPARATORS.split(value))
+
+    def inefficient(self, value: str) -> bool:
+        return len(value) / len(self.encode(value)) <= self.most_chars_per_token
+
     def base(self, text: str) -> list[tuple[int, int, int]]:
         """(start, kind as a number, end) of the fixed patterns."""
         spans = []
@@ -79,11 +94,15 @@ class SecretScanner:
         found = self.base(text)
         covered = found[:]
         for m in CANDIDATE.finditer(text):
-            value = m[0]
-            if any(s < m.end() and m.start() < e for s, _, e in covered) or self.known(value):
+            value, at = m[0], m.start()
+            if any(s < m.end() and at < e for s, _, e in covered) or self.digest_like(value):
+                continue
+            if not self.identifier(value) and self.inefficient(value):
+                found.append((at, 3, m.end()))
                 continue
-            if len(value) / len(self.encode(value)) <= self.most_chars_per_token:
-                found.append((m.start(), 3, m.end()))
+            for part in PART.finditer(value):
+                if not self.digest_like(part[0]) and self.inefficient(part[0]):
+                    found.append((at + part.start(), 3, at + part.end()))
         return [(KINDS[kind], start, end) for start, kind, end in sorted(found)]
 
 
