@@ -41,11 +41,13 @@ LETTERS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 WORD = re.compile(r"\w+")
 
 # Elements of HTML by their role in the flow.
-RAW = frozenset("script style template noscript svg math title textarea iframe object".split())
+RAW = frozenset("script style template noscript svg title textarea iframe object".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q "
-    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mfrac mi mn mo mover mrow ms msqrt mroot msub msubsup msup mtext munder munderover "
+    "semantics".split()
 )
 CLOSES = {  # an opening tag that ends an open element of the same kind
     "p": frozenset("address article aside blockquote details div dl fieldset figure footer form "
