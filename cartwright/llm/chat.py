@@ -78,15 +78,15 @@ def format_turns(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = encoder(tokenizer).tokenizer.get_vocab_size()
+        first = encoder(tokenizer, plain=True).tokenizer.get_vocab_size()
         turn, role_end, end = (np.array([first + i], "<u4").tobytes() for i in range(3))
         shard, row, last, total = TaskContext.get().partitionId(), 0, object(), 0
         for batch in batches:
             conv_ids = batch["conv_id"].astype("Int64").tolist()
             roles, texts = batch["role"].tolist(), batch["text"].tolist()
             for part in slices(texts):
-                head = encoder(tokenizer).encode([escape(x) for x in roles[part]])
-                body = encoder(tokenizer).encode([escape(x) for x in texts[part]])
+                head = encoder(tokenizer, plain=True).encode([escape(x) for x in roles[part]])
+                body = encoder(tokenizer, plain=True).encode([escape(x) for x in texts[part]])
                 out = []
                 for conv, role, a, b in zip(conv_ids[part], roles[part], head, body):
                     conv = None if conv is pd.NA else conv
@@ -149,7 +149,7 @@ def read_conversations(formatted: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decoder = encoder(tokenizer).tokenizer
+        decoder = encoder(tokenizer, plain=True).tokenizer
         first = decoder.get_vocab_size()
         last, state = object(), None
 

@@ -49,14 +49,26 @@ class PartEncoder:
     Texts are cut before words, where no token can cross. Every distinct part of a batch
     is encoded once, all in one call; parts that occur again stay in a bounded cache of
     the worker. The ids are those of the whole text; ``tests/llm`` compares them.
+
+    The vocabulary's special tokens are found in texts as the library finds them, and their
+    ids stand alone; with ``plain`` they are text like any other.
     """
 
-    def __init__(self, path: str, cached_parts: int = 150_000, cached_length: int = 48) -> None:
+    def __init__(
+        self,
+        path: str,
+        plain: bool = False,
+        cached_parts: int = 150_000,
+        cached_length: int = 48,
+    ) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        special = [] if plain else self.tokenizer.get_added_tokens_decoder().values()
+        names = [re.escape(x.content) for x in special]
+        self.special = re.compile("|".join(sorted(names, key=len, reverse=True))) if names else None
         size = self.tokenizer.get_vocab_size()
         # The mark that byte-level vocabularies use for a space.
         self.opens = np.array([self.tokenizer.id_to_token(i)[:1] == "\u0120" for i in range(size)])
@@ -84,6 +96,23 @@ class PartEncoder:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        texts = list(texts)
+        marked = [i for i, t in enumerate(texts) if self.special and self.special.search(t)]
+        if not marked:
+            return self._encode(texts)
+        out: list[bytes] = [b""] * len(texts)
+        odd = set(marked)
+        usual = [i for i in range(len(texts)) if i not in odd]
+        for i, ids in zip(usual, self._encode([texts[i] for i in usual]), strict=True):
+            out[i] = ids
+        for i in marked:
+            found = self.special.findall(texts[i])
+            between = self._encode(self.special.split(texts[i]))
+            marks = [self._ids(x).tobytes() for x in found] + [b""]
+            out[i] = b"".join(chain.from_iterable(zip(between, marks, strict=True)))
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         parts = [
             PART_START.split(text) if ODD_SPACE.search(text) else text.split(" ") for text in texts
         ]
@@ -101,14 +130,14 @@ class PartEncoder:
         return out
 
 
-_encoders: dict[str, PartEncoder] = {}
+_encoders: dict[tuple[str, bool], PartEncoder] = {}
 
 
-def encoder(path: str) -> PartEncoder:
+def encoder(path: str, plain: bool = False) -> PartEncoder:
     """The encoder of this Python worker for a vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = PartEncoder(path)
-    return _encoders[path]
+    if (path, plain) not in _encoders:
+        _encoders[path, plain] = PartEncoder(path, plain)
+    return _encoders[path, plain]
 
 
 def slices(values: list[str], most_chars: int = 800_000) -> Iterator[slice]:
