@@ -100,7 +100,7 @@ def _slots(plan: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
 
 @dataclass
 class Packing:
-    """``pieces`` holds the ids of every piece, ``layout`` where it goes."""
+    """``pieces`` holds the ids of every piece, ``layout`` where it goes and their checksum."""
 
     pieces: DataFrame
     layout: DataFrame
@@ -189,9 +189,10 @@ def pack_documents(
     before = Window.partitionBy("length").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_shard.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     layout = (
-        pieces.drop("ids")
+        pieces.withColumn("ids_crc32", F.crc32("ids"))
+        .drop("ids")
         .join(bases, ["shard", "length"])
         .withColumn("place", place("length", F.col("rank") + F.col("base")))
-        .select("shard", "row", "doc_id", "piece", "start", "length", "place.*")
+        .select("shard", "row", "doc_id", "piece", "start", "length", "ids_crc32", "place.*")
     )
     return Packing(pieces, layout, sum(times for _, times in plan))

@@ -39,8 +39,7 @@ def op1_token_files(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op3_best_two_fit(spark: SparkSession, d: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, d, "documents"), BYTE_BPE, capacity=2048, end_id=0)
-    digests = packed.pieces.select("shard", "row", F.crc32("ids").alias("ids_crc32"))
-    return packed.layout.join(digests, ["shard", "row"]).drop("shard", "row")
+    return packed.layout.drop("shard", "row")
 
 
 @query
