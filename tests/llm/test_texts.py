@@ -26,6 +26,7 @@ def test_blocks_of_broken_markup():
     assert texts('<a title="x > y">k</a> < 3 <p class=\'"q\'>z') == ["k < 3", "z"]
     assert texts("<p" * 2000) == []
     assert texts("<div>" * 3000 + "deep") == ["deep"]
+    assert texts("<p>Sum <math><mi>x</mi><mo>+</mo></math> end</p>") == ["Sum x+ end"]
 
 
 def test_labels_on_other_layouts():
@@ -161,6 +162,17 @@ def test_token_efficiency():
         assert spans(f"see {known}.") == [], known
 
 
+def test_letters_of_one_case_and_parts_are_tested():
+    r = np.random.default_rng(5)
+    low, up = ("".join(r.choice(list(a), 32)) for a in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    assert spans(f"key {low} and {up}") == [("random", 4, 36), ("random", 41, 73)]
+    path = f"documents/directory/configuration/{low}/information/description/"
+    at = path.index(low)
+    assert ("random", at, at + 32) in spans(path) or spans(path) == [("random", 0, len(path))]
+    assert spans("internationalizationcommunications documents/configuration/information_management") == []
+    assert spans("0" * 60 + " " + "1234567890" * 4) == [("hex", 0, 60), ("hex", 61, 101)]
+
+
 def test_secret_rows_and_redaction(spark):
     rows = [(1, "x token=abcdefgh y"), (1, "x token=abcdefgh y"), (None, None), (2, ""), (3, "a " * 50000 + "0f" * 20)]
     docs = spark.createDataFrame([(*r, "old") for r in rows], "doc_id long, text string, secret_spans string")
