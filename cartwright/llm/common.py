@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -47,8 +46,9 @@ class PartEncoder:
     """Encodes texts with a byte-level BPE of the tokenizers library, part by part.
 
     Texts are cut before words, where no token can cross. Every distinct part of a batch
-    is encoded once, all in one call; parts that occur again stay in a bounded cache of
-    the worker. The ids are those of the whole text; ``tests/llm`` compares them.
+    is encoded once, all in one call, and stays in a bounded cache of the worker, of which
+    the half that was not used for longer goes at a time. The ids are those of the whole
+    text; ``tests/llm`` compares them.
 
     The vocabulary's special tokens are found in texts as the library finds them, and their
     ids stand alone; with ``plain`` they are text like any other.
@@ -58,7 +58,7 @@ class PartEncoder:
         self,
         path: str,
         plain: bool = False,
-        cached_parts: int = 150_000,
+        cached_parts: int = 400_000,
         cached_length: int = 48,
     ) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -75,6 +75,7 @@ class PartEncoder:
         self.cached_parts = cached_parts
         self.cached_length = cached_length
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
@@ -117,15 +118,18 @@ class PartEncoder:
             PART_START.split(text) if ODD_SPACE.search(text) else text.split(" ") for text in texts
         ]
         heads = [self._ids(p.pop(0)).tobytes() for p in parts]
-        seen = Counter(chain.from_iterable(parts))
-        if len(self.cache) > self.cached_parts:
-            self.cache.clear()
-        new = [x for x in seen if x not in self.cache]
+        if len(self.cache) > self.cached_parts // 2:
+            # What is used again comes back from the older half; the rest goes next time.
+            self.older, self.cache = self.cache, {}
+        new = set(chain.from_iterable(parts)).difference(self.cache)
+        known = new.intersection(self.older)
+        self.cache.update(zip(known, map(self.older.__getitem__, known)))
+        new = list(new - known)
         self._learn(new)
         find = self.cache.__getitem__
         out = [head + b"".join(map(find, p)) for head, p in zip(heads, parts, strict=True)]
         for x in new:
-            if seen[x] < 2 or len(x) > self.cached_length:
+            if len(x) > self.cached_length:
                 del self.cache[x]
         return out
 
