@@ -18,7 +18,10 @@ chunk, in the name of the chunk's own component. Equal fingerprints are one node
 the start.
 
 Long fingerprints serve looser similarities: several tables of fewer bits, each with its
-own ball, find the candidates, and the distance over all bits decides.
+own ball, find the candidates. ``near_duplicates`` lets the distance over all bits decide;
+``similar_documents`` compares the shingles of every candidate pair and links by their
+Jaccard similarity alone. There a member stays in its group until it was ``sure`` to belong
+to a leader or was tried with ``tries`` leaders, as a near fingerprint may be refused.
 
 Defined results: a null text is an empty one; a text with fewer words than a shingle is
 one shingle; no word at all gives fingerprint zero, linked like any other. Rows with a
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cartwright.operators.keys import number_in_order
 
-from .common import store
+from .common import discard, store
 from .components import connected_components
 
 GOLDEN = 0x9E3779B97F4A7C15
@@ -85,13 +88,18 @@ def fingerprint(hashes: np.ndarray, words: int = 1) -> bytes:
 
 @dataclass(frozen=True)
 class Scheme:
-    """``tables`` fingerprints of ``bits`` bits within ``radius``; all bits within ``limit``."""
+    """``tables`` fingerprints of ``bits`` bits within ``radius``; all bits within ``limit``.
+
+    Pairs within ``sure`` bits need no other partner in their group, others up to ``tries``.
+    """
 
     shingle: int
     tables: int = 1
     bits: int = 64
     radius: int = 4
     limit: int = 4
+    sure: int | None = None
+    tries: int = 1
 
     @property
     def words(self) -> int:
@@ -113,11 +121,11 @@ class Scheme:
         return prints.view(f"<u{self.bits // 8}").astype(np.uint64)
 
 
-# Word five-shingles of similarity 0.8: with J = 0.8 the angle between the shingle
-# vectors is acos(2J / (1 + J)), so 15 % of the bits differ, 116 of 768; 122 allows for
-# half a standard deviation of the estimate. 24 tables of 32 bits within 2 bits find
-# such a pair with probability 0.95, and closer ones more surely.
-FIVE_SHINGLES = Scheme(shingle=5, tables=24, bits=32, radius=2, limit=122)
+# Word five-shingles of similarity 0.8: the angle between the shingle vectors is
+# acos(2J / (1 + J)), so 15 % of the bits differ, 155 of 1,024 with a deviation of 11.5.
+# The limit is 2.5 deviations wider, sure is 4 narrower (J of about 0.9). 32 tables of
+# 32 bits within 2 bits find a pair at 0.8 with probability 0.98, closer ones more surely.
+FIVE_SHINGLES = Scheme(shingle=5, tables=32, bits=32, radius=2, limit=184, sure=109, tries=4)
 FOUR_SHINGLES = Scheme(shingle=4)
 
 CHUNK_VARIANTS = 1 << 22
@@ -146,28 +154,53 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(gaps.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
-def _linked(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, limit: int):
+def _bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(1)
+
+
+def _linked(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, scheme: Scheme):
     """Links inside groups of equal keys, and the members that others were tried against,
     both by position.
 
-    Each group is compared with its smallest node; what does not verify is compared
-    with the next, until none is left.
+    Each group is compared with its smallest node; what does not verify (or is not sure,
+    and has tries left) is compared with the next, until none is left.
     """
     order = np.lexsort((nodes, keys))
-    pairs, leaders = [], []
+    sure = scheme.limit if scheme.sure is None else scheme.sure
+    pairs, leaders, tried = [], [], np.zeros(len(keys), np.int64)
     while len(order):
         first = np.append(True, keys[order][1:] != keys[order][:-1])
         leader = order[first][np.cumsum(first) - 1]
-        near = np.bitwise_count(prints[order] ^ prints[leader]).sum(1) <= limit
+        apart = _bits_apart(prints[order], prints[leader])
+        near = apart <= scheme.limit
         linked = near & (order != leader)
         pairs.append(np.stack([leader[linked], order[linked]], 1))
         leaders.append(order[first])
-        order = order[~near & ~first]
+        tried[order[near]] += 1
+        done = (apart <= sure) | (near & (tried[order] >= scheme.tries))
+        order = order[~done & ~first]
     none = np.zeros(0, np.int64)
     found = np.concatenate(pairs) if pairs else none.reshape(0, 2)
     return found, np.concatenate(leaders) if leaders else none
 
 
+def _spanning(pairs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect what all of them connect, without circles; and the roots of ``n``."""
+    root, kept = list(range(n)), []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, (a, b) in enumerate(pairs.tolist()):
+        a, b = find(a), find(b)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            kept.append(i)
+    return pairs[kept], np.array([find(x) for x in range(n)], np.int64)
+
+
 def _roots(pairs: np.ndarray, n: int) -> np.ndarray:
     """The smallest position that links lead to from each of ``n``."""
     root = np.arange(n)
@@ -182,9 +215,14 @@ def _roots(pairs: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
-    """Links (a, b) between nodes (node long, prints binary) with distinct prints."""
-    masks, words, limit = scheme.masks(), scheme.words, scheme.limit
+def ball_links(nodes: DataFrame, scheme: Scheme, partners: bool = False) -> DataFrame:
+    """Links (a, b) between nodes (node long, prints binary).
+
+    They stand for the components of near prints. With ``partners`` every link is a pair
+    that was itself compared; of pairs that are sure a spanning part is given, others all
+    but those that sure pairs of the same chunk connect.
+    """
+    masks, words = scheme.masks(), scheme.words
     each = scheme.tables * len(masks)
     chunk_nodes = max(1, CHUNK_VARIANTS // each)
     count = max(1, nodes.count())
@@ -254,10 +292,19 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
             keys.append(value[hit])
             owners.append(i + at[hit] // each)
         keys, owners = np.concatenate(keys), np.concatenate(owners)
-        pairs, leaders = _linked(keys, ids[owners], prints[owners], limit)
-        root = _roots(owners[pairs], len(ids))
-        inner = np.flatnonzero(root != np.arange(len(ids)))
-        links = np.stack([ids[root[inner]], ids[inner]], 1)
+        pairs, leaders = _linked(keys, ids[owners], prints[owners], scheme)
+        if partners:
+            pairs = np.unique(np.sort(owners[pairs], axis=1), axis=0)
+            is_sure = _bits_apart(prints[pairs[:, 0]], prints[pairs[:, 1]]) <= scheme.sure
+            tree, part = _spanning(pairs[is_sure], len(ids))
+            pairs = pairs[~is_sure]
+            pairs = pairs[part[pairs[:, 0]] != part[pairs[:, 1]]]
+            links = ids[np.concatenate([tree, pairs])].reshape(-1, 2)
+            root = np.arange(len(ids))
+        else:
+            root = _roots(owners[pairs], len(ids))
+            inner = np.flatnonzero(root != np.arange(len(ids)))
+            links = np.stack([ids[root[inner]], ids[inner]], 1)
         keys, owners = keys[leaders], owners[leaders]
         buckets = keys >> np.uint64(low_bits)
         order = np.argsort(buckets, kind="stable")
@@ -276,8 +323,8 @@ def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
         roots = np.frombuffer(b"".join(group["roots"]), "<i8")
         pairs = np.frombuffer(b"".join(group["links"]), "<i8").reshape(-1, 2)
         if len(keys):
-            found, _ = _linked(keys, roots, words_of(b"".join(group["prints"])), limit)
-            met = roots[found]
+            found, _ = _linked(keys, roots, words_of(b"".join(group["prints"])), scheme)
+            met = np.sort(roots[found], axis=1)
             pairs = np.concatenate([pairs, np.unique(met[met[:, 0] != met[:, 1]], axis=0)])
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -324,3 +371,65 @@ def near_duplicates(
     smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
     named = store(labelled.join(smallest, "component").select("prints", "component_id"), "named")
     return printed.join(named, "prints").select("doc_id", "prints", "component_id")
+
+
+def similar_documents(
+    docs: DataFrame,
+    scheme: Scheme = FIVE_SHINGLES,
+    least: float = 0.8,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """doc_id and component_id (smallest id reachable, itself included) of every row.
+
+    Rows link when the Jaccard similarity of their sets of shingles is ``least`` or more.
+    Fingerprints propose the pairs; shingles, joined to them, decide. Rows with equal sets
+    are one node, and texts without a word have equal sets. Ids must be distinct and not
+    null, so a node's name is its smallest id.
+    """
+
+    def sets(texts: pd.Series) -> list[np.ndarray]:
+        return [np.unique(shingle_hashes(t, scheme.shingle)) for t in texts]
+
+    def print_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = sets(batch["text"])
+            same = [xxhash.xxh3_128_digest(x.tobytes()) for x in found]
+            prints = [fingerprint(x, scheme.words) for x in found]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "same": same, "prints": prints})
+
+    def list_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [x.view(np.int64) for x in sets(batch["text"])]
+            yield pd.DataFrame({"node": batch["doc_id"], "shingles": found})
+
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    printed = store(rows.mapInPandas(print_sets, "doc_id long, same binary, prints binary"), "prints")
+    nodes = store(printed.groupBy("same", "prints").agg(F.min("doc_id").alias("node")), "nodes")
+    pairs = ball_links(nodes.select("node", "prints"), scheme, partners=True)
+    pairs = store(pairs.distinct(), "pairs")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    shingles = store(
+        rows.join(met, "doc_id", "left_semi").mapInPandas(list_sets, "node long, shingles array<long>"),
+        "shingles",
+    )
+    of_a = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    of_b = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
+    total = F.size("left") + F.size("right") - shared
+    links = (
+        pairs.join(of_a, "a")
+        .join(of_b, "b")
+        .where(shared >= F.lit(least) * total - F.lit(1e-9))
+        .select("a", "b")
+    )
+    parts = connected_components(links)
+    named = store(
+        nodes.join(parts, "node", "left").select(
+            "same", F.coalesce("component", "node").alias("component_id")
+        ),
+        "named",
+    )
+    for done in (pairs, shingles, nodes):
+        discard(done)
+    return printed.join(named, "same").select("doc_id", "component_id")

@@ -113,6 +113,54 @@ def test_five_shingles_find_near_copies(spark):
     assert len(set(found.values())) >= 60
 
 
+def jaccard(a, b, size=5):
+    a, b = ({tuple(w[i : i + size]) for i in range(len(w) - size + 1)} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_similar_documents_at_the_threshold(spark):
+    r = random.Random(21)
+    vocabulary = ["".join(r.choices("abcdefghij", k=6)) for _ in range(5000)]
+    texts, expected = {}, {}
+    for i in range(600):
+        words = r.choices(vocabulary, k=300)
+        texts[2 * i] = " ".join(words)
+        for _ in range(r.randrange(3, 11)):  # J from about 0.70 to 0.90
+            words[r.randrange(300)] = r.choice(vocabulary)
+        texts[2 * i + 1] = " ".join(words)
+        expected[i] = jaccard(texts[2 * i], texts[2 * i + 1])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = {x.doc_id: x.component_id for x in simhash.similar_documents(docs).collect()}
+    linked = {i for i in expected if found[2 * i + 1] == 2 * i}
+    near = {i for i, j in expected.items() if j >= 0.8}
+    assert sum(0.7 <= j < 0.8 for j in expected.values()) > 100 < len(near)
+    assert linked <= near and len(linked) >= 0.97 * len(near)
+    assert all(found[2 * i] == 2 * i for i in expected)
+
+
+def test_similar_documents_hold_families_and_odd_rows(spark):
+    r = random.Random(22)
+    vocabulary = ["".join(r.choices("abcdefghij", k=6)) for _ in range(5000)]
+    words = r.choices(vocabulary, k=300)
+    line = " ".join(r.choices(vocabulary, k=12))
+    rows = [(100, None), (101, ""), (102, " \t"), (103, "a b"), (104, "A b"), (105, "a b c"), (106, "word " * 30000)]
+    rows += [(107, "word " * 20000), (108, (line + " ") * 50 + " ".join(words)), (109, (line + " ") * 50)]
+    for i in range(120):  # copies of one text, some of them equal, in a chain of J >= 0.8 or not
+        changed = list(words)
+        for _ in range(r.randrange(0, 7)):
+            changed[r.randrange(300)] = r.choice(vocabulary)
+        rows.append((1000 + i, " ".join(changed)))
+    docs = spark.createDataFrame([(*x, 1, "x") for x in rows], "doc_id long, text string, node int, same string")
+    found = {x.doc_id: x.component_id for x in simhash.similar_documents(docs.repartition(4)).collect()}
+    family = [x for x in rows if x[0] >= 1000]
+    pairs = [(i, j) for i in range(120) for j in range(i) if jaccard(family[i][1], family[j][1]) >= 0.8]
+    parts = united(range(120), pairs)
+    got = [found[1000 + i] for i in range(120)]
+    assert sum((parts[i] == parts[j]) == (got[i] == got[j]) for i in range(120) for j in range(i)) >= 0.98 * 7140
+    assert [found[i] for i in range(100, 110)] == [100, 100, 100, 103, 103, 105, 106, 106, 108, 109]
+    assert simhash.similar_documents(docs.limit(0)).count() == 0
+
+
 # ---- embeddings -------------------------------------------------------------------
 
 
