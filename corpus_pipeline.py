@@ -34,9 +34,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest id of each group of similarity 0.8 on five-word shingles."""
+    """The row with the smallest id of each group; links are pairs of similarity 0.8 or more
+    (Jaccard, five-word shingles), counted exactly."""
     rows = _numbered(docs)
-    groups = simhash.near_duplicates(rows, simhash.FIVE_SHINGLES, id_column="row")
+    groups = simhash.similar_documents(rows, simhash.FIVE_SHINGLES, least=0.8, id_column="row")
     groups = groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("part"))
     ids = rows.select("row", "doc_id").join(groups, "row")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
