@@ -8,8 +8,8 @@ Each string of ``length`` bytes is anchored at the suffix that starts with its s
 at anchors, about one of 27, each with the bytes before it that its strings reach. Work
 goes by runs, which are documents of some megabytes in order:
 
-1. A run finds its anchors. Surroundings that occur again in it are repeats already;
-   of the others it announces a hash of the seed (sorted, as gaps).
+1. A run finds its anchors. Surroundings that occur again in it, byte by byte, are
+   repeats already; of the others it announces a hash of the seed (sorted, as gaps).
 2. Seeds announced once in all are dropped. The suffixes of the others are sorted in
    each run, cut by a hash of the seed, front-coded (shared prefix with the suffix before,
    and the rest), and exchanged.
@@ -20,8 +20,8 @@ goes by runs, which are documents of some megabytes in order:
 4. Each run covers its repeated strings and drops the bytes.
 
 A seed of very many different surroundings would make one large group. Beyond ``hot`` of
-them, its strings are told apart by 64-bit hashes of their bytes instead, each of which
-goes its own way in the shuffle.
+them, its strings are told apart by their XXH3 128-bit hashes, each of which goes its own
+way in the shuffle: among 10^13 strings two different ones agree with odds of 10^-13.
 
 Defined results: a null text is an empty one; texts shorter than ``length`` stay whole.
 Null ids come first in order; rows that repeat an id are ordered by where they are
@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -140,10 +141,27 @@ def find_anchors(data: np.ndarray, sizes: np.ndarray, setup: Setup) -> Anchors:
     return Anchors(place, low, high, seeds, _pair(seeds, around))
 
 
-def _firsts(values: np.ndarray) -> np.ndarray:
-    """Whether each value is the first of its kind."""
+def _fresh(found: Anchors, data: bytes, length: int) -> np.ndarray:
+    """Whether an anchor's surroundings do not occur earlier in the run.
+
+    Hashes find the earlier place, bytes decide."""
+    _, first, back = np.unique(found.around, return_index=True, return_inverse=True)
+    earlier = first[back]
+    fresh = earlier == np.arange(len(earlier))
+    again = np.flatnonzero(~fresh)
+    low, end = found.low, found.high + length
+    places = (low[again], end[again], low[earlier[again]], end[earlier[again]])
+    for i, a, b, c, d in zip(again.tolist(), *(x.tolist() for x in places)):
+        fresh[i] = data[a:b] != data[c:d]
+    return fresh
+
+
+def _first_rows(values: np.ndarray) -> np.ndarray:
+    """Whether each row of two words is the first of its kind."""
     out = np.zeros(len(values), bool)
-    out[np.unique(values, return_index=True)[1]] = True
+    order = np.lexsort((values[:, 1], values[:, 0]))
+    new = (values[order][1:] != values[order][:-1]).any(1)
+    out[order[np.append(True, new)]] = True
     return out
 
 
@@ -310,12 +328,12 @@ def _merged(rows: list[tuple[int, list[bytes]]], setup: Setup) -> Iterator[tuple
 
 def _met_by_hash(rows: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, int, int]]:
     """Repeats among strings given by their hashes."""
-    value = np.concatenate([np.frombuffer(p[0], "<u8") for _, p in rows])
+    value = np.concatenate([np.frombuffer(p[0], "<u8").reshape(-1, 2) for _, p in rows])
     doc_id = np.concatenate([np.frombuffer(p[1], "<i8") for _, p in rows])
     place = np.concatenate([np.frombuffer(p[2], "<i8") for _, p in rows])
-    run = np.repeat(np.array([r for r, _ in rows]), [len(p[0]) // 8 for _, p in rows])
-    order = np.lexsort((place, run, doc_id, value))
-    again = order[1:][value[order][1:] == value[order][:-1]]
+    run = np.repeat(np.array([r for r, _ in rows]), [len(p[0]) // 16 for _, p in rows])
+    order = np.lexsort((place, run, doc_id, value[:, 1], value[:, 0]))
+    again = order[1:][(value[order][1:] == value[order][:-1]).all(1)]
     yield from zip(run[again].tolist(), place[again].tolist(), [1] * len(again))
 
 
@@ -357,7 +375,7 @@ def remove_repeats(
         data = b"".join(x[2] for x in held)
         sizes = np.array([len(x[2]) for x in held], np.int64)
         found = find_anchors(np.frombuffer(data, np.uint8), sizes, setup)
-        first = _firsts(found.around)
+        first = _fresh(found, data, setup.length)
         again = np.flatnonzero(~first)
         values = np.sort(short(found.seed[first]))
         cuts = np.searchsorted(values, edges)
@@ -410,7 +428,7 @@ def remove_repeats(
         seeds = short(found.seed)
         told = [_unbundle(x) for x in met["seeds"]]
         several, hot = (np.sort(np.frombuffer(b"".join(t[i] for t in told), "<u8")) for i in (0, 1))
-        first = _firsts(found.around)
+        first = _fresh(found, data, setup.length)
         doc_of = np.searchsorted(np.cumsum(sizes), found.low, "right")
         doc_ids = np.array(r["doc_ids"], np.int64)
         out = []
@@ -448,17 +466,14 @@ def remove_repeats(
             docs_of = np.repeat(doc_ids[doc_of[picked]], n)
             order = np.lexsort((starts, docs_of))
             starts, docs_of = starts[order], docs_of[order]
-            bytes_of = np.frombuffer(data, np.uint8)
-            values = [
-                _hashes(bytes_of[a : b + setup.length], (setup.length,))[0]
-                for a, b in zip(found.low[picked].tolist(), found.high[picked].tolist())
-            ]
-            values = np.concatenate(values)[order]
-            fresh = _firsts(values)
+            digest, length = xxhash.xxh3_128_digest, setup.length
+            values = b"".join([digest(data[a : a + length]) for a in starts.tolist()])
+            values = np.frombuffer(values, "<u8").reshape(-1, 2)
+            fresh = _first_rows(values)
             again = starts[~fresh]
             out.append((key[0] % (1 << bucket_bits), key[0], 2, _bundle(again, np.ones(len(again), np.int64))))
             values, docs_of, starts = values[fresh], docs_of[fresh], starts[fresh]
-            buckets = (values >> U(64 - bucket_bits)).astype(np.int64)
+            buckets = (values[:, 0] >> U(64 - bucket_bits)).astype(np.int64)
             order = np.argsort(buckets, kind="stable")
             cuts = np.append(np.flatnonzero(np.diff(buckets[order], prepend=-1)), len(order))
             for a, b in zip(cuts[:-1], cuts[1:]):

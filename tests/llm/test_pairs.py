@@ -382,6 +382,15 @@ def test_repeats(spark, setup):
         assert all(a < b for a, b in spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
 
 
+def test_bytes_decide_where_hashes_of_a_run_agree():
+    data = b"a" * 120 + b"b" * 120 + b"a" * 120 + b"b" * 120
+    low = np.array([0, 120, 240, 360])
+    same = np.zeros(4, np.uint64)
+    found = suffix_dedup.Anchors(low, low, low + 20, same, same)
+    assert suffix_dedup._fresh(found, data, 100).tolist() == [True, True, False, True]
+    assert suffix_dedup._first_rows(np.array([[1, 2], [2, 1], [1, 2], [1, 3]], np.uint64)).tolist() == [True, True, False, True]
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = "".join(random.Random(1).choices("abcdefgh ", k=300))
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (None, text)], "doc_id long, text string")
