@@ -51,8 +51,9 @@ def train_dictionary(
     """A zstandard dictionary from serialized id arrays.
 
     It is fitted on about ``sample`` documents chosen by a hash of their id (at most
-    twice as many), of which up to ``ids_each`` ids serve as training material. Too
-    little material gives an empty dictionary.
+    twice as many), of which up to ``ids_each`` ids serve as training material. A small
+    table serves as a whole; where it is too little to train on, its id arrays themselves
+    are the dictionary. Only texts without any id give an empty one.
     """
     n = max(1, docs.count())
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1, sample / n)) + 1
@@ -69,7 +70,7 @@ def train_dictionary(
     try:
         return zstandard.train_dictionary(size, material).as_bytes()
     except (zstandard.ZstdError, ValueError):
-        return b""
+        return b"".join(material)[-65536:]
 
 
 def _blocks(

@@ -86,6 +86,18 @@ def test_token_files_use_a_shared_dictionary(spark):
     assert needed == {row.dictionary_sha256}
 
 
+@pytest.mark.parametrize("texts", [["one"], ["", "two words"], ["a b c d"] * 3])
+def test_small_tables_have_a_dictionary_too(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(docs, path, BPE, end_id=2)
+    plain = Tokenizer.from_file(BPE)
+    expected = {i: plain.encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    got = token_files.read_token_files(spark, path).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == expected
+    assert len(spark.read.parquet(f"{path}/dictionary").head().dictionary) > 0
+
+
 def test_token_files_of_nothing(spark):
     path = scratch_path(spark, "t")
     token_files.write_token_files(frame(spark, []), path, BPE, end_id=2)
