@@ -22,9 +22,11 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice, takewhile
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import slices
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)([^>]*)(?:>|\Z)""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)([^>]*)(?:>|\Z)""",
     re.DOTALL,
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -60,17 +62,53 @@ CLOSES = {  # an opening tag that ends an open element of the same kind
 MARK = "x-mark"  # bears the labels of generated pages
 
 
+@dataclass(eq=False, slots=True)
+class Element:
+    """An element of a path: it knows the one around it, so deep paths are never copied."""
+
+    label: str  # tag and names
+    parent: Element | None
+    depth: int
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]  # of each open element: its tag and names
+    element: Element | None  # the innermost one; None outside of all
     text: str
     linked: int  # characters inside links
     marked: bool = False  # inside an element with data-keep (training pages)
 
+    @property
+    def depth(self) -> int:
+        return self.element.depth if self.element else 0
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return tuple(e.label for e in reversed(list(upwards(self.element))))
+
+
+def upwards(element: Element | None) -> Iterator[Element]:
+    while element:
+        yield element
+        element = element.parent
+
+
+@dataclass(slots=True)
+class Open:
+    """An open tag, with what holds for all text inside it."""
+
+    tag: str
+    element: Element | None
+    marked: bool
+    link: bool
+    flow: int  # place of the innermost open tag that is not inline, -1 if there is none
+
 
 def leaf_blocks(page: str | None) -> list[Block]:
     page = page or ""
-    stack: list[tuple[str, str, bool]] = []
+    stack: list[Open] = []
+    count: Counter[str] = Counter()  # of open tags, so an end tag without any looks for none
+    outside = Open("", None, False, False, -1)
     blocks: list[Block] = []
     parts: list[str] = []
     linked, at = 0, 0
@@ -81,8 +119,8 @@ def leaf_blocks(page: str | None) -> list[Block]:
             text = "".join(parts)
             text = " ".join((entities.unescape(text) if "&" in text else text).split())
             if text:
-                path = tuple(e[1] for e in stack if e[0] != MARK)
-                blocks.append(Block(path, text, linked, any(e[2] for e in stack)))
+                top = stack[-1] if stack else outside
+                blocks.append(Block(top.element, text, linked, top.marked))
             parts.clear()
         linked = 0
 
@@ -90,9 +128,13 @@ def leaf_blocks(page: str | None) -> list[Block]:
         nonlocal linked
         if text:
             parts.append(text)
-            if any(e[0] == "a" for e in stack):
+            if stack and stack[-1].link:
                 linked += len(text.strip())
 
+    def end(i: int) -> None:
+        count.subtract(x.tag for x in stack[i:])
+        del stack[i:]
+
     while m := TOKEN.search(page, at):
         add(page[at : m.start()])
         at = m.end()
@@ -105,27 +147,28 @@ def leaf_blocks(page: str | None) -> list[Block]:
         elif tag == "br":
             parts.append(" ")
         if ends:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            if count[tag] > 0:
+                end(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
         if tag in RAW:
             if not attributes.rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+                last = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+                at = last.end() if last else len(page)
             continue
         for open_tag, by in CLOSES.items():
-            if tag in by:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == open_tag:
-                        del stack[i:]
-                        break
-                    if stack[i][0] not in INLINE:
-                        break
+            if tag in by and stack and (i := stack[-1].flow) >= 0 and stack[i].tag == open_tag:
+                end(i)
         if tag not in VOID:
             names = " ".join(x for found in NAMES.findall(attributes) for x in found if x)
-            stack.append((tag, f"{tag} {names}" if names else tag, "data-keep" in attributes))
+            top = stack[-1] if stack else outside
+            element = top.element
+            if tag != MARK:
+                depth = element.depth + 1 if element else 1
+                element = Element(f"{tag} {names}" if names else tag, element, depth)
+            marked = top.marked or "data-keep" in attributes
+            flow = top.flow if tag in INLINE else len(stack)
+            stack.append(Open(tag, element, marked, top.link or tag == "a", flow))
+            count[tag] += 1
     add(page[at:])
     close()
     return blocks
@@ -140,16 +183,33 @@ def _bucket(token: str, n: int) -> int:
 
 
 @lru_cache(maxsize=50_000)
-def _path_ids(path: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed tokens of all elements of a path, and of its last four."""
-    each = []
-    for element in path:
-        tag, _, names = element.partition(" ")
-        tokens = ["<" + tag, *(x.lower() for x in LETTERS.findall(names))]
-        each.append([_bucket(t, BUCKETS) for t in tokens])
-    far = [x for e in each for x in e] or [0]
-    near = [x for e in each[-4:] for x in e] or [0]
-    return np.array(far), np.array(near)
+def _element_ids(label: str) -> tuple[int, ...]:
+    """Hashed tokens of an element."""
+    tag, _, names = label.partition(" ")
+    tokens = ["<" + tag, *(x.lower() for x in LETTERS.findall(names))]
+    return tuple(_bucket(t, BUCKETS) for t in tokens)
+
+
+def _path_ids(element: Element | None, most: int | None = None) -> list[int]:
+    """Hashed tokens of the innermost elements of a path, the outermost first."""
+    each = [_element_ids(e.label) for e in islice(upwards(element), most)]
+    return [x for e in reversed(each) for x in e] or [0]
+
+
+def _path_sums(elements: list[Element | None], vectors: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """Sum and number of the vectors of each element's path, every element added once."""
+    known: dict[Element | None, tuple[np.ndarray, int]] = {None: (np.zeros_like(vectors[0]), 0)}
+    for element in elements:
+        new = list(takewhile(lambda e: e not in known, upwards(element)))
+        for e in reversed(new):
+            total, n = known[e.parent]
+            total = total.copy()
+            for x in _element_ids(e.label):
+                total += vectors[x]
+                n += 1
+            known[e] = total, n
+        total, n = known[element]
+        yield (total, n) if n else (vectors[0], 1)
 
 
 @lru_cache(maxsize=200_000)
@@ -168,7 +228,7 @@ def _shape(block: Block, i: int, n: int) -> list[float]:
         size / words / 10,
         (i + 1) / n,
         1.0 if block.text[-1] in ".!?…:;\"'»”" else 0.0,
-        len(block.path) / 10,
+        block.depth / 10,
     ]
 
 
@@ -197,17 +257,18 @@ class Labeller:
     def ids(self, blocks: list[Block]) -> list[tuple]:
         out = []
         for i, b in enumerate(blocks):
-            far, near = _path_ids(b.path)
+            near = np.array(_path_ids(b.element, 4))
             found = WORD.findall(b.text.lower())
             hashed = np.array([_word_id(w) for w in found] or [0])
-            out.append((far, near, hashed, np.array(_shape(b, i, len(blocks)), np.float32)))
+            out.append((b.element, near, hashed, np.array(_shape(b, i, len(blocks)), np.float32)))
         return out
 
     def inputs(self, ids: list[tuple]) -> np.ndarray:
         paths, words = self.p["paths"], self.p["words"]
         x = np.empty((len(ids), INPUT), np.float32)
-        for i, (far, near, hashed, shape) in enumerate(ids):
-            x[i, :EMBED] = paths[far].mean(0)
+        sums = _path_sums([element for element, *_ in ids], paths)
+        for i, ((total, n), (_, near, hashed, shape)) in enumerate(zip(sums, ids)):
+            x[i, :EMBED] = total / n
             x[i, EMBED : 2 * EMBED] = paths[near].mean(0)
             x[i, 2 * EMBED : 3 * EMBED] = words[hashed].mean(0)
             x[i, 3 * EMBED :] = shape
@@ -278,8 +339,8 @@ class Labeller:
                 dh = dz @ p[f"u{side}"].T + dh * (1 - m)
                 dc = dc_live * f + dc * (1 - m)
         for k, ids in enumerate(pages):
-            for t, (far, near, hashed, _) in enumerate(ids):
-                d = dx[k, t]
+            for t, (element, near, hashed, _) in enumerate(ids):
+                d, far = dx[k, t], _path_ids(element)
                 np.add.at(g["paths"], far, d[:EMBED] / len(far))
                 np.add.at(g["paths"], near, d[EMBED : 2 * EMBED] / len(near))
                 np.add.at(g["words"], hashed, d[2 * EMBED : 3 * EMBED] / len(hashed))

@@ -1,6 +1,7 @@
 """Page text, quality and secrets."""
 
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -29,6 +30,28 @@ def test_blocks_of_broken_markup():
     assert texts("<p>Sum <math><mi>x</mi><mo>+</mo></math> end</p>") == ["Sum x+ end"]
 
 
+def test_deep_and_unclosed_markup_takes_linear_time():
+    started = time.monotonic()
+    deep = html_blocks.leaf_blocks("".join(f"<div class=c{i % 7}>x{i} " for i in range(100_000)))
+    assert [b.text for b in deep] == [f"x{i}" for i in range(100_000)]
+    assert deep[-1].depth == 100_000 and deep[2].path == ("div c0", "div c1", "div c2")
+    assert len(html_blocks.leaf_blocks("<b>x</i><hr>" * 100_000)) == 100_000
+    assert len(html_blocks.leaf_blocks("<a>x" * 100_000 + "<p>y")) == 2
+    assert html_blocks.leaf_blocks("<!" * 100_000) == []
+    model = html_blocks.Labeller()
+    assert len(model.content([deep])[0]) == 100_000
+    assert time.monotonic() - started < 120
+
+
+def test_path_sums_equal_means():
+    blocks = html_blocks.leaf_blocks("a<div id='m n'><p>b<p class=q>c</div>d<ul><li><a>e</a><li>f")
+    model = html_blocks.Labeller()
+    x = model.inputs(model.ids(blocks))
+    for row, b in zip(x, blocks, strict=True):
+        ids = [i for label in b.path for i in html_blocks._element_ids(label)] or [0]
+        assert np.allclose(row[: html_blocks.EMBED], model.p["paths"][ids].mean(0), atol=1e-6)
+
+
 def test_labels_on_other_layouts():
     model = html_blocks.trained_labeller()
     pages = [html_blocks.leaf_blocks(p) for p in layouts(200, seed=77)]
