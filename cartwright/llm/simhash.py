@@ -185,7 +185,8 @@ def _linked(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, scheme: Sch
 
 
 def _spanning(pairs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that connect what all of them connect, without circles; and the roots of ``n``."""
+    """Places of pairs that connect what all of them connect, without circles; and the
+    roots of ``n``."""
     root, kept = list(range(n)), []
 
     def find(x: int) -> int:
@@ -198,7 +199,22 @@ def _spanning(pairs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         if a != b:
             root[max(a, b)] = min(a, b)
             kept.append(i)
-    return pairs[kept], np.array([find(x) for x in range(n)], np.int64)
+    return np.array(kept, np.int64), np.array([find(x) for x in range(n)], np.int64)
+
+
+FORESTS = 8
+
+
+def _forests(ids: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Places of the pairs in ``FORESTS`` spanning forests, each of the pairs left by those
+    before, the closest first. Between any two sides that few pairs connect all are kept."""
+    nodes, pairs = np.unique(ids, return_inverse=True)
+    pairs, rest, out = pairs.reshape(-1, 2), np.argsort(apart, kind="stable"), []
+    for _ in range(FORESTS):
+        kept, _ = _spanning(pairs[rest], len(nodes))
+        out.append(rest[kept])
+        rest = np.delete(rest, kept)
+    return np.concatenate(out)
 
 
 def _roots(pairs: np.ndarray, n: int) -> np.ndarray:
@@ -295,10 +311,13 @@ def ball_links(nodes: DataFrame, scheme: Scheme, partners: bool = False) -> Data
         pairs, leaders = _linked(keys, ids[owners], prints[owners], scheme)
         if partners:
             pairs = np.unique(np.sort(owners[pairs], axis=1), axis=0)
-            is_sure = _bits_apart(prints[pairs[:, 0]], prints[pairs[:, 1]]) <= scheme.sure
+            apart = _bits_apart(prints[pairs[:, 0]], prints[pairs[:, 1]])
+            is_sure = apart <= scheme.sure
             tree, part = _spanning(pairs[is_sure], len(ids))
-            pairs = pairs[~is_sure]
-            pairs = pairs[part[pairs[:, 0]] != part[pairs[:, 1]]]
+            tree = pairs[is_sure][tree]
+            other = ~is_sure & (part[pairs[:, 0]] != part[pairs[:, 1]])
+            pairs, apart = pairs[other], apart[other]
+            pairs = pairs[_forests(pairs, apart)]
             links = ids[np.concatenate([tree, pairs])].reshape(-1, 2)
             root = np.arange(len(ids))
         else:
@@ -373,6 +392,24 @@ def near_duplicates(
     return printed.join(named, "prints").select("doc_id", "prints", "component_id")
 
 
+def _fewer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The pairs (a, b, apart) of some spanning forests of each million."""
+
+    def cut() -> pd.DataFrame:
+        pairs = pd.concat(held, ignore_index=True)
+        kept = _forests(pairs[["a", "b"]].to_numpy(), pairs["apart"].to_numpy())
+        return pairs.iloc[kept][["a", "b"]]
+
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= 1_000_000:
+            yield cut()
+            held = []
+    if held:
+        yield cut()
+
+
 def similar_documents(
     docs: DataFrame,
     scheme: Scheme = FIVE_SHINGLES,
@@ -407,7 +444,17 @@ def similar_documents(
     printed = store(rows.mapInPandas(print_sets, "doc_id long, same binary, prints binary"), "prints")
     nodes = store(printed.groupBy("same", "prints").agg(F.min("doc_id").alias("node")), "nodes")
     pairs = ball_links(nodes.select("node", "prints"), scheme, partners=True)
-    pairs = store(pairs.distinct(), "pairs")
+    @F.pandas_udf("int")
+    def bits_apart(left: pd.Series, right: pd.Series) -> pd.Series:
+        a, b = (np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1) for x in (left, right))
+        return pd.Series(np.bitwise_count(a ^ b).sum(1, dtype=np.int32))
+
+    # By their members; the bits in which the prints differ order the pairs.
+    of_a = nodes.select(F.col("node").alias("a"), F.col("prints").alias("left"))
+    of_b = nodes.select(F.col("node").alias("b"), F.col("prints").alias("right"))
+    apart = bits_apart("left", "right").alias("apart")
+    known = pairs.distinct().join(of_a, "a").join(of_b, "b").select("a", "b", apart)
+    pairs = store(known.repartition("b").mapInPandas(_fewer, "a long, b long"), "pairs")
     met = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     shingles = store(
         rows.join(met, "doc_id", "left_semi").mapInPandas(list_sets, "node long, shingles array<long>"),
