@@ -235,8 +235,8 @@ def ball_links(nodes: DataFrame, scheme: Scheme, partners: bool = False) -> Data
     """Links (a, b) between nodes (node long, prints binary).
 
     They stand for the components of near prints. With ``partners`` every link is a pair
-    that was itself compared; of pairs that are sure a spanning part is given, others all
-    but those that sure pairs of the same chunk connect.
+    that was itself compared. Of a chunk's sure pairs a spanning part is given, of its
+    others, between parts that sure pairs do not connect, some spanning forests.
     """
     masks, words = scheme.masks(), scheme.words
     each = scheme.tables * len(masks)
@@ -420,7 +420,8 @@ def similar_documents(
     """doc_id and component_id (smallest id reachable, itself included) of every row.
 
     Rows link when the Jaccard similarity of their sets of shingles is ``least`` or more.
-    Fingerprints propose the pairs; shingles, joined to them, decide. Rows with equal sets
+    Fingerprints propose the pairs, thinned to ``FORESTS`` spanning forests per million;
+    shingles, joined to them, decide. Rows with equal sets
     are one node, and texts without a word have equal sets. Ids must be distinct and not
     null, so a node's name is its smallest id.
     """
