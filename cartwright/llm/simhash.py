@@ -18,10 +18,8 @@ chunk, in the name of the chunk's own component. Equal fingerprints are one node
 the start.
 
 Long fingerprints serve looser similarities: several tables of fewer bits, each with its
-own ball, find the candidates. ``near_duplicates`` lets the distance over all bits decide;
-``similar_documents`` compares the shingles of every candidate pair and links by their
-Jaccard similarity alone. There a member stays in its group until it was ``sure`` to belong
-to a leader or was tried with ``tries`` leaders, as a near fingerprint may be refused.
+own ball. Here a member stays in its group until it was ``sure`` to belong to a leader or
+was tried with ``tries`` leaders. ``similar.py`` has what this leaves out.
 
 Defined results: a null text is an empty one; a text with fewer words than a shingle is
 one shingle; no word at all gives fingerprint zero, linked like any other. Rows with a
@@ -34,16 +32,18 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cartwright.operators.keys import number_in_order
 
-from .common import discard, store
+from .common import store
 from .components import connected_components
 
 GOLDEN = 0x9E3779B97F4A7C15
@@ -105,15 +105,6 @@ class Scheme:
     def words(self) -> int:
         return self.tables * self.bits // 64
 
-    def masks(self) -> np.ndarray:
-        """Flips of at most half the radius, for each table."""
-        flips = [
-            sum(1 << b for b in c)
-            for n in range(self.radius // 2 + 1)
-            for c in combinations(range(self.bits), n)
-        ]
-        return np.array(flips, np.uint64)
-
     def table_prints(self, prints: np.ndarray) -> np.ndarray:
         """(fingerprint, table) from rows of 64-bit words."""
         if self.bits == 64:
@@ -121,6 +112,17 @@ class Scheme:
         return prints.view(f"<u{self.bits // 8}").astype(np.uint64)
 
 
+@lru_cache
+def _masks(scheme: Scheme) -> np.ndarray:
+    """Flips of at most half the radius, for each table."""
+    flips = [
+        sum(1 << b for b in c)
+        for n in range(scheme.radius // 2 + 1)
+        for c in combinations(range(scheme.bits), n)
+    ]
+    return np.array(flips, np.uint64)
+
+
 # Word five-shingles of similarity 0.8: the angle between the shingle vectors is
 # acos(2J / (1 + J)), so 15 % of the bits differ, 155 of 1,024 with a deviation of 11.5.
 # The limit is 2.5 deviations wider, sure is 4 narrower (J of about 0.9). 32 tables of
@@ -154,8 +156,8 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(gaps.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
-def _bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(1)
+def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
 
 
 def _linked(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, scheme: Scheme):
@@ -171,7 +173,7 @@ def _linked(keys: np.ndarray, nodes: np.ndarray, prints: np.ndarray, scheme: Sch
     while len(order):
         first = np.append(True, keys[order][1:] != keys[order][:-1])
         leader = order[first][np.cumsum(first) - 1]
-        apart = _bits_apart(prints[order], prints[leader])
+        apart = bits_apart(prints[order], prints[leader])
         near = apart <= scheme.limit
         linked = near & (order != leader)
         pairs.append(np.stack([leader[linked], order[linked]], 1))
@@ -205,7 +207,7 @@ def _spanning(pairs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 FORESTS = 8
 
 
-def _forests(ids: np.ndarray, apart: np.ndarray) -> np.ndarray:
+def forests(ids: np.ndarray, apart: np.ndarray) -> np.ndarray:
     """Places of the pairs in ``FORESTS`` spanning forests, each of the pairs left by those
     before, the closest first. Between any two sides that few pairs connect all are kept."""
     nodes, pairs = np.unique(ids, return_inverse=True)
@@ -231,34 +233,79 @@ def _roots(pairs: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def ball_links(nodes: DataFrame, scheme: Scheme, partners: bool = False) -> DataFrame:
-    """Links (a, b) between nodes (node long, prints binary).
+@dataclass(frozen=True)
+class Ball:
+    """How variants are dealt: nodes into chunks, hashes of ``hash_bits`` bits into buckets."""
+
+    scheme: Scheme
+    n_chunks: int
+    hash_bits: int
+    bucket_bits: int
+
+    @classmethod
+    def of(cls, count: int, scheme: Scheme) -> Ball:
+        """For so many nodes, whatever partitions they come in."""
+        each = scheme.tables * len(_masks(scheme))
+        total = max(1, count) * each
+        return cls(
+            scheme,
+            n_chunks=-(-max(1, count) // max(1, CHUNK_VARIANTS // each)),
+            hash_bits=min(63, math.ceil(math.log2(total)) + 12),
+            bucket_bits=max(8, math.ceil(math.log2(total / BUCKET_VARIANTS))),
+        )
 
-    They stand for the components of near prints. With ``partners`` every link is a pair
-    that was itself compared. Of a chunk's sure pairs a spanning part is given, of its
-    others, between parts that sure pairs do not connect, some spanning forests.
-    """
-    masks, words = scheme.masks(), scheme.words
-    each = scheme.tables * len(masks)
-    chunk_nodes = max(1, CHUNK_VARIANTS // each)
-    count = max(1, nodes.count())
-    total = count * each
-    # As many chunks as the nodes ask for, whatever partitions they come in.
-    n_chunks = -(-count // chunk_nodes)
-    hash_bits = min(63, math.ceil(math.log2(total)) + 12)
-    bucket_bits = max(8, math.ceil(math.log2(total / BUCKET_VARIANTS)))
-    low_bits = hash_bits - bucket_bits
-    salts = (np.arange(1, scheme.tables + 1, dtype=np.uint64) * np.uint64(GOLDEN))[None, :]
-
-    def hashes(prints: np.ndarray) -> np.ndarray:
+    @property
+    def low_bits(self) -> int:
+        return self.hash_bits - self.bucket_bits
+
+    def chunk(self) -> Column:
+        return F.pmod(F.xxhash64("node"), F.lit(self.n_chunks))
+
+    def shortened(self, variants: np.ndarray) -> np.ndarray:
+        """Hashes of variants, one column (and whatever else) per table."""
+        if self.scheme.tables > 1:
+            steps = np.arange(1, self.scheme.tables + 1, dtype=np.uint64) * np.uint64(GOLDEN)
+            variants = variants ^ mixed(steps).reshape(1, -1, *[1] * (variants.ndim - 2))
+        return mixed(variants) >> np.uint64(64 - self.hash_bits)
+
+    def hashes(self, prints: np.ndarray) -> np.ndarray:
         """Hashes of all variants, a row per fingerprint."""
-        tables = scheme.table_prints(prints)
-        salted = np.broadcast_to(mixed(salts) if scheme.tables > 1 else np.uint64(0), tables.shape)
-        variants = (tables[:, :, None] ^ masks) ^ salted[:, :, None]
-        return (mixed(variants) >> np.uint64(64 - hash_bits)).reshape(len(tables), each)
+        tables = self.scheme.table_prints(prints)
+        return self.shortened(tables[:, :, None] ^ _masks(self.scheme)).reshape(len(tables), -1)
+
+    def words_of(self, data: bytes) -> np.ndarray:
+        return np.frombuffer(data, "<u8").reshape(-1, self.scheme.words)
 
-    def words_of(data: bytes) -> np.ndarray:
-        return np.frombuffer(data, "<u8").reshape(-1, words)
+    def meeting(self, prints: np.ndarray, met: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, place of its fingerprint) for the hashes named in ``met``."""
+        wanted = np.sort(np.concatenate([_unpack(x) for x in met["hashes"]]))
+        low = np.uint64((1 << 24) - 1)
+        maybe = np.zeros(1 << 24, bool)
+        maybe[wanted & low] = True
+        keys, owners = [], []
+        for i in range(0, len(prints), 256):
+            values = self.hashes(prints[i : i + 256])
+            at = np.flatnonzero(maybe[values & low])
+            value = values.reshape(-1)[at]
+            place = np.minimum(np.searchsorted(wanted, value), len(wanted) - 1)
+            hit = wanted[place] == value
+            keys.append(value[hit])
+            owners.append(i + at[hit] // values.shape[1])
+        return np.concatenate(keys), np.concatenate(owners)
+
+
+class Meetings(NamedTuple):
+    """Stored tables: chunks (chunk, ids, prints), and of each the hashes others share."""
+
+    ball: Ball
+    chunks: DataFrame
+    met: DataFrame
+
+
+def meetings(nodes: DataFrame, scheme: Scheme) -> Meetings:
+    """Deal nodes (node long, prints binary) into chunks that tell each other their variants."""
+    ball = Ball.of(nodes.count(), scheme)
+    low_bits, bucket_bits = ball.low_bits, ball.bucket_bits
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
         ids = group["node"].to_numpy("<i8").tobytes()
@@ -268,7 +315,7 @@ def ball_links(nodes: DataFrame, scheme: Scheme, partners: bool = False) -> Data
     def announce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk, prints in zip(batch["chunk"], batch["prints"]):
-                values = np.sort(hashes(words_of(prints)), axis=None)
+                values = np.sort(ball.hashes(ball.words_of(prints)), axis=None)
                 buckets = np.arange((1 << bucket_bits) + 1, dtype=np.uint64) << np.uint64(low_bits)
                 cuts = np.searchsorted(values, buckets)
                 values &= np.uint64((1 << low_bits) - 1)
@@ -290,40 +337,59 @@ def ball_links(nodes: DataFrame, scheme: Scheme, partners: bool = False) -> Data
         rows = [(group["chunk"].iloc[i], _pack(np.unique(values[which == i]))) for i in np.unique(which)]
         return pd.DataFrame(rows, columns=["chunk", "hashes"])
 
+    dealt = nodes.select("node", "prints", ball.chunk().alias("chunk"))
+    chunks = store(
+        dealt.groupBy("chunk").applyInPandas(gather, "chunk long, ids binary, prints binary"),
+        "chunks",
+    )
+    chunks_dealt = chunks.repartitionByRange(min(4096, ball.n_chunks), "chunk")
+    announced = chunks_dealt.mapInPandas(announce, "bucket long, chunk long, hashes binary")
+    met = announced.groupBy("bucket").applyInPandas(meet, "chunk long, hashes binary")
+    return Meetings(ball, chunks, store(met, "met", "none"))
+
+
+def ball_links(nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b) between nodes (node long, prints binary).
+
+    They stand for the components of near prints.
+    """
+    return chunk_links(meetings(nodes, scheme)).select("a", "b")
+
+
+def chunk_links(told: Meetings, partners: bool = False) -> DataFrame:
+    """Links (a, b, apart) by chunks, then by buckets of hashes that chunks share.
+
+    With ``partners`` every link is a pair that was itself compared, ``apart`` bits from each
+    other. Of a chunk's sure pairs a spanning part is given, of its others, between parts
+    that sure pairs do not connect, some spanning forests.
+    """
+    ball, chunks, met = told
+    scheme, low_bits, bucket_bits = ball.scheme, ball.low_bits, ball.bucket_bits
+
     def emit(key: tuple, chunk: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
         columns = ["bucket", "keys", "roots", "prints", "links"]
         if not len(chunk) or not len(met):
             return pd.DataFrame([], columns=columns)
-        wanted = np.sort(np.concatenate([_unpack(x) for x in met["hashes"]]))
-        maybe = np.zeros(1 << 24, bool)
-        maybe[wanted & np.uint64((1 << 24) - 1)] = True
-        ids, prints = np.frombuffer(chunk["ids"].iloc[0], "<i8"), words_of(chunk["prints"].iloc[0])
-        keys, owners = [], []
-        for i in range(0, len(ids), 256):
-            values = hashes(prints[i : i + 256])
-            at = np.flatnonzero(maybe[values & np.uint64((1 << 24) - 1)])
-            value = values.reshape(-1)[at]
-            place = np.minimum(np.searchsorted(wanted, value), len(wanted) - 1)
-            hit = wanted[place] == value
-            keys.append(value[hit])
-            owners.append(i + at[hit] // each)
-        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        ids, prints = np.frombuffer(chunk["ids"].iloc[0], "<i8"), ball.words_of(chunk["prints"].iloc[0])
+        keys, owners = ball.meeting(prints, met)
         pairs, leaders = _linked(keys, ids[owners], prints[owners], scheme)
         if partners:
             pairs = np.unique(np.sort(owners[pairs], axis=1), axis=0)
-            apart = _bits_apart(prints[pairs[:, 0]], prints[pairs[:, 1]])
+            apart = bits_apart(prints[pairs[:, 0]], prints[pairs[:, 1]])
             is_sure = apart <= scheme.sure
             tree, part = _spanning(pairs[is_sure], len(ids))
             tree = pairs[is_sure][tree]
             other = ~is_sure & (part[pairs[:, 0]] != part[pairs[:, 1]])
             pairs, apart = pairs[other], apart[other]
-            pairs = pairs[_forests(pairs, apart)]
-            links = ids[np.concatenate([tree, pairs])].reshape(-1, 2)
+            few = forests(pairs, apart)
+            pairs = np.concatenate([tree, pairs[few]])
+            apart = np.append(bits_apart(prints[tree[:, 0]], prints[tree[:, 1]]), apart[few])
+            links = np.column_stack([ids[pairs], apart])
             root = np.arange(len(ids))
         else:
             root = _roots(owners[pairs], len(ids))
             inner = np.flatnonzero(root != np.arange(len(ids)))
-            links = np.stack([ids[root[inner]], ids[inner]], 1)
+            links = np.stack([ids[root[inner]], ids[inner], np.zeros(len(inner), np.int64)], 1)
         keys, owners = keys[leaders], owners[leaders]
         buckets = keys >> np.uint64(low_bits)
         order = np.argsort(buckets, kind="stable")
@@ -340,29 +406,21 @@ def ball_links(nodes: DataFrame, scheme: Scheme, partners: bool = False) -> Data
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(group["keys"]), "<u8")
         roots = np.frombuffer(b"".join(group["roots"]), "<i8")
-        pairs = np.frombuffer(b"".join(group["links"]), "<i8").reshape(-1, 2)
+        pairs = np.frombuffer(b"".join(group["links"]), "<i8").reshape(-1, 3)
         if len(keys):
-            found, _ = _linked(keys, roots, words_of(b"".join(group["prints"])), scheme)
-            met = np.sort(roots[found], axis=1)
+            prints = ball.words_of(b"".join(group["prints"]))
+            found, _ = _linked(keys, roots, prints, scheme)
+            apart = bits_apart(prints[found[:, 0]], prints[found[:, 1]]) if partners else 0 * found[:, 0]
+            met = np.column_stack([np.sort(roots[found], axis=1), apart])
             pairs = np.concatenate([pairs, np.unique(met[met[:, 0] != met[:, 1]], axis=0)])
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        return pd.DataFrame(pairs, columns=["a", "b", "apart"])
 
-    dealt = nodes.select("node", "prints", F.pmod(F.xxhash64("node"), F.lit(n_chunks)).alias("chunk"))
-    chunks = store(
-        dealt.groupBy("chunk").applyInPandas(gather, "chunk long, ids binary, prints binary"),
-        "chunks",
-    )
-    chunks_dealt = chunks.repartitionByRange(min(4096, n_chunks), "chunk")
-    announced = chunks_dealt.mapInPandas(announce, "bucket long, chunk long, hashes binary")
-    met = store(
-        announced.groupBy("bucket").applyInPandas(meet, "chunk long, hashes binary"), "met", "none"
-    )
     kept = (
         chunks.groupBy("chunk")
         .cogroup(met.groupBy("chunk"))
         .applyInPandas(emit, "bucket long, keys binary, roots binary, prints binary, links binary")
     )
-    return kept.groupBy("bucket").applyInPandas(verify, "a long, b long")
+    return kept.groupBy("bucket").applyInPandas(verify, "a long, b long, apart long")
 
 
 def near_duplicates(
@@ -390,94 +448,3 @@ def near_duplicates(
     smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
     named = store(labelled.join(smallest, "component").select("prints", "component_id"), "named")
     return printed.join(named, "prints").select("doc_id", "prints", "component_id")
-
-
-def _fewer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The pairs (a, b, apart) of some spanning forests of each million."""
-
-    def cut() -> pd.DataFrame:
-        pairs = pd.concat(held, ignore_index=True)
-        kept = _forests(pairs[["a", "b"]].to_numpy(), pairs["apart"].to_numpy())
-        return pairs.iloc[kept][["a", "b"]]
-
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(map(len, held)) >= 1_000_000:
-            yield cut()
-            held = []
-    if held:
-        yield cut()
-
-
-def similar_documents(
-    docs: DataFrame,
-    scheme: Scheme = FIVE_SHINGLES,
-    least: float = 0.8,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-) -> DataFrame:
-    """doc_id and component_id (smallest id reachable, itself included) of every row.
-
-    Rows link when the Jaccard similarity of their sets of shingles is ``least`` or more.
-    Fingerprints propose the pairs, thinned to ``FORESTS`` spanning forests per million;
-    shingles, joined to them, decide. Rows with equal sets
-    are one node, and texts without a word have equal sets. Ids must be distinct and not
-    null, so a node's name is its smallest id.
-    """
-
-    def sets(texts: pd.Series) -> list[np.ndarray]:
-        return [np.unique(shingle_hashes(t, scheme.shingle)) for t in texts]
-
-    def print_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = sets(batch["text"])
-            same = [xxhash.xxh3_128_digest(x.tobytes()) for x in found]
-            prints = [fingerprint(x, scheme.words) for x in found]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "same": same, "prints": prints})
-
-    def list_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [x.view(np.int64) for x in sets(batch["text"])]
-            yield pd.DataFrame({"node": batch["doc_id"], "shingles": found})
-
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    printed = store(rows.mapInPandas(print_sets, "doc_id long, same binary, prints binary"), "prints")
-    nodes = store(printed.groupBy("same", "prints").agg(F.min("doc_id").alias("node")), "nodes")
-    pairs = ball_links(nodes.select("node", "prints"), scheme, partners=True)
-    @F.pandas_udf("int")
-    def bits_apart(left: pd.Series, right: pd.Series) -> pd.Series:
-        a, b = (np.frombuffer(b"".join(x), np.uint8).reshape(len(x), -1) for x in (left, right))
-        return pd.Series(np.bitwise_count(a ^ b).sum(1, dtype=np.int32))
-
-    # By their members; the bits in which the prints differ order the pairs.
-    of_a = nodes.select(F.col("node").alias("a"), F.col("prints").alias("left"))
-    of_b = nodes.select(F.col("node").alias("b"), F.col("prints").alias("right"))
-    apart = bits_apart("left", "right").alias("apart")
-    known = pairs.distinct().join(of_a, "a").join(of_b, "b").select("a", "b", apart)
-    pairs = store(known.repartition("b").mapInPandas(_fewer, "a long, b long"), "pairs")
-    met = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    shingles = store(
-        rows.join(met, "doc_id", "left_semi").mapInPandas(list_sets, "node long, shingles array<long>"),
-        "shingles",
-    )
-    of_a = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    of_b = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    total = F.size("left") + F.size("right") - shared
-    links = (
-        pairs.join(of_a, "a")
-        .join(of_b, "b")
-        .where(shared >= F.lit(least) * total - F.lit(1e-9))
-        .select("a", "b")
-    )
-    parts = connected_components(links)
-    named = store(
-        nodes.join(parts, "node", "left").select(
-            "same", F.coalesce("component", "node").alias("component_id")
-        ),
-        "named",
-    )
-    for done in (pairs, shingles, nodes):
-        discard(done)
-    return printed.join(named, "same").select("doc_id", "component_id")

@@ -1,5 +1,6 @@
 """Components, near-duplicates, leaks and repeated strings against brute force."""
 
+import dataclasses
 import os
 import random
 
@@ -9,7 +10,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
 
-from cartwright.llm import decontaminate, embed_dedup, simhash, suffix_dedup
+from cartwright.llm import decontaminate, embed_dedup, similar, simhash, suffix_dedup
 from cartwright.llm.components import connected_components
 
 
@@ -130,7 +131,7 @@ def test_similar_documents_at_the_threshold(spark):
         texts[2 * i + 1] = " ".join(words)
         expected[i] = jaccard(texts[2 * i], texts[2 * i + 1])
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
-    found = {x.doc_id: x.component_id for x in simhash.similar_documents(docs).collect()}
+    found = {x.doc_id: x.component_id for x in similar.similar_documents(docs).collect()}
     linked = {i for i in expected if found[2 * i + 1] == 2 * i}
     near = {i for i, j in expected.items() if j >= 0.8}
     assert sum(0.7 <= j < 0.8 for j in expected.values()) > 100 < len(near)
@@ -151,14 +152,68 @@ def test_similar_documents_hold_families_and_odd_rows(spark):
             changed[r.randrange(300)] = r.choice(vocabulary)
         rows.append((1000 + i, " ".join(changed)))
     docs = spark.createDataFrame([(*x, 1, "x") for x in rows], "doc_id long, text string, node int, same string")
-    found = {x.doc_id: x.component_id for x in simhash.similar_documents(docs.repartition(4)).collect()}
+    found = {x.doc_id: x.component_id for x in similar.similar_documents(docs.repartition(4)).collect()}
     family = [x for x in rows if x[0] >= 1000]
     pairs = [(i, j) for i in range(120) for j in range(i) if jaccard(family[i][1], family[j][1]) >= 0.8]
     parts = united(range(120), pairs)
     got = [found[1000 + i] for i in range(120)]
     assert sum((parts[i] == parts[j]) == (got[i] == got[j]) for i in range(120) for j in range(i)) >= 0.98 * 7140
     assert [found[i] for i in range(100, 110)] == [100, 100, 100, 103, 103, 105, 106, 106, 108, 109]
-    assert simhash.similar_documents(docs.limit(0)).count() == 0
+    assert similar.similar_documents(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [similar.BLOCK, 40])
+def test_crossing_pairs_are_all_pairs_of_different_parts(spark, monkeypatch, block):
+    scheme = simhash.Scheme(shingle=5, tables=4, bits=32, radius=2, limit=14, sure=3, tries=1)
+    monkeypatch.setattr(simhash, "CHUNK_VARIANTS", 20 * 4 * 33)  # some ten chunks
+    r = random.Random(41)
+    seed, prints = r.getrandbits(128), []
+    for i in range(220):  # one family, pairs of neighbours, and strangers
+        start = seed if i < 120 else prints[-1] if i % 2 else r.getrandbits(128)
+        prints.append(start ^ sum(1 << b for b in r.sample(range(128), r.randrange(0, 9))))
+    prints = sorted(set(prints))
+    parts = {i: i if r.random() < 0.2 else r.randrange(3) for i in range(len(prints))}
+    parts = {i: min(j for j in parts if parts[j] == p) for i, p in parts.items()}
+    rows = [(i, bytearray(p.to_bytes(16, "little"))) for i, p in enumerate(prints)]
+    nodes = spark.createDataFrame(rows, "node long, prints binary").repartition(3)
+    named = [(i, p) for i, p in parts.items() if sum(q == p for q in parts.values()) > 1]
+    told = simhash.meetings(nodes, scheme)
+    assert told.ball.n_chunks > 5
+    out = similar.crossing_pairs(told, spark.createDataFrame(named, "node long, component long"), block)
+
+    def meet(a, b):
+        apart = prints[a] ^ prints[b]
+        return apart.bit_count() <= 14 and any((apart >> 32 * t & 0xFFFFFFFF).bit_count() <= 2 for t in range(4))
+
+    pairs = [(a, b) for b in range(len(prints)) for a in range(b) if parts[a] != parts[b] and meet(a, b)]
+    assert len(pairs) > 1000
+    assert sorted(tuple(x) for x in out.collect()) == sorted((a, b, parts[a], parts[b]) for a, b in pairs)
+
+
+def test_similar_documents_lose_no_link_of_a_dense_family(spark, monkeypatch):
+    # With one partner tried and one forest kept, the second pass must find the rest.
+    monkeypatch.setattr(simhash, "CHUNK_VARIANTS", 40 * 32 * 33)
+    r = random.Random(43)
+    vocabulary = ["".join(r.choices("abcdefghij", k=6)) for _ in range(5000)]
+    words = r.choices(vocabulary, k=300)
+    texts = []
+    for _ in range(300):  # most pairs lie near the threshold, on either side
+        changed = list(words)
+        for _ in range(r.randrange(2, 7)):
+            changed[r.randrange(300)] = r.choice(vocabulary)
+        texts.append(" ".join(changed))
+    scheme = dataclasses.replace(simhash.FIVE_SHINGLES, tries=1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    found = {x.doc_id: x.component_id for x in similar.similar_documents(docs, scheme).collect()}
+    sets = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    tables = np.array([np.frombuffer(simhash.fingerprint(x, 16), "<u4") for x in sets])
+    links = []
+    for b in range(300):
+        for a in range(b):
+            bits = np.bitwise_count(tables[a] ^ tables[b])
+            if jaccard(texts[a], texts[b]) >= 0.8 and bits.sum() <= scheme.limit and bits.min() <= 2:
+                links.append((a, b))
+    assert found == united(range(300), links)
 
 
 # ---- embeddings -------------------------------------------------------------------
