@@ -12,7 +12,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartwright.llm import decontaminate, packing, quality, secrets, simhash
+from cartwright.llm import decontaminate, packing, quality, secrets, similar, simhash
 from cartwright.llm.common import store, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,7 +37,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The row with the smallest id of each group; links are pairs of similarity 0.8 or more
     (Jaccard, five-word shingles), counted exactly."""
     rows = _numbered(docs)
-    groups = simhash.similar_documents(rows, simhash.FIVE_SHINGLES, least=0.8, id_column="row")
+    groups = similar.similar_documents(rows, simhash.FIVE_SHINGLES, least=0.8, id_column="row")
     groups = groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("part"))
     ids = rows.select("row", "doc_id").join(groups, "row")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
