@@ -91,6 +91,7 @@ class Scheme:
     """``tables`` fingerprints of ``bits`` bits within ``radius``; all bits within ``limit``.
 
     Pairs within ``sure`` bits need no other partner in their group, others up to ``tries``.
+    Pairs beyond ``likely`` bits are left to the second pass of ``similar.py``.
     """
 
     shingle: int
@@ -99,6 +100,7 @@ class Scheme:
     radius: int = 4
     limit: int = 4
     sure: int | None = None
+    likely: int | None = None
     tries: int = 1
 
     @property
@@ -127,7 +129,7 @@ def _masks(scheme: Scheme) -> np.ndarray:
 # acos(2J / (1 + J)), so 15 % of the bits differ, 155 of 1,024 with a deviation of 11.5.
 # The limit is 2.5 deviations wider, sure is 4 narrower (J of about 0.9). 32 tables of
 # 32 bits within 2 bits find a pair at 0.8 with probability 0.98, closer ones more surely.
-FIVE_SHINGLES = Scheme(shingle=5, tables=32, bits=32, radius=2, limit=184, sure=109, tries=4)
+FIVE_SHINGLES = Scheme(shingle=5, tables=32, bits=32, radius=2, limit=184, sure=109, likely=155, tries=4)
 FOUR_SHINGLES = Scheme(shingle=4)
 
 CHUNK_VARIANTS = 1 << 22
@@ -204,7 +206,8 @@ def _spanning(pairs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(kept, np.int64), np.array([find(x) for x in range(n)], np.int64)
 
 
-FORESTS = 8
+# Of the first pass only; similar.py tries what these leave out.
+FORESTS = 3
 
 
 def forests(ids: np.ndarray, apart: np.ndarray) -> np.ndarray:
@@ -365,6 +368,7 @@ def chunk_links(told: Meetings, partners: bool = False) -> DataFrame:
     """
     ball, chunks, met = told
     scheme, low_bits, bucket_bits = ball.scheme, ball.low_bits, ball.bucket_bits
+    likely = scheme.limit if scheme.likely is None else scheme.likely
 
     def emit(key: tuple, chunk: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
         columns = ["bucket", "keys", "roots", "prints", "links"]
@@ -379,7 +383,7 @@ def chunk_links(told: Meetings, partners: bool = False) -> DataFrame:
             is_sure = apart <= scheme.sure
             tree, part = _spanning(pairs[is_sure], len(ids))
             tree = pairs[is_sure][tree]
-            other = ~is_sure & (part[pairs[:, 0]] != part[pairs[:, 1]])
+            other = ~is_sure & (apart <= likely) & (part[pairs[:, 0]] != part[pairs[:, 1]])
             pairs, apart = pairs[other], apart[other]
             few = forests(pairs, apart)
             pairs = np.concatenate([tree, pairs[few]])
@@ -411,7 +415,7 @@ def chunk_links(told: Meetings, partners: bool = False) -> DataFrame:
             prints = ball.words_of(b"".join(group["prints"]))
             found, _ = _linked(keys, roots, prints, scheme)
             apart = bits_apart(prints[found[:, 0]], prints[found[:, 1]]) if partners else 0 * found[:, 0]
-            met = np.column_stack([np.sort(roots[found], axis=1), apart])
+            met = np.column_stack([np.sort(roots[found], axis=1), apart])[apart <= likely]
             pairs = np.concatenate([pairs, np.unique(met[met[:, 0] != met[:, 1]], axis=0)])
         return pd.DataFrame(pairs, columns=["a", "b", "apart"])
 

@@ -40,6 +40,7 @@ from .simhash import (
 )
 
 BLOCK = 8192
+FOREST_PAIRS = 1 << 20
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -234,21 +235,10 @@ def crossing_pairs(told: Meetings, parts: DataFrame, block: int = BLOCK) -> Data
 
 
 def _fewer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The pairs (a, b, apart) of some spanning forests of each million."""
-
-    def cut() -> pd.DataFrame:
-        pairs = pd.concat(held, ignore_index=True)
-        kept = forests(pairs[["a", "b"]].to_numpy(), pairs["apart"].to_numpy())
-        return pairs.iloc[kept][["a", "b"]]
-
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(map(len, held)) >= 1_000_000:
-            yield cut()
-            held = []
-    if held:
-        yield cut()
+    """The pairs (a, b, apart) of some spanning forests of a partition."""
+    pairs = pd.concat([pd.DataFrame([], columns=["a", "b", "apart"], dtype="int64"), *batches])
+    kept = forests(pairs[["a", "b"]].to_numpy(), pairs["apart"].to_numpy())
+    yield pairs.iloc[kept][["a", "b"]]
 
 
 def similar_documents(
@@ -301,8 +291,10 @@ def similar_documents(
     printed = store(rows.mapInPandas(print_sets, "doc_id long, same binary, prints binary"), "prints")
     nodes = store(printed.groupBy("same", "prints").agg(F.min("doc_id").alias("node")), "nodes")
     told = meetings(nodes.select("node", "prints"), scheme)
-    few = chunk_links(told, partners=True).distinct().repartition("b")
-    tried = store(few.mapInPandas(_fewer, "a long, b long"), "tried")
+    proposed = store(chunk_links(told, partners=True).distinct(), "proposed")
+    # As many partitions as the pairs ask for, whatever number shuffles have.
+    dealt = proposed.repartition(-(-max(1, proposed.count()) // FOREST_PAIRS))
+    tried = store(dealt.mapInPandas(_fewer, "a long, b long").distinct(), "tried")
     parts = connected_components(alike(tried, "alike"))
 
     crossing = crossing_pairs(told, parts)
@@ -312,6 +304,6 @@ def similar_documents(
     named = nodes.join(parts, "node", "left").select("same", F.coalesce("component", "node").alias("part"))
     named = named.join(whole, "part", "left").select("same", F.coalesce("whole", "part").alias("component_id"))
     named = store(named, "named")
-    for done in (nodes, told.chunks, told.met, tried, parts, crossing):
+    for done in (nodes, told.chunks, told.met, proposed, tried, parts, crossing):
         discard(done)
     return printed.join(named, "same").select("doc_id", "component_id")
