@@ -143,6 +143,28 @@ SMALL_SKEW = {
 }
 
 
+def test_order_facts_shuffle_their_lines_once(spark):
+    """The lines of a hot order are split, all others are folded where they met their order."""
+    n = 30_000
+    lines = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("o7")).otherwise(F.concat(F.lit("o"), F.col("id") % 500)).alias("orderId"),
+        (F.col("id") % 1_000).alias("id"),
+        F.concat(F.lit("c"), F.col("id") % 7).alias("category"),
+        (F.col("id") % 11 / 8).alias("price"),
+        (F.col("id") % 5).cast("int").alias("quantity"),
+        F.lit(10.0).alias("discountPercentage"),
+    )
+    orders = spark.range(400).select(F.concat(F.lit("o"), F.col("id")).alias("order_id"))
+    with conf(spark, **SMALL_SKEW):
+        sums = E.line_sums_of(orders, lines)
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan(sums))
+        assert len(keys) == 2 and not [k for k in keys if "category" in k or "product_id" in k]
+        got = {r.order_id: r for r in sums.collect()}
+        assert "skew=true" in plan(sums, final=True)
+    want = {r.order_id: r for r in E.line_sums(lines).collect() if int(r.order_id[1:]) < 400}
+    assert got == want and len(got) == 400
+
+
 def test_hot_customer_is_split(spark):
     carts, users = _skewed(spark)
     with conf(spark, **SMALL_SKEW):
