@@ -54,6 +54,19 @@ def last_per_key(df: DataFrame, key: str, *seq: str) -> DataFrame:
     return df.groupBy(key).agg(F.max(F.struct(*ordered, *rest)).alias("_last")).select(*picked)
 
 
+def has_repeats(df: DataFrame, key: str) -> bool:
+    """Whether a key (null counts as one) has more than one row. Reads the key alone, combined
+    on the map side."""
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return not counted.where("n > 1").isEmpty()
+
+
+def last_if_repeated(df: DataFrame, key: str, *seq: str) -> DataFrame:
+    """``last_per_key`` for rows that are stored or cheap to read: when no key repeats, the
+    rows stay where they are, and only their keys are moved to see that."""
+    return last_per_key(df, key, *seq) if has_repeats(df, key) else df
+
+
 def dedupe_users(users: DataFrame, *seq: str) -> DataFrame:
     """One row per user id: the last in the order of ``seq``.
 

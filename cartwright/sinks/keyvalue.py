@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.keys import last_per_key
+from ..operators.keys import last_if_repeated
 from ..schemas import WRITE_STATUS
 from ..session import scratch_path
 from ..sources.tables import load_write_status
@@ -72,6 +72,9 @@ def _put(
     waiting = 0
     for batch in batches:
         refused = _refused(writer, batch)
+        if resend.attempts == 1:  # nothing is kept for a second attempt
+            yield pd.DataFrame({"record_id": batch["record_id"], "written": ~refused})
+            continue
         yield status(batch[~refused], True)
         if refused.any():
             queue.append(batch[refused])
@@ -107,7 +110,7 @@ def write_kv(
     # Writing the attempts is what runs the puts, once per task.
     spark = items.sparkSession
     attempts = scratch_path(spark, "attempts")
-    last_per_key(items, "record_id").mapInPandas(put, WRITE_STATUS).write.parquet(attempts)
+    last_if_repeated(items, "record_id").mapInPandas(put, WRITE_STATUS).write.parquet(attempts)
     status = spark.read.schema(WRITE_STATUS).parquet(attempts)
     if all_or_nothing:
         whole = status.agg(F.coalesce(F.bool_and("written"), F.lit(True)).alias("w")).scalar()
@@ -117,7 +120,7 @@ def write_kv(
 
 def store_items(items: DataFrame, name: str, root: str, status_path: str) -> DataFrame:
     """The same without a key-value store: keep the items as one table keyed by record_id."""
-    stored = publish_table(last_per_key(items, "record_id"), name, root)
+    stored = publish_table(last_if_repeated(items, "record_id"), name, root)
     return _stored(stored.select("record_id", F.lit(True).alias("written")), status_path)
 
 

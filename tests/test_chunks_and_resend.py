@@ -106,3 +106,17 @@ def test_files_follow_one_another(spark, tmp_path):
     assert [r.a for r in rows] == list(range(999, -1, -1))
     nothing = sinks.write_ordered(df.limit(0), str(tmp_path / "e"), "a")
     assert sources.read_ordered(spark, nothing, df.schema).collect() == []
+
+
+def test_unique_keys_stay_where_they_are(spark):
+    """Rows move only when a key repeats; a null key counts as one."""
+    from cartwright.operators.keys import last_if_repeated
+
+    rows = spark.range(100).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    kept = last_if_repeated(rows, "k")
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(kept.collect()) == sorted(rows.collect())
+    twice = rows.unionByName(spark.sql("SELECT '7' AS k, 900L AS v"))
+    assert {r.k: r.v for r in last_if_repeated(twice, "k").collect()}["7"] == 900
+    null = spark.sql("SELECT CAST(NULL AS string) AS k, 1L AS v UNION ALL SELECT NULL, 2L")
+    assert [tuple(r) for r in last_if_repeated(null, "k").collect()] == [(None, 2)]
