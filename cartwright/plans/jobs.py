@@ -164,6 +164,7 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
         cfg.as_of,
         defaults=CUSTOMER_DEFAULTS,
         contract=CUSTOMER_CONTRACT,
+        published=True,
     )
     stored_orders = upsert_table(
         orders,
@@ -173,6 +174,7 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
         cfg.as_of,
         defaults=ORDER_DEFAULTS,
         contract=ORDER_CONTRACT,
+        published=True,
     )
     customer_docs = write_documents(
         customers,
@@ -180,9 +182,15 @@ def run_serving(spark: SparkSession, cfg: JobConfig) -> dict:
         "customer_id",
         cfg.table("customer_documents"),
         cfg.root,
+        published=True,
     )
     order_docs = write_documents(
-        orders, ORDER_DOCUMENT_FIELDS, "order_id", cfg.table("order_documents"), cfg.root
+        orders,
+        ORDER_DOCUMENT_FIELDS,
+        "order_id",
+        cfg.table("order_documents"),
+        cfg.root,
+        published=True,
     )
     return figures | {
         "broken_documents": carts.broken_count() + users.broken_count(),

@@ -9,15 +9,19 @@ from ..sources.tables import CSV_TEXT
 
 
 def write_raw_json(df: DataFrame, path: str) -> str:
-    """Replace the raw snapshot: one JSON document per line, many files."""
-    df.write.mode("overwrite").json(path)
+    """Replace the raw snapshot: one JSON document per line, many gzip files.
+
+    A gzip file is read by one task, so the snapshot has as many tasks as wrote it.
+    """
+    df.write.mode("overwrite").option("compression", "gzip").json(path)
     return path
 
 
 def write_processed_csv(df: DataFrame, path: str) -> str:
     """Replace the processed snapshot. Quotes are doubled and nulls are written as
     ``\\N``, so any text survives, the empty one too; ``read_processed_csv`` reads it."""
-    df.write.mode("overwrite").option("header", True).options(**CSV_TEXT, emptyValue='""').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("compression", "gzip")
+    writer.options(**CSV_TEXT, emptyValue='""').csv(path)
     return path
 
 

@@ -32,7 +32,7 @@ from ..operators.gate import (
     repeated_keys,
 )
 from ..operators.items import to_documents
-from ..operators.keys import last_per_key
+from ..operators.keys import last_if_repeated
 from ..operators.store import AUDIT, empty_store, evolve, merge_rows, upsert_counts
 from ..schemas import Contract
 
@@ -166,7 +166,7 @@ def _handed_over(
     path = f"{root}/handover/{uuid.uuid4().hex}"
     seen = Observation()
     counts = [c.alias(n) for n, c in figures.items()]
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.option("compression", "zstd").parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return path, stored, {n: seen.get.get(n, 0) for n in ("rows", *figures)}
 
@@ -193,21 +193,25 @@ def _rewrite_buckets(
     name: str,
     key: str,
     root: str,
-    merge: Callable[[DataFrame], DataFrame],
     columns: T.StructType,
+    put: dict[str, Column],
     defaults: dict | None,
     buckets: int,
 ) -> dict[str, int]:
-    """Put ``merge(rows stored so far)`` in place of the buckets that the batch touches.
-
-    A table without buckets or with other columns is rewritten whole. ``merge`` returns
-    the columns and ``created``; rows with it are counted in the writing pass.
+    """Put the rows of ``batch`` over the stored rows with their keys, in the buckets that
+    it touches.
+
+    ``batch`` is unique by key. ``put`` tells the columns of a key that the batch brings, from
+    its row ``new`` and the stored one ``old``, null if there was none; other stored rows
+    stay. A table without buckets or with other columns is rewritten whole. Rows meet by
+    their bucket, which is also how they are written, so both sides move once. Figures are
+    counted in the writing pass: keys ``created``, and ``rows`` brought.
     """
     spark = batch.sparkSession
     _ensure_namespace(spark, name)
     exists = spark.catalog.tableExists(name)
     n = _stored_buckets(spark, name)
-    stored = spark.table(name) if exists else spark.createDataFrame([], columns)
+    stored = spark.table(name) if exists else None
     same = n is not None and [(f.name, f.dataType) for f in stored.drop(BUCKET).schema] == [
         (f.name, f.dataType) for f in columns
     ]
@@ -215,19 +219,38 @@ def _rewrite_buckets(
     if same:
         touched = [r[0] for r in batch.select(bucket_of(key, n)).distinct().collect()]
         if not touched:
-            return {"created": 0}
+            return {"created": 0, "rows": 0}
         stored = stored.where(F.col(BUCKET).isin(touched))
-    merged = merge(evolve(stored, columns, defaults))
+    names = columns.fieldNames()
+    new = batch.select(
+        F.col(key), F.struct(*batch.columns).alias("new"), bucket_of(key, n).alias(BUCKET)
+    )
+    if stored is None:
+        met = new.withColumn("old", F.lit(None).cast(columns))
+    else:
+        old = evolve(stored, columns, defaults).select(
+            F.col(key), F.struct(*names).alias("old"), bucket_of(key, n).alias(BUCKET)
+        )
+        together = old.unionByName(new, allowMissingColumns=True).repartition(BUCKET)
+        # A key has one row of each kind at most; rows without a key meet none.
+        alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+        met = (
+            together.withColumn("_alone", alone)
+            .groupBy(BUCKET, key, "_alone")
+            .agg(F.max("old").alias("old"), F.max("new").alias("new"))
+        )
+    fresh = F.col("new").isNotNull()
     seen = Observation()
     location = _new_location(root, name)
-    (
-        merged.observe(seen, F.count_if("created").alias("created"))
-        .select(*columns.fieldNames(), bucket_of(key, n).alias(BUCKET))
+    rows = met.observe(
+        seen,
+        F.count_if(fresh & F.col("old").isNull()).alias("created"),
+        F.count_if(fresh).alias("rows"),
+    ).select(*[F.when(fresh, put[c]).otherwise(F.col(f"old.{c}")).alias(c) for c in names], BUCKET)
+    if stored is None:
         # Rows of a bucket together, large buckets split by their size.
-        .hint("rebalance", BUCKET)
-        .write.partitionBy(BUCKET)
-        .parquet(location)
-    )
+        rows = rows.hint("rebalance", BUCKET)
+    rows.write.option("compression", "zstd").partitionBy(BUCKET).parquet(location)
     if same:
         known = _bucket_locations(spark, name)
         for b in touched:
@@ -242,7 +265,7 @@ def _rewrite_buckets(
             f"PARTITIONED BY ({BUCKET}) LOCATION '{location}' TBLPROPERTIES ('buckets' = '{n}')"
         )
         spark.catalog.recoverPartitions(name)
-    return {"created": seen.get.get("created", 0)}
+    return {c: seen.get.get(c, 0) for c in ("created", "rows")}
 
 
 def merge_statement(name: str, source: str, key: str, columns: list[str]) -> str:
@@ -268,6 +291,7 @@ def upsert_table(
     defaults: dict | None = None,
     contract: Contract | None = None,
     buckets: int = BUCKETS,
+    published: bool = False,
 ) -> tuple[int, int]:
     """Upsert into a stored table in one step; (created, updated).
 
@@ -278,9 +302,14 @@ def upsert_table(
 
     Rows that break the ``contract`` refuse the batch (``ContractError``); they are kept
     as ``<name>_quarantine``. A repeated key is no fault here: its last row wins.
+
+    ``published`` says that ``incoming`` is a table that ``publish_table`` stored under this
+    contract: it is neither stored nor judged again, and its keys are unique.
     """
     spark = incoming.sparkSession
-    if contract is not None:
+    if published:
+        batch, rows = incoming, None
+    elif contract is not None:
         _, judged = _judged(incoming, root, contract, unique=False)
         if judged.broken:
             _quarantine(judged, name, root, refuse=True)
@@ -289,7 +318,7 @@ def upsert_table(
         _, batch, counts = _handed_over(incoming, root, {})
         rows = counts["rows"]
     columns = T.StructType([*batch.schema, *empty_store(batch).schema[-len(AUDIT) :]])
-    latest = last_per_key(batch, key, *seq)
+    latest = batch if published else last_if_repeated(batch, key, *seq)
     if _is_v2(spark, name):
         existing = spark.table(name) if spark.catalog.tableExists(name) else empty_store(batch)
         created, updated = upsert_counts(evolve(existing, columns, defaults), batch, key).first()
@@ -301,11 +330,11 @@ def upsert_table(
         spark.sql(merge_statement(name, view, key, batch.columns))
         return created, updated
 
-    def merge(existing: DataFrame) -> DataFrame:
-        return merge_rows(existing, latest, key, as_of)
-
-    done = _rewrite_buckets(batch, name, key, root, merge, columns, defaults, buckets)
-    return done["created"], rows - done["created"]
+    now = as_of_timestamp(as_of)
+    put = {c: F.col(f"new.{c}") for c in batch.columns}
+    put |= {"created_at": F.coalesce("old.created_at", now), "updated_at": now}
+    done = _rewrite_buckets(latest, name, key, root, columns, put, defaults, buckets)
+    return done["created"], (done["rows"] if rows is None else rows) - done["created"]
 
 
 def write_documents(
@@ -315,27 +344,32 @@ def write_documents(
     name: str,
     root: str,
     buckets: int = BUCKETS,
+    published: bool = False,
 ) -> int:
     """Write documents by id, replacing those with the same id; rows written.
 
     The store is a table (doc_id, doc) in buckets of the id. Without rows nothing is
-    written.
+    written. ``published`` as in ``upsert_table``, with a contract on ``id_field``.
     """
-    documents = to_documents(df, fields, id_field)
-    _, batch, seen = _handed_over(documents, root, {})
-    if seen["rows"] == 0:
+    latest = to_documents(df, fields, id_field)
+    rows = None
+    if not published:
+        _, batch, seen = _handed_over(latest, root, {})
+        rows = seen["rows"]
+        if rows == 0:
+            return 0
+        latest = last_if_repeated(batch, "doc_id")
+    elif latest.isEmpty():
         return 0
-    latest = last_per_key(batch, "doc_id")
 
     def merge(existing: DataFrame) -> DataFrame:
-        kept = existing.join(latest, "doc_id", "left_anti")
-        return kept.unionByName(latest).withColumn("created", F.lit(False))
+        return existing.join(latest, "doc_id", "left_anti").unionByName(latest)
 
     if _is_v2(df.sparkSession, name):
         exists = df.sparkSession.catalog.tableExists(name)
         whole = merge(df.sparkSession.table(name)) if exists else latest
         publish_table(whole.select("doc_id", "doc"), name, root)
-    else:
-        columns = T.StructType([batch.schema["doc_id"], batch.schema["doc"]])
-        _rewrite_buckets(batch, name, "doc_id", root, merge, columns, None, buckets)
-    return seen["rows"]
+        return latest.count() if rows is None else rows
+    put = {c: F.col(f"new.{c}") for c in ("doc_id", "doc")}
+    done = _rewrite_buckets(latest, name, "doc_id", root, latest.schema, put, None, buckets)
+    return done["rows"] if rows is None else rows

@@ -235,3 +235,30 @@ def test_unparsable_signup_loses(spark):
     rows = [(1, "not a date"), (1, "2024-01-01T10:00:00+02:00"), (1, "2024-01-01T09:00:00Z"), (2, None)]
     users = spark.createDataFrame(rows, "id long, createdAt string")
     assert {r.id: r.createdAt for r in dedupe_users(users).collect()} == {1: "2024-01-01T09:00:00Z", 2: None}
+
+
+def test_published_tables_are_not_stored_again(spark, tmp_path):
+    """One hand-over folder per published table; stores and documents read it."""
+    users = [{"id": i, "firstName": f"F{i}", "email": f"u{i}@x.y"} for i in range(1, 6)]
+    (tmp_path / "users.json").write_text("\n".join(map(json.dumps, users)))
+    cfg = jobs.JobConfig(
+        root=str(tmp_path / "out"), as_of="1999-01-01", n_orders=30, namespace="run_once",
+        seed_users=str(tmp_path / "users.json"),
+    )
+    first, again = jobs.run_serving(spark, cfg), jobs.run_serving(spark, cfg)
+    assert len(list((tmp_path / "out" / "handover").iterdir())) == 2 * 2
+    assert (first["orders_created"], first["orders_updated"], first["order_docs"]) == (30, 0, 30)
+    assert (again["orders_created"], again["orders_updated"], again["order_docs"]) == (0, 30, 30)
+    assert spark.table(cfg.table("order_store")).count() == 30
+    assert spark.table(cfg.table("order_documents")).count() == 30
+    raw = [p.name for p in (tmp_path / "out" / "raw" / "synthetic_carts").glob("part-*")]
+    assert raw and all(name.endswith(".json.gz") for name in raw)
+
+
+def test_rows_without_a_key_meet_none(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.createDataFrame([(None, 1), (1, 1)], "k int, v int")
+    assert sinks.upsert_table(rows, "shop.keyless", "k", root, "1998-01-01") == (2, 0)
+    assert sinks.upsert_table(rows, "shop.keyless", "k", root, "1999-01-01") == (1, 1)
+    assert sinks.upsert_table(rows, "shop.keyless", "k", root, "2000-01-01") == (1, 1)
+    assert sorted(r.k or 0 for r in spark.table("shop.keyless").collect()) == [0, 0, 0, 1]
