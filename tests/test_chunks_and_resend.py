@@ -120,3 +120,24 @@ def test_unique_keys_stay_where_they_are(spark):
     assert {r.k: r.v for r in last_if_repeated(twice, "k").collect()}["7"] == 900
     null = spark.sql("SELECT CAST(NULL AS string) AS k, 1L AS v UNION ALL SELECT NULL, 2L")
     assert [tuple(r) for r in last_if_repeated(null, "k").collect()] == [(None, 2)]
+
+
+def test_a_hot_order_is_no_join_key(spark, monkeypatch):
+    """Its lines meet their order block by block, so they spread by order and block."""
+    monkeypatch.setattr(E, "_BLOCK", 8)
+    lines = spark.range(100).select(
+        F.when(F.col("id") < 60, F.lit("hot")).when(F.col("id") < 95, F.col("id").cast("string")).alias("orderId"),
+        (F.col("id") % 50).alias("id"), F.lit("t").alias("title"), F.lit("c").alias("category"),
+        F.lit(1.0).alias("price"), F.lit(1).alias("quantity"), F.lit(0.0).alias("discountPercentage"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chunks = E.nest_in_chunks(lines, 7)
+        text = chunks._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = [x for x in text.splitlines() if "SortMergeJoin" in x]
+    assert len(join) == 1 and "block" in join[0]
+    rows = sorted((r.chunk, r.n_lines, len(r.products)) for r in chunks.collect() if r.orderId == "hot")
+    assert rows == [(i, 60, 7) for i in range(8)] + [(8, 60, 4)]
+    assert [(r.n_lines, len(r.products)) for r in chunks.collect() if r.orderId is None] == [(5, 5)]
