@@ -19,6 +19,13 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_QUALITY = 0.5
+# Ten thousand long texts at once, as Arrow, as strings and cut up, fill a Python worker.
+BATCH_BYTES = str(4 << 20)
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Rows go to the Python workers a few megabytes at a time; no row is left out."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -28,6 +35,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a quality score of at least one half; scores are never null."""
+    _small_batches(spark)
     model = quality.train_on(docs, table(spark, sf_dir, "labels"))
     score = quality.quality_score(F.col("text"), model)
     return docs.withColumn("score", score).where(F.col("score") >= LEAST_QUALITY).select(*COLUMNS)
@@ -36,6 +44,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest id of each group; links are pairs of similarity 0.8 or more
     (Jaccard, five-word shingles), counted exactly."""
+    _small_batches(spark)
     rows = _numbered(docs)
     groups = similar.similar_documents(rows, simhash.FIVE_SHINGLES, least=0.8, id_column="row")
     groups = groups.select(F.col("doc_id").alias("row"), F.col("component_id").alias("part"))
@@ -47,6 +56,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item leaked."""
+    _small_batches(spark)
     rows = _numbered(docs)
     by_row = rows.select(F.col("row").alias("doc_id"), "text")
     leaks = decontaminate.find_leaks(by_row, table(spark, sf_dir, "benchmark"))
@@ -56,6 +66,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their text replaced and the length counted anew."""
+    _small_batches(spark)
     found = secrets.find_secrets(docs, BYTE_BPE_RANKS)
     clean = found.withColumn("text", secrets.redacted(F.col("text"), F.col("secret_spans")))
     changed = F.size("secret_spans") > 0
@@ -65,6 +76,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences."""
+    _small_batches(spark)
     packed = packing.pack_documents(docs, BYTE_BPE, capacity=2048, end_id=0)
     return packed.layout.drop("shard", "row")
 

@@ -93,3 +93,20 @@ def test_operators_are_those_of_the_pipeline():
         "quality classifier", "SimHash near-dedup", "benchmark decontamination", "secret scans", "best-fit packing",
     ]
     assert corpus_pipeline.ORACLE_SQL is None and decontaminate and secrets
+
+
+def test_stages_send_texts_in_small_batches(spark, tables):
+    """Every row comes, a few megabytes at a time."""
+    folder, _ = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    corpus_pipeline.redact_secrets(spark, docs, folder)
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.iloc[:0].reindex([0]).assign(n=len(batch), size=batch["t"].str.len().sum())[["n", "size"]]
+
+    texts = spark.range(0, 9_000, 1, 1).selectExpr("repeat('x', 2000) AS t")
+    seen = texts.mapInPandas(sizes, "n long, size long").collect()
+    assert sum(r.n for r in seen) == 9_000
+    assert max(r["size"] for r in seen) < 6_000_000
