@@ -297,6 +297,20 @@ class Ball:
         return np.concatenate(keys), np.concatenate(owners)
 
 
+def first_shared(ball: Ball, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The hash of one common variant of each pair, the same in whatever bucket it is asked
+    for; where no table has one, the largest number."""
+    a, b = ball.scheme.table_prints(left), ball.scheme.table_prints(right)
+    differ = a ^ b
+    one = differ & (~differ + np.uint64(1))
+    # Apart in two bits, a variant has either flipped; in one bit, both texts are variants.
+    variants = np.minimum(a ^ one, a ^ (differ ^ one))
+    near = np.bitwise_count(differ) <= ball.scheme.radius
+    table = near.argmax(1)[:, None]
+    found = np.take_along_axis(ball.shortened(variants), table, 1)[:, 0]
+    return np.where(near.any(1), found, np.uint64(2**64 - 1))
+
+
 class Meetings(NamedTuple):
     """Stored tables: chunks (chunk, ids, prints), and of each the hashes others share."""
 
@@ -364,7 +378,8 @@ def chunk_links(told: Meetings, partners: bool = False) -> DataFrame:
 
     With ``partners`` every link is a pair that was itself compared, ``apart`` bits from each
     other. Of a chunk's sure pairs a spanning part is given, of its others, between parts
-    that sure pairs do not connect, some spanning forests.
+    that sure pairs do not connect, some spanning forests. A bucket gives only pairs that it
+    compared at their first common variant (the radius must be 2), so no two give the same.
     """
     ball, chunks, met = told
     scheme, low_bits, bucket_bits = ball.scheme, ball.low_bits, ball.bucket_bits
@@ -407,6 +422,19 @@ def chunk_links(told: Meetings, partners: bool = False) -> DataFrame:
         rows.append((-1 - key[0] % (1 << bucket_bits), b"", b"", b"", links.astype("<i8").tobytes()))
         return pd.DataFrame(rows, columns=columns)
 
+    def once(keys: np.ndarray, prints: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The likely pairs that were compared at their first common variant, and their distance:
+        whatever number of variants two copies share, their pair is given for one of them."""
+        kept, apart = [found[:0]], [found[:0, 0]]
+        for i in range(0, len(found), 1 << 16):
+            part = found[i : i + (1 << 16)]
+            bits = bits_apart(prints[part[:, 0]], prints[part[:, 1]])
+            part, bits = part[bits <= likely], bits[bits <= likely]
+            first = first_shared(ball, prints[part[:, 0]], prints[part[:, 1]]) == keys[part[:, 0]]
+            kept.append(part[first])
+            apart.append(bits[first])
+        return np.concatenate(kept), np.concatenate(apart)
+
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(group["keys"]), "<u8")
         roots = np.frombuffer(b"".join(group["roots"]), "<i8")
@@ -414,8 +442,10 @@ def chunk_links(told: Meetings, partners: bool = False) -> DataFrame:
         if len(keys):
             prints = ball.words_of(b"".join(group["prints"]))
             found, _ = _linked(keys, roots, prints, scheme)
-            apart = bits_apart(prints[found[:, 0]], prints[found[:, 1]]) if partners else 0 * found[:, 0]
-            met = np.column_stack([np.sort(roots[found], axis=1), apart])[apart <= likely]
+            apart = 0 * found[:, 0]
+            if partners:
+                found, apart = once(keys, prints, found)
+            met = np.column_stack([np.sort(roots[found], axis=1), apart])
             pairs = np.concatenate([pairs, np.unique(met[met[:, 0] != met[:, 1]], axis=0)])
         return pd.DataFrame(pairs, columns=["a", "b", "apart"])
 

@@ -34,6 +34,7 @@ from .simhash import (
     bits_apart,
     chunk_links,
     fingerprint,
+    first_shared,
     forests,
     meetings,
     shingle_hashes,
@@ -77,20 +78,6 @@ def _across(keys: np.ndarray, parts: np.ndarray) -> Iterator[tuple[np.ndarray, n
         member = member + 1
 
 
-def _first_shared(ball: Ball, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The hash of one common variant of each pair, the same in whatever bucket it is asked
-    for; where no table has one, the largest number."""
-    a, b = ball.scheme.table_prints(left), ball.scheme.table_prints(right)
-    differ = a ^ b
-    one = differ & (~differ + np.uint64(1))
-    # Apart in two bits, a variant has either flipped; in one bit, both texts are variants.
-    variants = np.minimum(a ^ one, a ^ (differ ^ one))
-    near = np.bitwise_count(differ) <= ball.scheme.radius
-    table = near.argmax(1)[:, None]
-    found = np.take_along_axis(ball.shortened(variants), table, 1)[:, 0]
-    return np.where(near.any(1), found, np.uint64(2**64 - 1))
-
-
 def crossing_pairs(told: Meetings, parts: DataFrame, block: int = BLOCK) -> DataFrame:
     """Pairs (a, b, part_a, part_b), each once, of nodes in different parts that share a
     variant and are within the limit.
@@ -206,7 +193,7 @@ def crossing_pairs(told: Meetings, parts: DataFrame, block: int = BLOCK) -> Data
                 a, b = left[i : i + (1 << 16)], right[i : i + (1 << 16)]
                 near = bits_apart(prints[a], prints[b]) <= limit
                 a, b = a[near], b[near]
-                first = _first_shared(ball, prints[a], prints[b]) == keys[a]
+                first = first_shared(ball, prints[a], prints[b]) == keys[a]
                 a, b = a[first], b[first]
                 a, b = np.where(ids[a] < ids[b], a, b), np.where(ids[a] < ids[b], b, a)
                 found.append(np.column_stack([ids[a], ids[b], names[a], names[b]]))

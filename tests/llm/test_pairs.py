@@ -3,6 +3,7 @@
 import dataclasses
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -190,6 +191,22 @@ def test_crossing_pairs_are_all_pairs_of_different_parts(spark, monkeypatch, blo
     assert sorted(tuple(x) for x in out.collect()) == sorted((a, b, parts[a], parts[b]) for a, b in pairs)
 
 
+@pytest.mark.parametrize("members", [300, 600])
+def test_buckets_give_a_pair_of_a_family_once(spark, monkeypatch, members):
+    # Two chunks, so buckets compare all pairs a second time: copies share many variants.
+    r = random.Random(47)
+    seed = r.getrandbits(1024)
+    prints = [seed ^ sum(1 << b for b in r.sample(range(1024), 60)) for _ in range(members)]
+    rows = [(i, bytearray(p.to_bytes(128, "little"))) for i, p in enumerate(prints)]
+    nodes = spark.createDataFrame(rows, "node long, prints binary")
+    monkeypatch.setattr(simhash, "CHUNK_VARIANTS", members // 2 * 32 * 33)
+    told = simhash.meetings(nodes, simhash.FIVE_SHINGLES)
+    assert told.ball.n_chunks == 2
+    given_ = Counter((x.a, x.b) for x in simhash.chunk_links(told, partners=True).collect())
+    assert len(given_) >= members - 1
+    assert max(given_.values()) <= 2  # by a chunk and by a bucket
+
+
 def test_similar_documents_lose_no_link_of_a_dense_family(spark, monkeypatch):
     # With one partner tried and one forest kept, the second pass must find the rest.
     monkeypatch.setattr(simhash, "CHUNK_VARIANTS", 40 * 32 * 33)
