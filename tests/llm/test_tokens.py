@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from cartwright.llm import packing, token_files
-from cartwright.llm.common import encoder
+from cartwright.llm.common import PartEncoder, encoder
 from cartwright.session import scratch_path
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,32 @@ def test_encoder_equals_whole_text(texts):
         assert encoder(BPE, plain).encode(texts) == expected  # now from the cache
 
 
+ODD = "a\n\nb \n c.\nTo,$$$ don't 'tis x' 'S it's' µ ªb aª Ġa ĠĠ\nĠ \r\n \x1cz \x85y \xa0w é漢 漢é ñ1 _a a_ a1 1a ſ ǅ ɏ ɐ b̈ x\u200d "
+
+FORGETFUL = PartEncoder(BPE, cached_pieces=5, cached_length=3)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(sorted({*ODD, *ODD.split(" "), " ", "<|endoftext|>"})), max_size=12), max_size=6))
+def test_encoder_equals_whole_text_of_odd_pieces(texts):
+    texts = ["".join(t) for t in texts] + [ODD]
+    own = encoder(BPE).tokenizer
+    expected = [np.array(own.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for which in (encoder(BPE), FORGETFUL, FORGETFUL):
+        assert which.encode(texts) == expected
+
+
+def test_words_with_other_marks_are_not_encoded_again(monkeypatch):
+    own, asked = PartEncoder(BPE), []
+    by_line, ids = own._by_line, own._ids
+    monkeypatch.setattr(own, "_by_line", lambda x: asked.extend(x) or by_line(x))
+    monkeypatch.setattr(own, "_ids", lambda x: asked.append(x) or ids(x))
+    own.encode([" ononinghaes laartaos", " ononinghaes, laartaos.\nononinghaes"])
+    own.encode([" ononinghaes$$$ laartaos&&&"])
+    assert sorted(asked) == sorted(set(asked))
+    assert [x for x in asked if "laartaos" in x] == [" laartaos"]
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(*r, "h", 3, "row", "ids", 5) for r in rows], SCHEMA)
 
